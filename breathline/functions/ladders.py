@@ -57,7 +57,8 @@ def health_status_by_city(aqi: Column) -> Column:
 
 def pollution_level(pm25: Column, pm10: Column) -> Column:
     """The worse of the two values; a missing one counts as 0, and NaN as missing."""
-    fine, coarse = F.nanvl(pm25, F.lit(None)), F.nanvl(pm10, F.lit(None))
+    missing = F.lit(None).cast("double")
+    fine, coarse = F.nanvl(pm25, missing), F.nanvl(pm10, missing)
     worse = F.greatest(F.coalesce(fine, F.lit(0.0)), F.coalesce(coarse, F.lit(0.0)))
     return _ladder(
         fine.isNull() & coarse.isNull(), [(worse < bound, name) for bound, name in LEVEL_STEPS], LEVEL_TOP

@@ -12,20 +12,20 @@ from breathline import workspace
 from breathline.sinks.tables import write_partitioned
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(and_, [left[key].eqNullSafe(right[key]) for key in keys])
+def _renamed(new: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """Keys of the new rows under names of their own, and the match condition against a table's rows."""
+    fresh = new.select(*[F.col(key).alias(f"new_{key}") for key in keys])
+    return fresh, reduce(and_, [F.col(key).eqNullSafe(F.col(f"new_{key}")) for key in keys])
 
 
 def overlap_keys(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of the target that the new rows replace."""
-    old, fresh = target.select(*keys).alias("old"), new.select(*keys).alias("fresh")
-    return old.join(fresh, _same_key(old, fresh, keys), "left_semi")
+    return target.select(*keys).join(*_renamed(new, keys), "left_semi")
 
 
 def survivors(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the target whose key the new rows do not have."""
-    fresh = new.select(*keys).alias("fresh")
-    return target.join(fresh, _same_key(target, fresh, keys), "left_anti")
+    return target.join(*_renamed(new, keys), "left_anti")
 
 
 def replaced(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

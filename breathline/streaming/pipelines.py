@@ -1,0 +1,66 @@
+"""The streaming jobs as compositions of the batch operators."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from breathline.functions.clock import LOCAL_OFFSET_HOURS
+from breathline.operators.archive import write_archive
+from breathline.operators.enrich import classify, enrich_city
+from breathline.operators.parse import parse
+from breathline.operators.replace import replace_by_key
+from breathline.operators.rollup import HOURLY_KEYS, hourly_statistics
+from breathline.schema import HOURLY, RECORD_ID
+from breathline.sinks.tables import append_batch
+from breathline.streaming.run import Sink
+
+
+def realtime(
+    records: DataFrame,
+    dimension: DataFrame,
+    offset_hours: int = LOCAL_OFFSET_HOURS,
+    processed_time: Column | None = None,
+) -> DataFrame:
+    """Messages to enriched rows, on a stream or on a table. Row by row but for the small dimension, so a
+    hot city costs no more than its share of the input splits."""
+    flat = parse(records, offset_hours, processed_time, keep=RECORD_ID)
+    return enrich_city(classify(flat), dimension).withColumn("processed_date", F.to_date("processed_time"))
+
+
+def measurement_sink(path: str, on_count: Callable[[int, int], None] | None = None) -> Sink:
+    return append_batch(path, ["processed_date"], ["city", "measurement_time"], on_count)
+
+
+def archive_sink(path: str, fmt: str = "json") -> Sink:
+    """A batch writes its own folder, so running it again after a failure leaves no second copy. Tasks write
+    straight to the date folders: a task reads one topic in order and thus few cities and dates."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            write_archive(batch, f"{path}/batch_id={batch_id}", fmt, mode="overwrite", cluster=False)
+
+    return write
+
+
+def hourly_stream(measurements: DataFrame, delay: str) -> DataFrame:
+    """Statistics of the hours that changed. State is one row per city and hour within ``delay``; a reading
+    that arrives later than that is left to the batch job, which recomputes its hour from the table."""
+    hour = F.window("measurement_time", "1 hour")
+    return (
+        measurements.withWatermark("measurement_time", delay)
+        .groupBy("city", hour)
+        .agg(*hourly_statistics())
+        .select("city", F.col("window.start").alias("hour_start"), *HOURLY.names[2:])
+    )
+
+
+def hourly_sink(path: str) -> Sink:
+    """Replaces the changed hours, so a repeated batch changes nothing. The batch is read once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        dated = batch.withColumn("date", F.to_date("hour_start"))
+        replace_by_key(batch.sparkSession, path, dated, HOURLY_KEYS, "date", HOURLY_KEYS)
+
+    return write
