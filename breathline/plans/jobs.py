@@ -6,12 +6,13 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, StructField, StructType
 
 from breathline.functions.clock import LOCAL_OFFSET_HOURS
 from breathline.operators.dedup import drop_replays
 from breathline.operators.replace import replace_by_key
 from breathline.operators.rollup import DAILY_KEYS, HOURLY_KEYS, daily, hourly
-from breathline.schema import ENRICHED, HOURLY, RECORD_ID
+from breathline.schema import HOURLY, RECORD_ID, STORED
 from breathline.streaming import run
 from breathline.streaming.pipelines import archive_sink, measurement_sink, realtime
 
@@ -30,9 +31,7 @@ def run_archive(
 
 def read_measurements(spark: SparkSession, path: str) -> DataFrame:
     """The measurement table with the message ids and its partition columns."""
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ENRICHED.fields)
-    ids = "topic STRING, partition INT, offset BIGINT"
-    return spark.read.schema(f"{schema}, {ids}, batch_id BIGINT, processed_date DATE").parquet(path)
+    return spark.read.schema(STORED).parquet(path)
 
 
 def since_hour(measurements: DataFrame, since: datetime | None, offset_hours: int = LOCAL_OFFSET_HOURS) -> DataFrame:
@@ -46,12 +45,15 @@ def since_hour(measurements: DataFrame, since: datetime | None, offset_hours: in
 
 
 def run_hourly(
-    spark: SparkSession, measurements_path: str, path: str, since: datetime | None = None, once_per_message: bool = True
+    spark: SparkSession, measurements_path: str, path: str, since: datetime | None = None, drop_copies: bool = False
 ) -> None:
-    """Recomputes the hours from ``since`` on, or all of them, and replaces them in the hourly table."""
+    """Recomputes the hours from ``since`` on, or all of them, and replaces them in the hourly table.
+
+    ``drop_copies`` is for tables that a stream has read into twice, as after the loss of its checkpoint: it
+    shuffles every reading, which the roll-up alone does not.
+    """
     rows = since_hour(read_measurements(spark, measurements_path), since)
-    if once_per_message:
-        # Prune before the shuffle; ids tell a replay from two equal readings.
+    if drop_copies:
         needed = ["city", "aqi", "pm25", "pm10", "temperature", "humidity", "measurement_time"]
         rows = drop_replays(rows.select(*RECORD_ID, *needed))
     hours = hourly(rows).withColumn("date", F.to_date("hour_start"))
@@ -59,8 +61,7 @@ def run_hourly(
 
 
 def read_hourly(spark: SparkSession, path: str) -> DataFrame:
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in HOURLY.fields)
-    return spark.read.schema(f"{schema}, date DATE").parquet(path)
+    return spark.read.schema(StructType([*HOURLY, StructField("date", DateType())])).parquet(path)
 
 
 def run_daily(spark: SparkSession, hourly_path: str, path: str, since: datetime | None = None) -> None:

@@ -2,66 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType, BinaryType, DataType, DateType, DoubleType, IntegerType, LongType, StringType, StructField,
+    StructType, TimestampType,
+)
+
+TEXT, INT, LONG, DOUBLE, TIME, DATE = StringType(), IntegerType(), LongType(), DoubleType(), TimestampType(), DateType()
+
+
+def _struct(**fields: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in fields.items()])
+
 
 # One message of the stream, as the broker connector delivers it.
-RECORD = StructType.fromDDL(
-    "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
-)
+RECORD = _struct(key=BinaryType(), value=BinaryType(), topic=TEXT, partition=INT, offset=LONG, timestamp=TIME)
 
 # Identity of a message: a replay carries the same three values again.
 RECORD_ID = ["topic", "partition", "offset"]
 
+_VALUE = _struct(v=DOUBLE)
+
 # Field names and spelling of the feed. time.v is an epoch and may exceed 32 bits.
-ENVELOPE = StructType.fromDDL("""
-    city STRING,
-    payload STRUCT<
-        aqi: INT,
-        idx: INT,
-        dominentpol: STRING,
-        iaqi: STRUCT<pm25: STRUCT<v: DOUBLE>, pm10: STRUCT<v: DOUBLE>, t: STRUCT<v: DOUBLE>, h: STRUCT<v: DOUBLE>>,
-        time: STRUCT<s: STRING, tz: STRING, v: BIGINT>,
-        city: STRUCT<name: STRING, geo: ARRAY<DOUBLE>>
-    >
-""")
-
-MEASUREMENT = StructType.fromDDL("""
-    city STRING, aqi INT, station_id INT, dominant_pollutant STRING,
-    pm25 DOUBLE, pm10 DOUBLE, temperature DOUBLE, humidity DOUBLE,
-    measurement_time TIMESTAMP, station_name STRING, latitude DOUBLE, longitude DOUBLE,
-    processed_time TIMESTAMP
-""")
-
-CLASSES = StructType.fromDDL("health_status STRING, pollution_level STRING")
-
-DIMENSION = StructType.fromDDL("""
-    city STRING, city_name STRING, country STRING, region STRING, population BIGINT, timezone STRING,
-    aqi_threshold_good INT, aqi_threshold_moderate INT, aqi_threshold_unhealthy_sensitive INT,
-    aqi_threshold_unhealthy INT, aqi_threshold_very_unhealthy INT
-""")
-
-# The stored measurement table: flat reading, its two classes, and the city's dimension row.
-ENRICHED = StructType(
-    MEASUREMENT.fields + CLASSES.fields + [f for f in DIMENSION.fields if f.name != "city"]
+ENVELOPE = _struct(
+    city=TEXT,
+    payload=_struct(
+        aqi=INT,
+        idx=INT,
+        dominentpol=TEXT,
+        iaqi=_struct(pm25=_VALUE, pm10=_VALUE, t=_VALUE, h=_VALUE),
+        time=_struct(s=TEXT, tz=TEXT, v=LONG),
+        city=_struct(name=TEXT, geo=ArrayType(DOUBLE)),
+    ),
+)
+
+MEASUREMENT = _struct(
+    city=TEXT, aqi=INT, station_id=INT, dominant_pollutant=TEXT, pm25=DOUBLE, pm10=DOUBLE, temperature=DOUBLE,
+    humidity=DOUBLE, measurement_time=TIME, station_name=TEXT, latitude=DOUBLE, longitude=DOUBLE, processed_time=TIME,
 )
 
-HOURLY = StructType.fromDDL("""
-    city STRING, hour_start TIMESTAMP,
-    aqi_avg DOUBLE, aqi_max INT, aqi_min INT, aqi_stddev DOUBLE,
-    pm25_avg DOUBLE, pm25_max DOUBLE, pm25_min DOUBLE,
-    pm10_avg DOUBLE, pm10_max DOUBLE, pm10_min DOUBLE,
-    temperature_avg DOUBLE, humidity_avg DOUBLE, record_count INT
-""")
-
-DAILY = StructType.fromDDL("""
-    city STRING, date DATE,
-    aqi_avg DOUBLE, aqi_max INT, aqi_min INT,
-    pm25_avg DOUBLE, pm25_max DOUBLE, pm25_min DOUBLE,
-    pm10_avg DOUBLE, pm10_max DOUBLE, pm10_min DOUBLE,
-    temperature_avg DOUBLE, humidity_avg DOUBLE, total_records BIGINT
-""")
-
-ARCHIVE = StructType.fromDDL("""
-    json_data STRING, kafka_timestamp TIMESTAMP, topic STRING, partition INT, kafka_offset BIGINT,
-    city STRING, year INT, month INT, day INT
-""")
+CLASSES = _struct(health_status=TEXT, pollution_level=TEXT)
+
+DIMENSION = _struct(
+    city=TEXT, city_name=TEXT, country=TEXT, region=TEXT, population=LONG, timezone=TEXT,
+    aqi_threshold_good=INT, aqi_threshold_moderate=INT, aqi_threshold_unhealthy_sensitive=INT,
+    aqi_threshold_unhealthy=INT, aqi_threshold_very_unhealthy=INT,
+)
+
+# The measurement table: flat reading, its two classes, the city's dimension row, the message's id, and the
+# folders it is stored in.
+STORED = StructType([
+    *MEASUREMENT, *CLASSES, *DIMENSION[1:], *_struct(topic=TEXT, partition=INT, offset=LONG),
+    *_struct(batch_id=LONG, processed_date=DATE),
+])
+
+HOURLY = _struct(
+    city=TEXT, hour_start=TIME, aqi_avg=DOUBLE, aqi_max=INT, aqi_min=INT, aqi_stddev=DOUBLE,
+    pm25_avg=DOUBLE, pm25_max=DOUBLE, pm25_min=DOUBLE, pm10_avg=DOUBLE, pm10_max=DOUBLE, pm10_min=DOUBLE,
+    temperature_avg=DOUBLE, humidity_avg=DOUBLE, record_count=INT,
+)
+
+DAILY = _struct(
+    city=TEXT, date=DATE, aqi_avg=DOUBLE, aqi_max=INT, aqi_min=INT,
+    pm25_avg=DOUBLE, pm25_max=DOUBLE, pm25_min=DOUBLE, pm10_avg=DOUBLE, pm10_max=DOUBLE, pm10_min=DOUBLE,
+    temperature_avg=DOUBLE, humidity_avg=DOUBLE, total_records=LONG,
+)
+
+ARCHIVE = _struct(
+    json_data=TEXT, kafka_timestamp=TIME, topic=TEXT, partition=INT, kafka_offset=LONG,
+    city=TEXT, year=INT, month=INT, day=INT,
+)
