@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from breathline.functions.clock import LOCAL_OFFSET_HOURS, local_time
 from breathline.schema import ENVELOPE, MEASUREMENT
@@ -56,7 +56,7 @@ def parse_checked(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """``parse`` with a ``problem`` column: no_city, bad_field, or null for a clean row."""
-    schema = StructType(ENVELOPE.fields).add(CORRUPT, StringType())
+    schema = StructType([*ENVELOPE, StructField(CORRUPT, StringType())])
     text = F.col("value").cast("string")
     parsed = records.withColumn("data", F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT}))
     problem = F.when(F.col("data.city").isNull(), "no_city").when(F.col(f"data.{CORRUPT}").isNotNull(), "bad_field")

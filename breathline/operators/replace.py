@@ -7,6 +7,7 @@ from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from breathline import workspace
 from breathline.sinks.tables import write_partitioned
@@ -47,29 +48,29 @@ def replace_by_key(
 ) -> None:
     """Deletes the rows of the table at ``path`` whose key occurs in ``new`` and adds ``new``.
 
-    Only partitions that ``new`` touches are read and rewritten. ``partition_by`` must follow from the keys.
-    New and surviving rows are first written beside the table; from then on the table is overwritten from
-    those copies, and a run that died while doing so is completed by the next one.
+    Only partitions that ``new`` touches are read and rewritten; ``partition_by`` must follow from the keys.
+    New and surviving rows are first written beside the table, and the table is overwritten from those
+    copies: a run that dies while overwriting is completed by the next one. One run at a time per table.
     """
+    finish_pending(spark, path, new.schema, partition_by, sort_by)
+    if not workspace.exists(spark, path):
+        write_partitioned(new, path, [partition_by], sort_by, mode="overwrite")
+        return
     beside = workspace.pending(spark, path)
-    schema = new.schema
-    finish_pending(spark, path, new, partition_by, sort_by)
+    new.write.mode("overwrite").parquet(f"{beside}/new")
+    staged = spark.read.schema(new.schema).parquet(f"{beside}/new")
+    touched = spark.read.schema(new.schema).parquet(path).where(_in_partitions(staged, partition_by))
+    kept = survivors(touched, staged, keys).select(*new.columns)
+    kept.write.mode("overwrite").parquet(f"{beside}/kept")
+    finish_pending(spark, path, new.schema, partition_by, sort_by)
 
-    write_partitioned(new, f"{beside}/new", [partition_by], sort_by, mode="overwrite")
-    staged = spark.read.schema(schema).parquet(f"{beside}/new")
-    kept = staged.limit(0)
-    if workspace.exists(spark, path):
-        target = spark.read.schema(schema).parquet(path).where(_in_partitions(staged, partition_by))
-        kept = survivors(target, staged, keys)
-    write_partitioned(kept.select(*new.columns), f"{beside}/kept", [partition_by], sort_by, mode="overwrite")
-    finish_pending(spark, path, new, partition_by, sort_by)
 
-
-def finish_pending(spark: SparkSession, path: str, like: DataFrame, partition_by: str, sort_by: Sequence[str]) -> None:
+def finish_pending(
+    spark: SparkSession, path: str, schema: StructType, partition_by: str, sort_by: Sequence[str]
+) -> None:
     """Overwrites the touched partitions from the copies beside the table, if both are complete."""
     beside = workspace.pending(spark, path)
     if workspace.exists(spark, f"{beside}/kept/_SUCCESS"):
-        parts = [spark.read.schema(like.schema).parquet(f"{beside}/{name}") for name in ("new", "kept")]
-        rows = parts[0].unionByName(parts[1]).select(*like.columns)
+        rows = spark.read.schema(schema).parquet(f"{beside}/new", f"{beside}/kept")
         write_partitioned(rows, path, [partition_by], sort_by, mode="overwrite", dynamic=True)
     workspace.remove(spark, beside)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from breathline import workspace
 from breathline.functions.ladders import LEVELS
 from breathline.operators.enrich import sized
 from breathline.operators.rollup import STATISTICS, weighted_mean
@@ -19,16 +20,17 @@ HOUR = 3600
 def latest_by_city(measurements: DataFrame, tie: str = "offset") -> DataFrame:
     """The newest reading of each city; the higher ``tie`` wins at the same time.
 
-    The newest time per city needs two columns and a hash aggregate; only the rows at that time go through
-    the wide aggregate, whose buffer Spark would otherwise sort the whole table for.
+    The newest time per city takes two columns and a hash aggregate. With it known, the wide columns are only
+    read from the time of the most silent city on, and only rows at a newest time are aggregated whole.
     """
-    newest = measurements.groupBy(F.col("city").alias("newest_city")).agg(
-        F.max("measurement_time").alias("newest_time")
+    newest = workspace.cut(
+        measurements.groupBy(F.col("city").alias("newest_city")).agg(F.max("measurement_time").alias("newest_time"))
     )
+    silent_since = newest.agg(F.unix_micros(F.min("newest_time"))).first()[0]
+    recent = measurements.where(F.col("measurement_time") >= F.timestamp_micros(F.lit(silent_since).cast("bigint")))
     at_newest = F.col("city").eqNullSafe(F.col("newest_city")) & (F.col("measurement_time") == F.col("newest_time"))
-    candidates = measurements.join(newest, at_newest, "left_semi")
     row = F.max_by(F.struct(*measurements.columns), F.col(tie)).alias("row")
-    return candidates.groupBy("city").agg(row).select("row.*")
+    return recent.join(sized(newest), at_newest, "left_semi").groupBy("city").agg(row).select("row.*")
 
 
 def trend_24h(hours: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import hashlib
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def root(spark: SparkSession) -> str:
@@ -34,6 +34,12 @@ def pending(spark: SparkSession, table_path: str) -> str:
     return f"{root(spark)}/pending/{hashlib.sha256(table_path.encode()).hexdigest()}"
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """The rows, computed once and kept in the shared folder."""
+    root(df.sparkSession)
+    return df.checkpoint()
+
+
 def _resolve(spark: SparkSession, path: str):
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path

@@ -24,10 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat readings with the message columns that the broker would add."""
-    sites = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
-    ).select("c_custkey", "c_name", "n_name", "n_nationkey", "n_regionkey")
-    events = table(spark, sf_dir, "events").join(sites, F.col("user_id") == F.col("c_custkey"))
+    events = (
+        table(spark, sf_dir, "events")
+        .join(table(spark, sf_dir, "customer"), F.col("user_id") == F.col("c_custkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    )
 
     def unless_every(nth: int, value):
         return F.when(F.col("event_id") % nth != 0, value)
