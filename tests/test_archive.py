@@ -1,0 +1,58 @@
+import glob
+import json
+
+import pytest
+from conftest import at, rows_of
+from pyspark.sql import functions as F
+
+from breathline.operators import archive, parse
+from breathline.schema import RECORD
+from breathline.sources import files
+
+LATE, EARLY = "2024-01-31 23:59:59.999999", "2024-02-01 00:00:00.000001"
+AWKWARD = 'line one\nline two "quoted" \\ ünï\t{not json'
+
+
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_archive_and_replay_lose_nothing(spark, record, tmp_path, fmt):
+    sent = record([("hue", {"aqi": 1}, LATE), ("hue", {"aqi": 2}, EARLY), ("hue", AWKWARD, EARLY), ("x", "", LATE)])
+    path = str(tmp_path / "archive")
+    archive.write_archive(sent, path, fmt)
+    back = files.replay_archive(spark, path, fmt)
+    assert back.columns == RECORD.names
+    assert rows_of(back) == rows_of(sent)
+    assert rows_of(parse.parse(back), "city", "aqi", "measurement_time") == rows_of(
+        parse.parse(sent), "city", "aqi", "measurement_time"
+    )
+
+
+def test_each_message_is_filed_under_its_own_date(spark, record, tmp_path):
+    path = str(tmp_path / "archive")
+    archive.write_archive(record([("hue", {"aqi": 1}, LATE), ("hue", {"aqi": 2}, EARLY)]), path)
+    assert len(glob.glob(f"{path}/city=hue/year=2024/month=01/day=31/*.json")) == 1
+    assert len(glob.glob(f"{path}/city=hue/year=2024/month=02/day=01/*.json")) == 1
+    one_day = files.read_archive(spark, path, where=(F.col("month") == 2) & (F.col("day") == 1))
+    assert [row.kafka_offset for row in one_day.collect()] == [1]
+
+
+def test_city_without_key_comes_from_the_topic(spark, record):
+    rows = record([("hue", {"aqi": 1}, LATE)]).withColumn("key", F.lit(None).cast("binary"))
+    assert archive.archive_rows(rows).first().city == "hue"
+
+
+def test_raw_messages(record):
+    row = files.raw_messages(record([("hue", "text", LATE)])).first()
+    assert tuple(row) == ("text", at(LATE), 0)
+
+
+def test_bundles_are_bounded_ordered_and_repeatable(spark, record):
+    sent = record([("hot", {"aqi": n}, EARLY) for n in range(95)] + [("b", AWKWARD, LATE), ("b", {"aqi": 1}, EARLY)])
+    bundles = archive.bundle(sent, messages_per_object=10, prefix="cold")
+    rows = {row.object_key: row for row in bundles.collect()}
+    assert len(rows) == 12 and max(row.messages for row in rows.values()) == 10
+    third = rows["cold/hot/2024/02/01/batch_0_2.json"]
+    assert (third.first_offset, third.last_offset) == (20, 29)
+    assert [json.loads(text)["payload"]["aqi"] for text in json.loads(third.body)] == list(range(20, 30))
+    assert json.loads(rows["cold/b/2024/01/31/batch_0_9.json"].body) == [AWKWARD]
+    again = archive.bundle(sent.repartition(7), messages_per_object=10, prefix="cold")
+    assert rows_of(again) == rows_of(bundles)

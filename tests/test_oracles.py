@@ -1,0 +1,44 @@
+"""Every registered query against its SQL, and the driver's three functions."""
+
+import pytest
+
+import __spark_entry__
+from checks.compare import connect, differences
+from checks.fixture import table
+from checks.oracle import ORACLE
+from checks.registry import REGISTRY
+
+SF_DIR = "/root/testdata/sf0.001"
+
+# Queries for which plain SQL has no counterpart; test_insights checks them against least squares.
+WITHOUT_SQL = {"aqi_forecast", "forecast_importance"}
+
+
+@pytest.fixture(scope="module")
+def db():
+    return connect(SF_DIR)
+
+
+def test_every_query_has_its_sql():
+    assert set(REGISTRY) == set(ORACLE) | WITHOUT_SQL
+    assert __spark_entry__.queries().keys() == REGISTRY.keys()
+    assert __spark_entry__.oracle_sql() == ORACLE
+
+
+@pytest.mark.parametrize("name", list(ORACLE))
+def test_query_equals_sql(spark, db, name):
+    assert differences(REGISTRY[name](spark, SF_DIR), db, ORACLE[name]) == []
+
+
+@pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
+def test_query_without_sql_gives_rows(spark, name):
+    assert REGISTRY[name](spark, SF_DIR).count() > 0
+
+
+def test_entry(spark, db):
+    assert differences(__spark_entry__.entry(spark), db, ORACLE["hourly_rollup"]) == []
+
+
+def test_fixture_keeps_every_event(spark, db):
+    events = table(spark, SF_DIR, "events").count()
+    assert db.sql("SELECT count(*) FROM events JOIN customer ON user_id = c_custkey").fetchone()[0] == events
