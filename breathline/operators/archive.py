@@ -36,20 +36,25 @@ def write_archive(records: DataFrame, path: str, fmt: str = "json", mode: str =
 def bundle(records: DataFrame, messages_per_object: int = 1000, prefix: str = "archive") -> DataFrame:
     """JSON arrays of raw messages, one per city, date and block of consecutive offsets.
 
-    A block holds at most ``messages_per_object`` messages once replays are dropped, so no group grows with
-    the city, and the same messages always make the same object.
+    A block holds at most ``messages_per_object`` messages, so no group grows with the city, and the same
+    messages always make the same object. Copies of a message collapse as they are gathered, before the
+    shuffle too, so that many copies do not make a large group either.
     """
     block = F.floor(F.col("kafka_offset") / F.lit(messages_per_object)).alias("block")
     entry = F.struct("kafka_offset", "json_data")
-    in_order = F.array_sort(F.collect_list(entry)).getField("json_data")
+    in_order = F.array_sort(F.col("entries"))
     grouped = archive_rows(records).groupBy(*FOLDERS, "topic", "partition", block).agg(
-        F.count("*").cast("int").alias("messages"),
+        F.collect_set(entry).alias("entries"),
         F.min("kafka_offset").alias("first_offset"),
         F.max("kafka_offset").alias("last_offset"),
-        F.to_json(in_order).alias("body"),
     )
     folder = F.concat_ws("/", F.lit(prefix), *FOLDERS)
     name = F.format_string("batch_%d_%d.json", "partition", "block")
     return grouped.select(
-        F.concat_ws("/", folder, name).alias("object_key"), *FOLDERS, "messages", "first_offset", "last_offset", "body"
+        F.concat_ws("/", folder, name).alias("object_key"),
+        *FOLDERS,
+        F.size("entries").alias("messages"),
+        "first_offset",
+        "last_offset",
+        F.to_json(in_order.getField("json_data")).alias("body"),
     )

@@ -14,7 +14,7 @@ from breathline.operators.replace import replace_by_key
 from breathline.operators.rollup import DAILY_KEYS, HOURLY_KEYS, daily, hourly
 from breathline.schema import HOURLY, RECORD_ID, STORED
 from breathline.streaming import run
-from breathline.streaming.pipelines import archive_sink, measurement_sink, realtime
+from breathline.streaming.flows import archive_sink, measurement_sink, realtime
 
 
 def run_realtime(

@@ -6,29 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-HOURLY = """
-    SELECT city,
-           date_trunc('HOUR', measurement_time) AS hour_start,
-           avg(aqi) AS aqi_avg, max(aqi) AS aqi_max, min(aqi) AS aqi_min, stddev_pop(aqi) AS aqi_stddev,
-           avg(pm25) AS pm25_avg, max(pm25) AS pm25_max, min(pm25) AS pm25_min,
-           avg(pm10) AS pm10_avg, max(pm10) AS pm10_max, min(pm10) AS pm10_min,
-           avg(temperature) AS temperature_avg, avg(humidity) AS humidity_avg,
-           CAST(count(*) AS INT) AS record_count
-    FROM {view}
-    GROUP BY city, hour_start
-"""
-
-DAILY = """
-    SELECT city,
-           to_date(hour_start) AS date,
-           avg(aqi_avg) AS aqi_avg, max(aqi_max) AS aqi_max, min(aqi_min) AS aqi_min,
-           avg(pm25_avg) AS pm25_avg, max(pm25_max) AS pm25_max, min(pm25_min) AS pm25_min,
-           avg(pm10_avg) AS pm10_avg, max(pm10_max) AS pm10_max, min(pm10_min) AS pm10_min,
-           avg(temperature_avg) AS temperature_avg, avg(humidity_avg) AS humidity_avg,
-           sum(record_count) AS total_records
-    FROM {view}
-    GROUP BY city, date
-"""
+from breathline.operators.rollup import STATISTICS
+
+_NAMES = {"avg": "avg", "max": "max", "min": "min", "stddev": "stddev_pop"}
+
+
+def _list(of: Callable[[str, str], str], skip: str = "") -> str:
+    """Select list over all statistics; ``of`` names the input column of one."""
+    return ", ".join(
+        f"{_NAMES[stat]}({of(name, stat)}) AS {name}_{stat}"
+        for name, stats in STATISTICS.items() for stat in stats if stat != skip
+    )
+
+
+def hourly_text(view: str) -> str:
+    return f"""
+        SELECT city, date_trunc('HOUR', measurement_time) AS hour_start, {_list(lambda name, stat: name)},
+               CAST(count(*) AS INT) AS record_count
+        FROM {view} GROUP BY city, hour_start"""
+
+
+def daily_text(view: str) -> str:
+    return f"""
+        SELECT city, to_date(hour_start) AS date, {_list(lambda name, stat: f"{name}_{stat}", skip="stddev")},
+               sum(record_count) AS total_records
+        FROM {view} GROUP BY city, date"""
 
 
 def over_view(spark: SparkSession, view: str, rows: DataFrame, query: Callable[[str], str]) -> DataFrame:
@@ -41,8 +43,8 @@ def over_view(spark: SparkSession, view: str, rows: DataFrame, query: Callable[[
 
 
 def hourly_sql(spark: SparkSession, measurements: DataFrame, view: str = "measurements") -> DataFrame:
-    return over_view(spark, view, measurements, lambda name: HOURLY.format(view=name))
+    return over_view(spark, view, measurements, hourly_text)
 
 
 def daily_sql(spark: SparkSession, hours: DataFrame, view: str = "hours") -> DataFrame:
-    return over_view(spark, view, hours, lambda name: DAILY.format(view=name))
+    return over_view(spark, view, hours, daily_text)

@@ -53,12 +53,14 @@ def append_batch(
 
 
 def ensure_table(spark: SparkSession, name: str, schema: StructType, partition_by: Sequence[str], path: str) -> bool:
-    """Creates the catalog table if it is missing; true if it was."""
-    if spark.catalog.tableExists(name):
-        return False
-    fields = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema.fields)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING parquet "
-        f"PARTITIONED BY ({', '.join(partition_by)}) LOCATION '{path}'"
-    )
-    return True
+    """Gives the files at ``path`` a name in the catalog if they have none, and lets the catalog find the
+    partitions written since. True if the name is new."""
+    missing = not spark.catalog.tableExists(name)
+    if missing:
+        fields = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema.fields)
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING parquet "
+            f"PARTITIONED BY ({', '.join(partition_by)}) LOCATION '{path}'"
+        )
+    spark.catalog.recoverPartitions(name)
+    return missing

@@ -48,28 +48,43 @@ _LEVEL = """
          WHEN greatest(coalesce(pm25, 0), coalesce(pm10, 0)) < 150 THEN 'High'
          ELSE 'Severe' END AS pollution_level"""
 
-_HOURLY = """
+_PARTICLES = ["pm25", "pm10"]
+_WEATHER = ["temperature", "humidity"]
+
+
+def _extent(name: str, of: str = "{0}") -> str:
+    """Mean, highest and lowest of a quantity; ``of`` shapes the input column from name and statistic."""
+    return ", ".join(f"{stat}({of.format(name, stat)}) AS {name}_{stat}" for stat in ("avg", "max", "min"))
+
+
+_HOURLY = f"""
 hourly AS (
     SELECT city, CAST(date_trunc('hour', measurement_time) AS TIMESTAMP) AS hour_start,
-           avg(aqi) AS aqi_avg, max(aqi) AS aqi_max, min(aqi) AS aqi_min, stddev_pop(aqi) AS aqi_stddev,
-           avg(pm25) AS pm25_avg, max(pm25) AS pm25_max, min(pm25) AS pm25_min,
-           avg(pm10) AS pm10_avg, max(pm10) AS pm10_max, min(pm10) AS pm10_min,
-           avg(temperature) AS temperature_avg, avg(humidity) AS humidity_avg,
+           {_extent("aqi")}, stddev_pop(aqi) AS aqi_stddev,
+           {", ".join(_extent(name) for name in _PARTICLES)},
+           {", ".join(f"avg({name}) AS {name}_avg" for name in _WEATHER)},
            CAST(count(*) AS INTEGER) AS record_count
     FROM measurements GROUP BY ALL
 )"""
 
-_DAILY = """
+_COARSER = ", ".join(
+    [_extent(name, "{0}_{1}") for name in ("aqi", *_PARTICLES)]
+    + [f"avg({name}_avg) AS {name}_avg" for name in _WEATHER]
+)
+
+_DAILY = f"""
 daily AS (
-    SELECT city, CAST(hour_start AS DATE) AS date,
-           avg(aqi_avg) AS aqi_avg, max(aqi_max) AS aqi_max, min(aqi_min) AS aqi_min,
-           avg(pm25_avg) AS pm25_avg, max(pm25_max) AS pm25_max, min(pm25_min) AS pm25_min,
-           avg(pm10_avg) AS pm10_avg, max(pm10_max) AS pm10_max, min(pm10_min) AS pm10_min,
-           avg(temperature_avg) AS temperature_avg, avg(humidity_avg) AS humidity_avg,
-           CAST(sum(record_count) AS BIGINT) AS total_records
+    SELECT city, CAST(hour_start AS DATE) AS date, {_COARSER}, CAST(sum(record_count) AS BIGINT) AS total_records
     FROM hourly GROUP BY ALL
 )"""
 
+_WEEKLY = f"""
+weekly AS (
+    SELECT city, CAST(date_trunc('week', date) AS DATE) AS week_start, {_COARSER},
+           CAST(sum(total_records) AS BIGINT) AS total_records
+    FROM daily GROUP BY ALL
+)"""
+
 
 def _rounded(*names: str) -> str:
     return ", ".join(f"round({name} + 1e-10, 6) AS {name}" for name in names)
@@ -79,7 +94,7 @@ def _over(*tables: str) -> str:
     return "WITH " + ",".join(tables) + "\n"
 
 
-_PM = ["pm25_avg", "pm25_max", "pm25_min", "pm10_avg", "pm10_max", "pm10_min", "temperature_avg", "humidity_avg"]
+_PM = [f"{name}_{stat}" for name in _PARTICLES for stat in ("avg", "max", "min")] + [f"{name}_avg" for name in _WEATHER]
 
 _HOUR_ROW = f"""city, hour_start, {_rounded("aqi_avg")}, aqi_max, aqi_min, {_rounded("aqi_stddev", *_PM)}, record_count"""
 
@@ -194,14 +209,8 @@ ORACLE: dict[str, str] = {
                round(avg(temperature) + 1e-10, 6) AS temperature_avg, round(avg(humidity) + 1e-10, 6) AS humidity_avg,
                count(*) AS total_records
         FROM measurements GROUP BY ALL""",
-    "weekly_rollup": _over(_MEASUREMENTS, _HOURLY, _DAILY) + """
-        SELECT city, CAST(date_trunc('week', date) AS DATE) AS week_start,
-               round(avg(aqi_avg) + 1e-10, 6) AS aqi_avg, max(aqi_max) AS aqi_max, min(aqi_min) AS aqi_min,
-               round(avg(pm25_avg) + 1e-10, 6) AS pm25_avg, max(pm25_max) AS pm25_max, min(pm25_min) AS pm25_min,
-               round(avg(pm10_avg) + 1e-10, 6) AS pm10_avg, max(pm10_max) AS pm10_max, min(pm10_min) AS pm10_min,
-               round(avg(temperature_avg) + 1e-10, 6) AS temperature_avg, round(avg(humidity_avg) + 1e-10, 6) AS humidity_avg,
-               CAST(sum(total_records) AS BIGINT) AS total_records
-        FROM daily GROUP BY ALL""",
+    "weekly_rollup": _over(_MEASUREMENTS, _HOURLY, _DAILY, _WEEKLY) + f"""
+        SELECT {_DAY_ROW.replace("date,", "week_start,")} FROM weekly""",
     "union_cities": _over(_MEASUREMENTS, _DIMENSION, _HOURLY) + f"""
         SELECT {_HOUR_ROW} FROM hourly WHERE city IN (SELECT city FROM dimension)""",
     "overlap_keys": _over(_MEASUREMENTS) + f"""

@@ -16,7 +16,7 @@ from breathline.schema import DIMENSION, HOURLY, MEASUREMENT, RECORD, RECORD_ID
 from breathline.session import prepare
 from breathline.sinks.tables import write_partitioned
 from breathline.sources import files
-from breathline.streaming import pipelines, run
+from breathline.streaming import flows, run
 from checks import fixture
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,7 +234,7 @@ def upsert_daily(spark, sf_dir):
 @register
 def measurements_sink(spark, sf_dir):
     path = workspace.scratch(spark, "measurements")
-    rows = pipelines.realtime(
+    rows = flows.realtime(
         fixture.messages(spark, sf_dir), fixture.dimension(spark, sf_dir), processed_time=F.col("timestamp")
     )
     write_partitioned(rows, path, ["processed_date"], ["city", "measurement_time"])
@@ -245,10 +245,10 @@ def measurements_sink(spark, sf_dir):
 def batch_jobs(spark, sf_dir):
     """Stored measurements to stored hours to stored days."""
     paths = [workspace.scratch(spark, name) for name in ("measurements", "hourly", "daily")]
-    rows = pipelines.realtime(
+    rows = flows.realtime(
         fixture.messages(spark, sf_dir), fixture.dimension(spark, sf_dir), processed_time=F.col("timestamp")
     )
-    pipelines.measurement_sink(paths[0])(rows, 0)
+    flows.measurement_sink(paths[0])(rows, 0)
     jobs.run_hourly(spark, paths[0], paths[1])
     jobs.run_daily(spark, paths[1], paths[2])
     return spark.read.parquet(paths[2]).drop("month")
@@ -295,8 +295,8 @@ def stream_enrich(spark, sf_dir):
     """The realtime job, from published messages to the stored table."""
     path = workspace.scratch(spark, "measurements")
     stream = files.stream_messages(spark, landed(spark, fixture.messages(spark, sf_dir)))
-    rows = pipelines.realtime(stream, fixture.dimension(spark, sf_dir))
-    drained(spark, rows, pipelines.measurement_sink(path))
+    rows = flows.realtime(stream, fixture.dimension(spark, sf_dir))
+    drained(spark, rows, flows.measurement_sink(path))
     shown = [name for name in MEASUREMENT.names if name != "processed_time"] + ["health_status", "pollution_level"]
     return jobs.read_measurements(spark, path).select("offset", *shown, *DIMENSION.names[1:])
 
@@ -307,7 +307,7 @@ def stream_archive(spark, sf_dir):
     drained(
         spark,
         files.stream_messages(spark, landed(spark, fixture.messages(spark, sf_dir))),
-        pipelines.archive_sink(path),
+        flows.archive_sink(path),
     )
     return files.read_archive(spark, path).groupBy("city", "year", "month", "day").agg(
         F.count("*").alias("records"), F.min("kafka_offset").alias("first_offset"),
@@ -323,8 +323,8 @@ def stream_dedup(spark, sf_dir):
     landed(spark, fixture.messages(spark, sf_dir), mode="append", path=landing)
     delay = span(spark.read.parquet(landing))
     once = dedup.drop_replays_stream(files.stream_messages(spark, landing), "timestamp", delay)
-    rows = pipelines.realtime(once, fixture.dimension(spark, sf_dir))
-    drained(spark, rows, pipelines.measurement_sink(path))
+    rows = flows.realtime(once, fixture.dimension(spark, sf_dir))
+    drained(spark, rows, flows.measurement_sink(path))
     return jobs.read_measurements(spark, path).select(*RECORD_ID, "city", "aqi", "pm25", "measurement_time")
 
 
@@ -333,8 +333,8 @@ def stream_hourly(spark, sf_dir):
     path = workspace.scratch(spark, "hourly")
     landing = landed(spark, fixture.messages(spark, sf_dir))
     delay = span(spark.read.parquet(landing))
-    hours = pipelines.hourly_stream(parse.parse(files.stream_messages(spark, landing)), delay)
-    drained(spark, hours, pipelines.hourly_sink(path), mode="update")
+    hours = flows.hourly_stream(parse.parse(files.stream_messages(spark, landing)), delay)
+    drained(spark, hours, flows.hourly_sink(path), mode="update")
     return jobs.read_hourly(spark, path).select(*HOURLY.names)
 
 

@@ -54,5 +54,6 @@ def test_bundles_are_bounded_ordered_and_repeatable(spark, record):
     assert (third.first_offset, third.last_offset) == (20, 29)
     assert [json.loads(text)["payload"]["aqi"] for text in json.loads(third.body)] == list(range(20, 30))
     assert json.loads(rows["cold/b/2024/01/31/batch_0_9.json"].body) == [AWKWARD]
-    again = archive.bundle(sent.repartition(7), messages_per_object=10, prefix="cold")
+    copies = sent.unionByName(sent).unionByName(sent.where("offset = 25").crossJoin(spark.range(500)).drop("id"))
+    again = archive.bundle(copies.repartition(7), messages_per_object=10, prefix="cold")
     assert rows_of(again) == rows_of(bundles)

@@ -41,4 +41,4 @@ def test_entry(spark, db):
 
 def test_fixture_keeps_every_event(spark, db):
     events = table(spark, SF_DIR, "events").count()
-    assert db.sql("SELECT count(*) FROM events JOIN customer ON user_id = c_custkey").fetchone()[0] == events
+    assert db.sql("SELECT count(*) FROM events JOIN customer ON user_id = c_custkey").fetchall() == [(events,)]

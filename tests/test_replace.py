@@ -140,5 +140,9 @@ def test_table_is_created_once(spark, path):
         assert ensure_table(spark, name, schema, ["day"], path)
         assert not ensure_table(spark, name, schema, ["day"], path)
         assert spark.table(name).columns == schema.names
+        assert rows_of(spark.table(name)) == sorted(FIRST, key=str)
+        put(spark, path, *SECOND)
+        ensure_table(spark, name, schema, ["day"], path)
+        assert rows_of(spark.table(name)) == AFTER
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -10,7 +10,7 @@ from breathline.plans import jobs
 from breathline.schema import DIMENSION, HOURLY, MEASUREMENT
 from breathline.sinks.tables import append_batch
 from breathline.sources import files
-from breathline.streaming import pipelines, run
+from breathline.streaming import flows, run
 
 START = at("2024-01-01 10:00:00")
 
@@ -60,12 +60,12 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_path, sent, dim
 
     def once():
         stream = files.stream_messages(spark, landing, max_files=1)
-        sink = pipelines.measurement_sink(table, counts.__setitem__)
-        run.start(pipelines.realtime(stream, dimension), sink, checkpoint).awaitTermination()
+        sink = flows.measurement_sink(table, counts.__setitem__)
+        run.start(flows.realtime(stream, dimension), sink, checkpoint).awaitTermination()
 
     once()
     assert counts == {0: 30, 1: 30, 2: 30}
-    expected = rows_of(pipelines.realtime(everything(sent[:3]), dimension), *SHOWN)
+    expected = rows_of(flows.realtime(everything(sent[:3]), dimension), *SHOWN)
     assert read(spark, table, *SHOWN) == expected
 
     once()
@@ -74,13 +74,13 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_path, sent, dim
     land(landing, sent[3:])
     once()
     assert counts[3] == 30
-    assert read(spark, table, *SHOWN) == rows_of(pipelines.realtime(everything(sent), dimension), *SHOWN)
+    assert read(spark, table, *SHOWN) == rows_of(flows.realtime(everything(sent), dimension), *SHOWN)
 
 
 def test_batch_run_again_leaves_one_copy(spark, tmp_path, sent, dimension):
     table = str(tmp_path / "table")
-    rows = pipelines.realtime(sent[0], dimension)
-    sink = pipelines.measurement_sink(table)
+    rows = flows.realtime(sent[0], dimension)
+    sink = flows.measurement_sink(table)
     for _ in range(2):
         sink(rows, 7)
     assert jobs.read_measurements(spark, table).count() == 30
@@ -88,8 +88,8 @@ def test_batch_run_again_leaves_one_copy(spark, tmp_path, sent, dimension):
 
 def test_empty_batch_writes_nothing(spark, tmp_path, sent, dimension):
     path = tmp_path / "table"
-    append_batch(str(path), ["processed_date"], ["city"])(pipelines.realtime(sent[0].limit(0), dimension), 0)
-    pipelines.archive_sink(str(path))(sent[0].limit(0), 0)
+    append_batch(str(path), ["processed_date"], ["city"])(flows.realtime(sent[0].limit(0), dimension), 0)
+    flows.archive_sink(str(path))(sent[0].limit(0), 0)
     assert not path.exists()
 
 
@@ -112,12 +112,12 @@ def test_jobs_from_messages_to_days(spark, tmp_path, sent, dimension):
 def test_incremental_hours_equal_all_hours(spark, tmp_path, sent, dimension):
     """A later run from an hour on, after more readings of that hour have come in."""
     table, part, full = (str(tmp_path / name) for name in ("table", "part", "full"))
-    sink = pipelines.measurement_sink(table)
+    sink = flows.measurement_sink(table)
     processed = F.col("timestamp") + F.expr("INTERVAL 5 MINUTES")
-    sink(pipelines.realtime(everything(sent[:2]), dimension, processed_time=processed), 0)
+    sink(flows.realtime(everything(sent[:2]), dimension, processed_time=processed), 0)
     jobs.run_hourly(spark, table, part)
     jobs.run_daily(spark, part, part + "_days")
-    sink(pipelines.realtime(everything(sent[2:]), dimension, processed_time=processed), 1)
+    sink(flows.realtime(everything(sent[2:]), dimension, processed_time=processed), 1)
     since = START + timedelta(hours=8)
     jobs.run_hourly(spark, table, part, since=since)
     jobs.run_daily(spark, part, part + "_days", since=since.replace(hour=0))
@@ -129,7 +129,7 @@ def test_incremental_hours_equal_all_hours(spark, tmp_path, sent, dimension):
 
 def test_since_prunes_partitions(spark, tmp_path, sent, dimension):
     table = str(tmp_path / "table")
-    pipelines.measurement_sink(table)(pipelines.realtime(sent[0], dimension), 0)
+    flows.measurement_sink(table)(flows.realtime(sent[0], dimension), 0)
     chosen = jobs.since_hour(jobs.read_measurements(spark, table), START)
     plan = chosen._jdf.queryExecution().executedPlan().toString()
     filters = plan.split("PartitionFilters: [")[1].split("]")[0]
@@ -139,9 +139,9 @@ def test_since_prunes_partitions(spark, tmp_path, sent, dimension):
 
 def test_copies_are_dropped_on_demand(spark, tmp_path, sent, dimension):
     table, once, twice = (str(tmp_path / name) for name in ("table", "once", "twice"))
-    sink = pipelines.measurement_sink(table)
+    sink = flows.measurement_sink(table)
     for batch in (0, 1):
-        sink(pipelines.realtime(sent[0], dimension), batch)
+        sink(flows.realtime(sent[0], dimension), batch)
     jobs.run_hourly(spark, table, once, drop_copies=True)
     jobs.run_hourly(spark, table, twice)
     total = lambda path: jobs.read_hourly(spark, path).agg(F.sum("record_count")).first()[0]
@@ -161,7 +161,7 @@ def test_replays_are_dropped_across_batches(spark, tmp_path, sent, dimension):
     landing, table = str(tmp_path / "landing"), str(tmp_path / "table")
     land(landing, [sent[0], sent[1], sent[0], sent[1]])
     once = dedup.drop_replays_stream(files.stream_messages(spark, landing, max_files=1), "timestamp", "1 day")
-    run.start(pipelines.realtime(once, dimension), pipelines.measurement_sink(table), str(tmp_path / "c")).awaitTermination()
+    run.start(flows.realtime(once, dimension), flows.measurement_sink(table), str(tmp_path / "c")).awaitTermination()
     assert read(spark, table, "topic", "offset") == rows_of(everything(sent[:2]), "topic", "offset")
 
 
@@ -170,7 +170,7 @@ def test_hourly_stream_over_several_batches(spark, tmp_path, sent):
     land(landing, sent)
     stream = parse.parse(files.stream_messages(spark, landing, max_files=1))
     query = run.start(
-        pipelines.hourly_stream(stream, "1 day"), pipelines.hourly_sink(hours), str(tmp_path / "c"), mode="update"
+        flows.hourly_stream(stream, "1 day"), flows.hourly_sink(hours), str(tmp_path / "c"), mode="update"
     )
     query.awaitTermination()
     expected = rollup.hourly(parse.parse(everything(sent)))
@@ -190,7 +190,7 @@ def test_late_reading_is_repaired_by_the_batch_job(spark, tmp_path, record, dime
     stream = lambda: files.stream_messages(spark, landing, max_files=1)
     jobs.run_realtime(stream(), dimension, table, str(tmp_path / "c1"), trigger=None).awaitTermination()
     run.start(
-        pipelines.hourly_stream(parse.parse(stream()), "1 hour"), pipelines.hourly_sink(hours), str(tmp_path / "c2"),
+        flows.hourly_stream(parse.parse(stream()), "1 hour"), flows.hourly_sink(hours), str(tmp_path / "c2"),
         mode="update",
     ).awaitTermination()
     assert jobs.read_hourly(spark, hours).agg(F.sum("record_count")).first()[0] == 3
