@@ -25,12 +25,12 @@ def archive_rows(records: DataFrame) -> DataFrame:
     )
 
 
-def write_archive(records: DataFrame, path: str, fmt: str = "json", mode: str = "append", cluster: bool = True) -> None:
+def write_archive(records: DataFrame, path: str, fmt: str = "json", mode: str = "append") -> None:
     """``json``: one object per line, the message kept as a string, so any text survives unchanged.
     ``parquet``: the same columns, Snappy-compressed."""
     options = {"timestampFormat": ARCHIVE_TIME_FORMAT} if fmt == "json" else {"compression": "snappy"}
     sort_by = ["partition", "kafka_offset"]
-    write_partitioned(archive_rows(records), path, FOLDERS, sort_by, mode, fmt=fmt, options=options, cluster=cluster)
+    write_partitioned(archive_rows(records), path, FOLDERS, sort_by, mode, fmt=fmt, options=options)
 
 
 def bundle(records: DataFrame, messages_per_object: int = 1000, prefix: str = "archive") -> DataFrame:

@@ -30,16 +30,17 @@ def realtime(
 
 
 def measurement_sink(path: str, on_count: Callable[[int, int], None] | None = None) -> Sink:
+    """Rows of a batch were all processed at one time, so tasks write one file each, without a shuffle."""
     return append_batch(path, ["processed_date"], ["city", "measurement_time"], on_count)
 
 
 def archive_sink(path: str, fmt: str = "json") -> Sink:
-    """A batch writes its own folder, so running it again after a failure leaves no second copy. Tasks write
-    straight to the date folders: a task reads one topic in order and thus few cities and dates."""
+    """A batch writes its own folder, so running it again after a failure leaves no second copy. Rows are
+    gathered by city and date first: a backlog holds many dates, and every task would open a file for each."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            write_archive(batch, f"{path}/batch_id={batch_id}", fmt, mode="overwrite", cluster=False)
+            write_archive(batch, f"{path}/batch_id={batch_id}", fmt, mode="overwrite")
 
     return write
 

@@ -248,7 +248,7 @@ def batch_jobs(spark, sf_dir):
     rows = flows.realtime(
         fixture.messages(spark, sf_dir), fixture.dimension(spark, sf_dir), processed_time=F.col("timestamp")
     )
-    flows.measurement_sink(paths[0])(rows, 0)
+    write_partitioned(rows, paths[0], ["processed_date"], ["city", "measurement_time"])
     jobs.run_hourly(spark, paths[0], paths[1])
     jobs.run_daily(spark, paths[1], paths[2])
     return spark.read.parquet(paths[2]).drop("month")

@@ -8,6 +8,7 @@ from breathline.__main__ import arguments, start
 from breathline.operators import rollup
 from breathline.plans import jobs
 from breathline.schema import HOURLY
+from breathline.sinks.tables import write_partitioned
 from breathline.streaming import flows
 from checks import fixture
 
@@ -28,7 +29,7 @@ def test_hourly_and_daily_jobs(spark, tmp_path):
     rows = flows.realtime(
         fixture.messages(spark, SF_DIR), fixture.dimension(spark, SF_DIR), processed_time=F.col("timestamp")
     )
-    flows.measurement_sink(paths[0])(rows, 0)
+    write_partitioned(rows, paths[0], ["processed_date"], ["city", "measurement_time"])
     start(spark, arguments(["hourly", "--source", paths[0], "--table", paths[1]]))
     start(spark, arguments(["daily", "--source", paths[1], "--table", paths[2]]))
     expected = rollup.hourly(fixture.measurements(spark, SF_DIR))
