@@ -58,3 +58,10 @@ def bundle(records: DataFrame, messages_per_object: int = 1000, prefix: str = "a
         "last_offset",
         F.to_json(in_order.getField("json_data")).alias("body"),
     )
+
+
+def write_bundles(records: DataFrame, path: str, messages_per_object: int = 1000, mode: str = "append") -> None:
+    """Bundles under their city and date, one JSON array a line."""
+    rows = bundle(records, messages_per_object).select(*FOLDERS, "first_offset", "body")
+    rows = rows.hint("rebalance", *FOLDERS).sortWithinPartitions(*FOLDERS, "first_offset")
+    rows.select(*FOLDERS, "body").write.mode(mode).partitionBy(*FOLDERS).text(path)

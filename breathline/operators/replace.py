@@ -51,16 +51,18 @@ def replace_by_key(
     Only partitions that ``new`` touches are read and rewritten; ``partition_by`` must follow from the keys.
     New and surviving rows are first written beside the table, and the table is overwritten from those
     copies: a run that dies while overwriting is completed by the next one. One run at a time per table.
+    ``new`` is computed once, and all further work is done in ``spark``.
     """
     finish_pending(spark, path, new.schema, partition_by, sort_by)
-    if not workspace.exists(spark, path):
-        write_partitioned(new, path, [partition_by], sort_by, mode="overwrite")
-        return
     beside = workspace.pending(spark, path)
     new.write.mode("overwrite").parquet(f"{beside}/new")
     staged = spark.read.schema(new.schema).parquet(f"{beside}/new")
-    touched = spark.read.schema(new.schema).parquet(path).where(_in_partitions(staged, partition_by))
-    kept = survivors(touched, staged, keys).select(*new.columns)
+    if staged.isEmpty():
+        return
+    kept = staged.where(F.lit(False))
+    if workspace.exists(spark, path):
+        touched = spark.read.schema(new.schema).parquet(path).where(_in_partitions(staged, partition_by))
+        kept = survivors(touched, staged, keys).select(*new.columns)
     kept.write.mode("overwrite").parquet(f"{beside}/kept")
     finish_pending(spark, path, new.schema, partition_by, sort_by)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from breathline.functions.clock import LOCAL_OFFSET_HOURS
 from breathline.operators.archive import write_archive
@@ -57,11 +57,12 @@ def hourly_stream(measurements: DataFrame, delay: str) -> DataFrame:
     )
 
 
-def hourly_sink(path: str) -> Sink:
-    """Replaces the changed hours, so a repeated batch changes nothing. The batch is read once."""
+def hourly_sink(spark: SparkSession, path: str) -> Sink:
+    """Replaces the changed hours, so a repeated batch changes nothing. The table is rewritten in ``spark``: the
+    session of a stateful stream has adaptive execution off and one task per state partition."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         dated = batch.withColumn("date", F.to_date("hour_start"))
-        replace_by_key(batch.sparkSession, path, dated, HOURLY_KEYS, "date", HOURLY_KEYS)
+        replace_by_key(spark, path, dated, HOURLY_KEYS, "date", HOURLY_KEYS)
 
     return write

@@ -334,7 +334,7 @@ def stream_hourly(spark, sf_dir):
     landing = landed(spark, fixture.messages(spark, sf_dir))
     delay = span(spark.read.parquet(landing))
     hours = flows.hourly_stream(parse.parse(files.stream_messages(spark, landing)), delay)
-    drained(spark, hours, flows.hourly_sink(path), mode="update")
+    drained(spark, hours, flows.hourly_sink(spark, path), mode="update")
     return jobs.read_hourly(spark, path).select(*HOURLY.names)
 
 

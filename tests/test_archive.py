@@ -57,3 +57,13 @@ def test_bundles_are_bounded_ordered_and_repeatable(spark, record):
     copies = sent.unionByName(sent).unionByName(sent.where("offset = 25").crossJoin(spark.range(500)).drop("id"))
     again = archive.bundle(copies.repartition(7), messages_per_object=10, prefix="cold")
     assert rows_of(again) == rows_of(bundles)
+
+
+def test_written_bundles_read_back(spark, record, tmp_path):
+    path = str(tmp_path / "bundles")
+    archive.write_bundles(record([("a", {"aqi": n}, EARLY) for n in range(25)] + [("b", AWKWARD, LATE)]), path, 10)
+    assert glob.glob(f"{path}/city=b/year=2024/month=01/day=31/*.txt")
+    lines = spark.read.schema("value STRING, city STRING").text(path)
+    arrays = [json.loads(row.value) for row in lines.where("city = 'a'").collect()]
+    assert sorted(len(array) for array in arrays) == [5, 10, 10]
+    assert [json.loads(row.value) for row in lines.where("city = 'b'").collect()] == [[AWKWARD]]

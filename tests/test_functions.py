@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from breathline.functions import clock, ladders, names
 from breathline.schema import RECORD
 from breathline.sources.broker import Security, broker_options
+from breathline.sources import jdbc
 from breathline.sources.jdbc import append_options, time_slices
 
 
@@ -90,5 +91,34 @@ def test_append_options():
     assert append_options(8) == {"numPartitions": "8", "batchsize": "10000", "isolationLevel": "NONE"}
 
 
+class Calls:
+    """Stands for a session or a frame and notes its JDBC calls; no database runs here."""
+
+    def __init__(self, empty=False):
+        self.made, self.empty = [], empty
+        self.read = self.write = self
+
+    def jdbc(self, *given, **named):
+        self.made.append((given, named))
+
+    def isEmpty(self):
+        return self.empty
+
+
+def test_jdbc_reads_in_slices_and_appends_batches():
+    session = Calls()
+    jdbc.read_table(session, "jdbc:x", "m", {"user": "u"}, "t", [datetime(2024, 1, 1)])
+    assert session.made == [(("jdbc:x", "m"), {
+        "predicates": ["t < TIMESTAMP '2024-01-01 00:00:00' OR t IS NULL", "t >= TIMESTAMP '2024-01-01 00:00:00'"],
+        "properties": {"user": "u"},
+    })]
+    write = jdbc.append_batch("jdbc:x", "m", {"user": "u"}, connections=4)
+    full, empty = Calls(), Calls(empty=True)
+    write(full, 1)
+    write(empty, 2)
+    assert full.made == [(("jdbc:x", "m"), {"mode": "append", "properties": {"user": "u", **append_options(4)}})]
+    assert empty.made == []
+
+
 def test_record_columns():
     assert RECORD.names == ["key", "value", "topic", "partition", "offset", "timestamp"]

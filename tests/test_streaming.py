@@ -170,7 +170,7 @@ def test_hourly_stream_over_several_batches(spark, tmp_path, sent):
     land(landing, sent)
     stream = parse.parse(files.stream_messages(spark, landing, max_files=1))
     query = run.start(
-        flows.hourly_stream(stream, "1 day"), flows.hourly_sink(hours), str(tmp_path / "c"), mode="update"
+        flows.hourly_stream(stream, "1 day"), flows.hourly_sink(spark, hours), str(tmp_path / "c"), mode="update"
     )
     query.awaitTermination()
     expected = rollup.hourly(parse.parse(everything(sent)))
@@ -190,7 +190,7 @@ def test_late_reading_is_repaired_by_the_batch_job(spark, tmp_path, record, dime
     stream = lambda: files.stream_messages(spark, landing, max_files=1)
     jobs.run_realtime(stream(), dimension, table, str(tmp_path / "c1"), trigger=None).awaitTermination()
     run.start(
-        flows.hourly_stream(parse.parse(stream()), "1 hour"), flows.hourly_sink(hours), str(tmp_path / "c2"),
+        flows.hourly_stream(parse.parse(stream()), "1 hour"), flows.hourly_sink(spark, hours), str(tmp_path / "c2"),
         mode="update",
     ).awaitTermination()
     assert jobs.read_hourly(spark, hours).agg(F.sum("record_count")).first()[0] == 3
