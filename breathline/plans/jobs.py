@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, StructField, StructType
 
+from breathline import workspace
 from breathline.functions.clock import LOCAL_OFFSET_HOURS
 from breathline.operators.dedup import drop_replays
 from breathline.operators.replace import replace_by_key
@@ -29,19 +30,25 @@ def run_archive(
     return run.start(records, archive_sink(path, fmt), checkpoint, trigger)
 
 
-def read_measurements(spark: SparkSession, path: str) -> DataFrame:
-    """The measurement table with the message ids and its partition columns."""
-    return spark.read.schema(STORED).parquet(path)
+def read_measurements(spark: SparkSession, path: str, oldest: date | None = None) -> DataFrame:
+    """The measurement table, or its partitions from a date on. Then only their folders are listed: after a
+    year of micro-batches, listing all of them would take longer than reading one day."""
+    reader = spark.read.schema(STORED)
+    if oldest is None:
+        return reader.parquet(path)
+    first = f"processed_date={oldest.isoformat()}"
+    chosen = [f"{path}/{name}" for name in workspace.folders(spark, path) if name >= first]
+    return reader.option("basePath", path).parquet(*chosen) if chosen else spark.createDataFrame([], STORED)
 
 
-def since_hour(measurements: DataFrame, since: datetime | None, offset_hours: int = LOCAL_OFFSET_HOURS) -> DataFrame:
+def measurements_since(
+    spark: SparkSession, path: str, since: datetime, offset_hours: int = LOCAL_OFFSET_HOURS
+) -> DataFrame:
     """Rows of the local hours from ``since`` on. A reading is processed after the broker saw it, so older
     partitions cannot hold any of them; a day is left for clocks that disagree."""
-    if since is None:
-        return measurements
-    first = F.date_trunc("hour", F.lit(since))
-    oldest = F.to_date(first - F.make_dt_interval(days=F.lit(1), hours=F.lit(offset_hours)))
-    return measurements.where((F.col("measurement_time") >= first) & (F.col("processed_date") >= oldest))
+    first = since.replace(minute=0, second=0, microsecond=0)
+    oldest = (first - timedelta(days=1, hours=offset_hours)).date()
+    return read_measurements(spark, path, oldest).where(F.col("measurement_time") >= F.lit(first))
 
 
 def run_hourly(
@@ -52,7 +59,10 @@ def run_hourly(
     ``drop_copies`` is for tables that a stream has read into twice, as after the loss of its checkpoint: it
     shuffles every reading, which the roll-up alone does not.
     """
-    rows = since_hour(read_measurements(spark, measurements_path), since)
+    rows = (
+        read_measurements(spark, measurements_path) if since is None
+        else measurements_since(spark, measurements_path, since)
+    )
     if drop_copies:
         needed = ["city", "aqi", "pm25", "pm10", "temperature", "humidity", "measurement_time"]
         rows = drop_replays(rows.select(*RECORD_ID, *needed))

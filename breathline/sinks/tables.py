@@ -35,16 +35,17 @@ def write_partitioned(
 def append_batch(
     path: str, partition_by: Sequence[str], sort_by: Sequence[str], on_count: Callable[[int, int], None] | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function. Each batch owns one folder and overwrites it, so a batch that is run again
-    after a failure leaves no second copy. The row count is observed while writing, not recomputed."""
+    """``foreachBatch`` function. Each batch owns a folder below each partition and overwrites it, so a batch
+    that is run again after a failure leaves no second copy (Spark repeats a batch with the time it first had).
+    The row count is observed while writing, not recomputed."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         seen = Observation(f"batch_{batch_id}")
-        counted = batch.observe(seen, F.count("*").alias("rows"))
+        counted = batch.observe(seen, F.count("*").alias("rows")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         write_partitioned(
-            counted, f"{path}/batch_id={batch_id}", partition_by, sort_by, mode="overwrite", cluster=False
+            counted, path, [*partition_by, "batch_id"], sort_by, mode="overwrite", dynamic=True, cluster=False
         )
         if on_count:
             on_count(batch_id, seen.get["rows"])

@@ -50,6 +50,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return filesystem.exists(jvm_path)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a path."""
+    filesystem, jvm_path = _resolve(spark, path)
+    return sorted(status.getPath().getName() for status in filesystem.listStatus(jvm_path) if status.isDirectory())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     filesystem, jvm_path = _resolve(spark, path)
     filesystem.delete(jvm_path, True)

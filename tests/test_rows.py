@@ -106,6 +106,37 @@ def test_enrich_keeps_unknown_and_missing_cities(spark, reading):
     assert results[0] == results[1] == [(1, "hue", "Central"), (2, "nowhere", None), (3, None, None)]
 
 
+def test_hot_city_is_split_beyond_the_broadcast_bound(spark):
+    """A third of the rows in one city: the shuffled join cuts that city's rows into several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        cities = [(f"c{n}", f"C{n}", "VN", "North", n, "x", 1, 2, 3, 4, 5) for n in range(50)]
+        rows = spark.range(0, 300_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 60)).alias("city"),
+            F.xxhash64("id").alias("value"),
+        )
+        joined = enrich.enrich_city(rows, spark.createDataFrame(cities, DIMENSION), max_rows=0).agg(
+            F.count("*").alias("rows"), F.count("region").alias("known"), F.bit_xor("value").alias("values")
+        )
+        row = joined.collect()[0]
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+        assert row.rows == 300_000 and row["values"] == rows.agg(F.bit_xor("value")).first()[0]
+        assert row.known == rows.where(F.expr("city <> 'hot' AND int(substr(city, 2)) < 50")).count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_drop_replays(record):
     one = record([("hue", FULL, NOON), ("hue", FULL, NOON)])
     other = record([("hoian", FULL, NOON)])

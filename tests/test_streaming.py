@@ -127,14 +127,19 @@ def test_incremental_hours_equal_all_hours(spark, tmp_path, sent, dimension):
     assert rows_of(spark.read.parquet(part + "_days")) == rows_of(spark.read.parquet(full + "_days"))
 
 
-def test_since_prunes_partitions(spark, tmp_path, sent, dimension):
+def test_since_lists_only_the_folders_it_needs(spark, tmp_path, sent, dimension):
     table = str(tmp_path / "table")
-    flows.measurement_sink(table)(flows.realtime(sent[0], dimension), 0)
-    chosen = jobs.since_hour(jobs.read_measurements(spark, table), START)
+    sink = flows.measurement_sink(table)
+    for batch, days in enumerate((0, 1, 2, 5, 40)):
+        processed = F.col("timestamp") + F.make_dt_interval(days=F.lit(days))
+        sink(flows.realtime(sent[0], dimension, processed_time=processed), batch)
+    chosen = jobs.measurements_since(spark, table, at("2024-01-04 10:20:00"))
+    assert sorted({name.split("processed_date=")[1][:10] for name in chosen.inputFiles()}) == [
+        "2024-01-03", "2024-01-06", "2024-02-10"
+    ]
     plan = chosen._jdf.queryExecution().executedPlan().toString()
-    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert "processed_date" in filters and "2023-12-31" in filters
-    assert "GreaterThanOrEqual(measurement_time" in plan
+    assert "GreaterThanOrEqual(measurement_time,2024-01-04" in plan
+    assert jobs.measurements_since(spark, table, at("2024-03-01 00:00:00")).count() == 0
 
 
 def test_copies_are_dropped_on_demand(spark, tmp_path, sent, dimension):
