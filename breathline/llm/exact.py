@@ -71,7 +71,8 @@ def recipes(docs: DataFrame, identifier: Callable[[Column], Column] = sha) -> Da
 def _ambiguous(cut: DataFrame, identifier: Callable[[Column], Column]) -> DataFrame:
     """Identifiers that stand for more than one chunk text. Every distinct chunk is moved once."""
     distinct = (
-        cut.select(F.explode("chunks").alias("chunk"))
+        # The outer form: the plain one would first filter on the size of the list, and so make it twice.
+        cut.select(F.explode_outer("chunks").alias("chunk"))
         .select(identifier(F.col("chunk")).alias("identifier"), "chunk")
         .groupBy("identifier", "chunk").agg(F.count("*").alias("rows"))
     )
