@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import breathline
 from breathline import workspace
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -17,6 +23,15 @@ def documents(docs: DataFrame) -> DataFrame:
     )
 
 
+def shipped(spark: SparkSession) -> SparkSession:
+    """The session, once its executors have this package: the driver serves it to them as any Python file."""
+    if not os.path.exists(SparkFiles.get("breathline.zip")):
+        top = os.path.dirname(os.path.dirname(os.path.abspath(breathline.__file__)))
+        archive = os.path.join(tempfile.mkdtemp(prefix="breathline-"), "breathline")
+        spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", top, "breathline"))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from breathline.llm import exact, packing, shards
-from breathline.llm.base import table
+from breathline.llm import ann, bpe, exact, jaccard, packing, repeats, shards
+from breathline.llm.base import shipped, table
 
 QUERIES = {}
 ORACLE = {}
@@ -15,8 +17,27 @@ SHARDS = 16
 
 
 def query(function):
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return function(shipped(spark), sf_dir)
+
+    QUERIES[function.__name__] = run_query
+    return run_query
+
+
+@query
+def op1_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    counted = bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
+    return bpe.decode(counted, path, pattern).select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 @query
@@ -45,6 +66,18 @@ def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), width=3, shared=90, of=100)
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op10_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
