@@ -7,7 +7,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from breathline.llm import ann, bpe, exact, jaccard, packing, repeats, shards
+from breathline.llm import ann, bpe, exact, jaccard, licenses, packing, repeats, secret_scan, shards, toxicity
 from breathline.llm.base import shipped, table
 
 QUERIES = {}
@@ -40,6 +40,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
@@ -57,6 +62,11 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AND again = 1 AS kept, sha2
 """
 
 
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = shards.document_points(table(spark, sf_dir, "documents"))
@@ -66,6 +76,14 @@ def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan_secrets(docs, secret_scan.labelled_findings(docs)).withColumn(
+        "found_sha256", F.sha2("found", 256)
+    ).drop("found")
+
+
 @query
 def op8_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), width=3, shared=90, of=100)
