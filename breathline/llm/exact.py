@@ -54,11 +54,11 @@ def recipes(docs: DataFrame, identifier: Callable[[Column], Column] = sha) -> Da
     )
     if not ambiguous.isEmpty():
         used = (
-            named.select("doc_id", "text_sha256", F.explode("identifiers").alias("identifier"))
-            .join(ambiguous, "identifier", "left_semi").select("doc_id", "text_sha256").distinct()
+            named.select("text_sha256", F.explode("identifiers").alias("identifier"))
+            .join(ambiguous, "identifier", "left_semi").select("text_sha256").distinct()
             .withColumn("by_text", F.lit(True))
         )
-        named = named.join(used, ["doc_id", "text_sha256"], "left").withColumn(
+        named = named.join(used, "text_sha256", "left").withColumn(
             "identifiers", F.when(F.col("by_text"), F.array_append("identifiers", F.encode("text", "UTF-8")))
             .otherwise(F.col("identifiers")),
         )
@@ -106,20 +106,15 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that stay. Rows that are dropped are found by their doc_id; rows that
     repeat a kept doc_id are reduced to one, and only those rows are compared."""
     groups = kept(exact_groups(docs), "exact-groups")
-    keepers = groups.where("kept").groupBy("doc_id").agg(F.count("*").alias("_texts"))
-    repeated = groups.groupBy("doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1").select("doc_id")
-    return _chosen(docs, groups, keepers, repeated)
-
-
-def _chosen(docs: DataFrame, groups: DataFrame, keepers: DataFrame, repeated: DataFrame) -> DataFrame:
+    repeated = groups.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
     dropped = groups.where("not kept").select("doc_id").distinct()
     if repeated.isEmpty():
         return docs.join(dropped.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
     sole = docs.join(repeated, "doc_id", "left_anti").join(dropped, "doc_id", "left_anti")
-    again = docs.join(repeated, "doc_id", "left_semi")
-    digest = F.sha2(normalised(F.coalesce(F.col("text"), F.lit(""))), 256)
-    chosen = groups.where("kept").select("doc_id", F.col("text_sha256").alias("_sha")).distinct()
-    staying = again.withColumn("_sha", digest).join(chosen, ["doc_id", "_sha"], "left_semi")
-    return sole.select(*docs.columns).unionByName(
-        staying.dropDuplicates(["doc_id", "_sha"]).select(*docs.columns)
+    again = docs.join(repeated, "doc_id", "left_semi").select(
+        "doc_id", F.sha2(normalised(F.coalesce(F.col("text"), F.lit(""))), 256).alias("text_sha256"),
+        F.struct(*docs.columns).alias("whole"),
     )
+    chosen = groups.where("kept").select("doc_id", "text_sha256").distinct()
+    staying = again.join(chosen, ["doc_id", "text_sha256"], "left_semi").dropDuplicates(["doc_id", "text_sha256"])
+    return sole.select(*docs.columns).unionByName(staying.select("whole.*"))

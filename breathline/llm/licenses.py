@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from breathline.llm.base import documents, kept
 
-THRESHOLD = 0.8
+THRESHOLD = 0.85
 BLOCK_WORDS = 48
 STRIDE = 24
 # Templates come as a parameter; more than this many are not broadcast.
@@ -32,7 +32,7 @@ PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserv
 
 # Notices by label.
 TEMPLATES = {
-    "agpl-3.0": "licensed under the gnu affero general public license version 3",
+    "agpl": "gnu affero general public license",
     "apache-2.0": "licensed under the apache license version 2 0",
     "bsd": "redistribution and use in source and binary forms with or without modification are permitted",
     "cc-by-4.0": "licensed under a creative commons attribution 4 0 international license",
@@ -40,7 +40,7 @@ TEMPLATES = {
     "cc-by-sa-4.0": "licensed under a creative commons attribution sharealike 4 0 international license",
     "gpl-3.0": "this work is licensed under the gnu general public license version 3",
     "isc": "permission to use copy modify and or distribute this software for any purpose is hereby granted",
-    "lgpl": "licensed under the gnu lesser general public license",
+    "lgpl": "gnu lesser general public license",
     "mit": "released under the mit license",
     "mpl-2.0": "subject to the terms of the mozilla public license v 2 0",
     "unlicense": "this is free and unencumbered software released into the public domain",

@@ -167,14 +167,12 @@ def redact(docs: DataFrame, labelled: DataFrame, mark: str = "[secret]", cut: fl
     """``docs`` with the secrets of each text replaced by ``mark`` and ``n_chars``, if there, counted anew. Rows
     without secrets stay as they are."""
     values = scan_secrets(docs, labelled, cut=cut).where("is_secret = 1").groupBy("doc_id").agg(
-        F.sort_array(F.collect_set("found"), asc=False).alias("_secrets")
+        F.sort_array(F.collect_set("found"), asc=False).alias("secrets")
     )
-    joined = docs.join(kept(values, "secrets").hint("shuffle_hash"), "doc_id", "left")
-    cleared = F.aggregate("_secrets", F.col("text"), lambda text, one: F.replace(text, one, F.lit(mark)))
-    text = F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(cleared)
-    changed = joined.withColumn("text", text)
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(*docs.columns).alias("whole"))
+    joined = whole.join(kept(values, "secrets").hint("shuffle_hash"), "doc_id", "left")
+    text = F.aggregate("secrets", F.col("whole.text"), lambda text, one: F.replace(text, one, F.lit(mark)))
+    changed = F.col("whole").withField("text", text)
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        changed = changed.withColumn("n_chars", F.when(F.col("_secrets").isNull(), F.col("n_chars"))
-                                     .otherwise(F.length("text")).cast(kind))
-    return changed.select(*docs.columns)
+        changed = changed.withField("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
+    return joined.select(F.when(F.col("secrets").isNull(), F.col("whole")).otherwise(changed).alias("whole")).select("whole.*")

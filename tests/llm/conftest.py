@@ -1,0 +1,63 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+# Names that operators use for columns of their own.
+CLASHES = ["row", "key", "size", "shard", "slot", "score", "found", "start", "rep", "component", "signature", "spans",
+           "digest", "recipe", "chunks", "features", "label", "prediction", "kept", "measured", "_rows", "_secrets"]
+
+WORDS = ("the of and a to in is was river stone green early morning walked under seven lanterns while quiet market "
+         "opened its doors beside an old canal where children sang about winter ships and bread").split()
+
+
+def prose(seed: int, words: int) -> str:
+    chosen = random.Random(seed)
+    return " ".join(chosen.choice(WORDS) + chosen.choice(["", "", "", ",", "."]) for _ in range(words))
+
+
+def edited(text: str, every: int) -> str:
+    words = text.split(" ")
+    for at in range(every // 2, len(words), every):
+        words[at] = f"edit{at}"
+    return " ".join(words)
+
+
+@pytest.fixture(scope="session")
+def corpus():
+    """(doc_id, text) rows: nulls, empty and blank texts, odd characters, copies, near copies, shared passages,
+    periodic and long texts, and repeated rows."""
+    base, other, passage = prose(1, 120), prose(2, 300), prose(3, 60)
+    texts = [
+        None, "", " ", " \n\t ", "a", "One two", "one TWO", base, base, base.replace(" ", "\n", 3), base.replace(" ", "  "),
+        edited(base, 100), edited(base, 60), edited(base, 40), edited(base, 9), other, other, edited(other, 70),
+        passage + " " + prose(4, 50), prose(5, 40) + " " + passage, passage + prose(6, 20) + passage,
+        "Shti " * 400, "ab" * 600, "x" * 1500, "naïve İK café ΣΣ 　 wide space \x85 \x1c end", "don't I'LL it's 12ab 3½ Ⅷ ٣",
+        "tabs\t\tand   runs \r\n of\x0bspace ", "🙂👩‍👩‍👧 é ​ ", "W" * 9000, prose(7, 4000), "\x00nul\x7f",
+        "Published CC BY by all. All rights reserved! CC-BY", "This work is licensed under the GNU General Public License, version 3.",
+        "Released under the MIT License.", "Licensed under CC BY-NC 4.0.", "general\npublic license general public license",
+    ]
+    rows = [(number * 3, text) for number, text in enumerate(texts)]
+    return [*rows, rows[7], rows[7], (None, base), (None, "no id")]
+
+
+@pytest.fixture(scope="session")
+def docs(spark, corpus):
+    rows = [(doc_id, text, ["en", None, "de"][at % 3], "src0" if at % 2 else None, len(text or ""))
+            for at, (doc_id, text) in enumerate(corpus)]
+    made = spark.createDataFrame(rows, SCHEMA)
+    return made.withColumns({name: F.lit("clash") for name in CLASHES}).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture
+def listed():
+    """Rows of a result as plain tuples, in a fixed order."""
+    return lambda df, *names: sorted((tuple(row) for row in df.select(*(names or df.columns)).collect()), key=str)

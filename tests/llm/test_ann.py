@@ -1,0 +1,70 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from breathline.llm import ann
+
+SCHEMA = "vec_id long, embedding array<float>, label int, vector string, cell int"
+
+
+def brute(rows, k=20):
+    usable = {}
+    for vec_id, vector in rows:
+        if vec_id is not None and vector is not None and all(x is not None and np.isfinite(x) for x in vector) and any(vector):
+            usable.setdefault(vec_id, np.array(vector, dtype=np.float32).astype(float))
+    found = {}
+    for query in usable:
+        if query % 20 == 0:
+            scored = sorted((-float(usable[query] @ usable[other]), other) for other in usable if other != query)
+            found[query] = scored[:k]
+    return found
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, 0, "clash", 1) for i, v in rows], SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def points():
+    made = np.random.default_rng(4).normal(size=(700, 16))
+    made[300:520] = made[300]  # a vector that a third of all rows share
+    rows = [(i, [float(x) for x in np.float32(v)]) for i, v in enumerate(made)]
+    odd = [None, [], [0.0] * 16, [None] + [1.0] * 15, [float("nan")] * 16, [float("inf")] + [1.0] * 15, [1.0, 2.0]]
+    return [*rows, *[(1000 + 20 * i, v) for i, v in enumerate(odd)], (None, rows[5][1]), rows[40], rows[40]]
+
+
+def test_recall_and_exact_scores(spark, points):
+    found = {}
+    for row in ann.search(frame(spark, points), F.col("vec_id") % 20 == 0).collect():
+        found.setdefault(row["query_id"], []).append((row["rank"], row["vec_id"], row["score"]))
+    expected = brute([(i, v) for i, v in points if v is None or len(v) != 2])
+    assert found.keys() == expected.keys()
+    usable = {i: np.array(v) for i, v in points if i is not None and v is not None and len(v) == 16 and None not in v}
+    hits = 0
+    for query, rows in found.items():
+        rows.sort()
+        assert [rank for rank, _, _ in rows] == list(range(1, 21))
+        assert all(abs(score - usable[query] @ usable[other]) < 1e-9 for _, other, score in rows)
+        order = [(-round(score, 9), other) for _, other, score in rows]
+        assert order == sorted(order) and query not in {other for _, other, _ in rows}
+        hits += len({other for _, other, _ in rows} & {other for _, other in expected[query]})
+    assert hits / (20 * len(found)) >= 0.9
+    copies = [i for i in range(300, 520) if i % 20 == 0]
+    assert all([o for _, o, _ in found[c]] == [o for _, o in expected[c]] for c in copies)
+
+
+def test_small_and_empty_tables(spark):
+    assert ann.search(frame(spark, []), F.col("vec_id") % 20 == 0).count() == 0
+    assert ann.search(frame(spark, [(0, None), (20, [0.0, 0.0])]), F.col("vec_id") % 20 == 0).count() == 0
+    assert ann.search(frame(spark, [(0, [1.0, 2.0])]), F.col("vec_id") % 20 == 0).count() == 0
+    few = ann.search(frame(spark, [(0, [1.0, 2.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0])]), F.col("vec_id") % 20 == 0)
+    assert [tuple(row) for row in few.orderBy("rank").collect()] == [(0, 1, 1, 1.0), (0, 2, 2, 1.0)]
+
+
+def test_walk_visits_pairs_by_falling_sum():
+    rng = np.random.default_rng(1)
+    index = ann.Index(rng.normal(size=(7, 3)), rng.normal(size=(7, 3)), 1.0)
+    query, counts = rng.normal(size=6), rng.integers(0, 3, size=49)
+    cells = index.walk(query, counts, counts.sum())
+    sums = [(index.left @ query[:3])[c // 7] + (index.right @ query[3:])[c % 7] for c in cells]
+    assert sorted(cells) == np.flatnonzero(counts).tolist() and sums == sorted(sums, reverse=True)

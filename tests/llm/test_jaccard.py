@@ -1,0 +1,102 @@
+import random
+
+import pytest
+
+from breathline.llm import jaccard
+from breathline.llm.links import components
+
+from conftest import edited, prose  # noqa: F401
+
+
+def shingle_set(text, width):
+    words = (text or "").encode().lower().split()
+    return frozenset(b" ".join(words[i:i + width]) for i in range(max(1, len(words) - width + 1))) if words else frozenset()
+
+
+def brute(rows, width, shared, of):
+    sets = {doc_id: shingle_set(text, width) for doc_id, text in rows}
+    head = {doc_id: doc_id for doc_id in sets}
+
+    def find(one):
+        while head[one] != one:
+            one = head[one]
+        return one
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and of * len(sets[a] & sets[b]) >= shared * len(sets[a] | sets[b]):
+                one, two = find(a), find(b)
+                head[max(one, two)] = min(one, two)
+    return sorted((doc_id, len(sets[doc_id]), find(doc_id)) for doc_id, _ in rows)
+
+
+@pytest.mark.parametrize("width, shared, of", [(3, 90, 100), (5, 8, 10)])
+def test_components(docs, corpus, listed, width, shared, of):
+    rows = [(d, t) for d, t in corpus if d is not None]
+    found = listed(jaccard.jaccard_components(docs, width, shared, of))
+    assert sorted(found) == brute(rows, width, shared, of)
+
+
+@pytest.mark.parametrize("shared, of", [(90, 100), (8, 10)])
+def test_chains_of_near_copies(spark, shared, of):
+    """Near copies around the threshold, of several sizes: links, chains and pairs that just miss."""
+    chosen, rows = random.Random(3), []
+    for family in range(12):
+        words = prose(100 + family, chosen.choice([8, 12, 25, 60, 150])).split(" ")
+        for _ in range(12):
+            words = list(words)
+            for _ in range(chosen.randint(0, 1 + len(words) // 40)):
+                words[chosen.randrange(len(words))] = f"w{chosen.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    made = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = sorted(tuple(row) for row in jaccard.jaccard_components(made, 3, shared, of).collect())
+    assert found == brute(rows, 3, shared, of)
+
+
+def test_sets_left_over_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    chosen, base, rows = random.Random(8), prose(9, 90).split(" "), []
+    for _ in range(70):
+        words = list(base)
+        for _ in range(chosen.randint(0, 4)):
+            words[chosen.randrange(len(words))] = f"w{chosen.randrange(10**6)}"
+        rows.append((len(rows), " ".join(words)))
+    made = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = sorted(tuple(row) for row in jaccard.jaccard_components(made, 3, 90, 100).collect())
+    assert found == brute(rows, 3, 90, 100)
+
+
+def test_linked_sets_share_a_signature():
+    import numpy as np
+
+    chosen = np.random.default_rng(5)
+    for shared, of in ((90, 100), (8, 10), (5, 10)):
+        bands = jaccard.Bands(shared, of)
+        for _ in range(300):
+            size = int(chosen.integers(1, 200))
+            one = chosen.integers(0, 2**63, size=size, dtype=np.uint64)
+            two = one.copy()
+            for _ in range(int(chosen.integers(0, 1 + size // 5))):
+                two = np.delete(two, chosen.integers(len(two))) if chosen.random() < 0.5 and len(two) > 1 else np.append(
+                    two, chosen.integers(0, 2**63, dtype=np.uint64))
+            one, two = np.unique(one), np.unique(two)
+            common = len(np.intersect1d(one, two))
+            if of * common >= shared * (len(one) + len(two) - common):
+                assert np.intersect1d(bands.signatures(one), bands.signatures(two)).size
+
+
+def test_empty_table(no_docs):
+    assert jaccard.jaccard_components(no_docs).count() == 0 and jaccard.drop_near_copies(no_docs).count() == 0
+
+
+def test_drop_near_copies(docs, corpus):
+    rows = [(d, t) for d, t in corpus if d is not None]
+    kept = jaccard.drop_near_copies(docs.where("doc_id is not null"))
+    assert kept.columns == docs.columns
+    assert {row["doc_id"] for row in kept.collect()} == {c for _, _, c in brute(rows, 5, 8, 10)}
+
+
+def test_components_of_links(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, 50), (100, 200), (7, 7), (300, 301), (301, 300)]
+    found = {row["node"]: row["component"] for row in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {**{i: 0 for i in range(1, 41)}, 100: 50, 200: 50, 301: 300}
