@@ -1,9 +1,11 @@
-"""The four jobs from the command line:
+"""The jobs from the command line:
 
     spark-submit ... breathline/__main__.py realtime --servers host:9092 --dimension cities.json --table /data/m --checkpoint /data/c/m
     spark-submit ... breathline/__main__.py archive --servers host:9092 --table /data/raw --checkpoint /data/c/raw
     spark-submit ... breathline/__main__.py hourly --source /data/m --table /data/hourly --since 2024-05-01T03
     spark-submit ... breathline/__main__.py daily --source /data/hourly --table /data/daily
+    spark-submit ... breathline/__main__.py hourly-stream --servers host:9092 --table /data/hourly --checkpoint /data/c/h
+    spark-submit ... breathline/__main__.py replay --source /data/raw --dimension cities.json --table /data/m
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ if __package__ in (None, ""):
 
 from pyspark.sql import DataFrame, SparkSession
 
+from breathline.functions.clock import LOCAL_OFFSET_HOURS
 from breathline.functions.names import TOPIC_PREFIX
 from breathline.plans import jobs
 from breathline.session import builder, prepare
@@ -29,7 +32,9 @@ from breathline.streaming import run
 def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="breathline")
     commands = parser.add_subparsers(dest="job", required=True)
-    for name, trigger in (("realtime", run.REALTIME_TRIGGER), ("archive", run.ARCHIVE_TRIGGER)):
+    for name, trigger in (
+        ("realtime", run.REALTIME_TRIGGER), ("archive", run.ARCHIVE_TRIGGER), ("hourly-stream", run.REALTIME_TRIGGER),
+    ):
         stream = commands.add_parser(name)
         stream.add_argument("--servers", required=True)
         stream.add_argument("--cities", nargs="*", help="all topics below the prefix if left out")
@@ -43,13 +48,26 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
         stream.add_argument("--table", required=True)
         stream.add_argument("--checkpoint", required=True)
         stream.add_argument("--trigger", default=trigger)
-    commands.choices["realtime"].add_argument("--dimension", required=True)
-    commands.choices["archive"].add_argument("--format", choices=["json", "parquet"], default="json")
-    for name in ("hourly", "daily"):
+    commands.choices["hourly-stream"].add_argument("--delay", default="1 day", help="how late a reading may come")
+    for name in ("hourly", "daily", "replay"):
         batch = commands.add_parser(name)
         batch.add_argument("--source", required=True)
         batch.add_argument("--table", required=True)
-        batch.add_argument("--since", type=datetime.fromisoformat, help="local time; the whole history if left out")
+    for name in ("hourly", "daily"):
+        commands.choices[name].add_argument(
+            "--since", type=datetime.fromisoformat, help="local time; the whole history if left out"
+        )
+    commands.choices["hourly"].add_argument("--drop-copies", action="store_true", help="store each message once")
+    for name in ("realtime", "replay"):
+        commands.choices[name].add_argument("--dimension", required=True)
+    for name in ("archive", "replay"):
+        commands.choices[name].add_argument("--format", choices=["json", "parquet"], default="json")
+    for name in ("realtime", "replay", "hourly", "daily"):
+        commands.choices[name].add_argument("--name", help="the table's name in the catalog, made if missing")
+    for name in ("realtime", "replay", "hourly-stream", "hourly"):
+        commands.choices[name].add_argument("--offset-hours", type=int, default=LOCAL_OFFSET_HOURS)
+    for name in ("realtime", "replay", "hourly-stream"):
+        commands.choices[name].add_argument("--event-time", choices=["broker", "payload"], default="broker")
     return parser.parse_args(given)
 
 
@@ -70,16 +88,29 @@ def start(spark: SparkSession, chosen: argparse.Namespace) -> None:
     if chosen.job == "realtime":
         dimension = read_dimension(spark, chosen.dimension)
         run.await_stop(jobs.run_realtime(
-            messages(spark, chosen), dimension, chosen.table, chosen.checkpoint, chosen.trigger
+            messages(spark, chosen), dimension, chosen.table, chosen.checkpoint, chosen.trigger, chosen.offset_hours,
+            chosen.event_time, chosen.name,
         ))
     elif chosen.job == "archive":
         run.await_stop(jobs.run_archive(
             messages(spark, chosen), chosen.table, chosen.checkpoint, chosen.format, chosen.trigger
         ))
+    elif chosen.job == "hourly-stream":
+        run.await_stop(jobs.run_hourly_stream(
+            messages(spark, chosen), chosen.table, chosen.checkpoint, chosen.delay, chosen.trigger,
+            chosen.offset_hours, chosen.event_time,
+        ))
+    elif chosen.job == "replay":
+        jobs.run_replay(
+            spark, chosen.source, read_dimension(spark, chosen.dimension), chosen.table, chosen.format, None,
+            chosen.offset_hours, chosen.event_time, chosen.name,
+        )
     elif chosen.job == "hourly":
-        jobs.run_hourly(spark, chosen.source, chosen.table, chosen.since)
+        jobs.run_hourly(
+            spark, chosen.source, chosen.table, chosen.since, chosen.drop_copies, chosen.offset_hours, chosen.name
+        )
     else:
-        jobs.run_daily(spark, chosen.source, chosen.table, chosen.since)
+        jobs.run_daily(spark, chosen.source, chosen.table, chosen.since, chosen.name)
 
 
 if __name__ == "__main__":

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from breathline.functions.clock import date_parts
 from breathline.functions.names import city_of
-from breathline.sinks.tables import write_partitioned
+from breathline.sinks.tables import OWNER, owned, write_partitioned
 from breathline.sources.files import ARCHIVE_TIME_FORMAT
 
 FOLDERS = ["city", "year", "month", "day"]
@@ -25,12 +25,15 @@ def archive_rows(records: DataFrame) -> DataFrame:
     )
 
 
-def write_archive(records: DataFrame, path: str, fmt: str = "json", mode: str = "append") -> None:
+def write_archive(records: DataFrame, path: str, fmt: str = "json", batch_id: int = 0, owner: str | None = None) -> None:
     """``json``: one object per line, the message kept as a string, so any text survives unchanged.
-    ``parquet``: the same columns, Snappy-compressed."""
+    ``parquet``: the same columns, Snappy-compressed. Below its date a message lies in the folder of the stream
+    and batch that brought it, so a repeated batch replaces its own files and nothing else."""
     options = {"timestampFormat": ARCHIVE_TIME_FORMAT} if fmt == "json" else {"compression": "snappy"}
-    sort_by = ["partition", "kafka_offset"]
-    write_partitioned(archive_rows(records), path, FOLDERS, sort_by, mode, fmt=fmt, options=options)
+    write_partitioned(
+        owned(archive_rows(records), batch_id, owner), path, [*FOLDERS, *OWNER], ["partition", "kafka_offset"],
+        mode="overwrite", dynamic=True, fmt=fmt, options=options,
+    )
 
 
 def bundle(records: DataFrame, messages_per_object: int = 1000, prefix: str = "archive") -> DataFrame:
@@ -49,7 +52,8 @@ def bundle(records: DataFrame, messages_per_object: int = 1000, prefix: str = "a
         F.max("kafka_offset").alias("last_offset"),
     )
     folder = F.concat_ws("/", F.lit(prefix), *FOLDERS)
-    name = F.format_string("batch_%d_%d.json", "partition", "block")
+    # Two topics may carry the same city; their blocks are told apart by the topic.
+    name = F.format_string("batch_%s_%d_%d.json", "topic", "partition", "block")
     return grouped.select(
         F.concat_ws("/", folder, name).alias("object_key"),
         *FOLDERS,
@@ -60,8 +64,10 @@ def bundle(records: DataFrame, messages_per_object: int = 1000, prefix: str = "a
     )
 
 
-def write_bundles(records: DataFrame, path: str, messages_per_object: int = 1000, mode: str = "append") -> None:
-    """Bundles under their city and date, one JSON array a line."""
-    rows = bundle(records, messages_per_object).select(*FOLDERS, "first_offset", "body")
-    rows = rows.hint("rebalance", *FOLDERS).sortWithinPartitions(*FOLDERS, "first_offset")
-    rows.select(*FOLDERS, "body").write.mode(mode).partitionBy(*FOLDERS).text(path)
+def write_bundles(records: DataFrame, path: str, messages_per_object: int = 1000) -> None:
+    """Each bundle, one JSON array, in the folder of its object key below ``path``. Writing the same messages
+    again replaces the same folders; objects of other messages stay."""
+    name = F.substring_index("object_key", "/", -1).alias("object")
+    rows = bundle(records, messages_per_object).select(*FOLDERS, name, "body")
+    rows = rows.hint("rebalance", *FOLDERS).sortWithinPartitions(*FOLDERS, "object")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*FOLDERS, "object").text(path)

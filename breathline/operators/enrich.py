@@ -12,8 +12,9 @@ MAX_BROADCAST_ROWS = 100_000
 
 
 def sized(side: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Marks a join side for broadcast only if it is small. Beyond the bound Catalyst picks a shuffled join,
-    whose hot keys adaptive execution splits."""
+    """Marks a join side for broadcast only if it is small, which takes one small job. Beyond the bound Catalyst
+    picks a shuffled join; adaptive execution splits its hot keys, but not on a stream with state, where it is
+    off: there keep the dimension within the bound."""
     return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side
 
 

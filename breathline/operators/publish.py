@@ -22,6 +22,15 @@ def envelope() -> Column:
     return F.to_json(F.struct(F.col("city"), payload.alias("payload")))
 
 
+def wrap(city: Column, payload: Column) -> Column:
+    """The feed's message around a raw payload: its JSON text is kept as it is, every field of it, and a missing
+    or empty payload is null."""
+    name = F.substring(F.to_json(F.struct(F.coalesce(city, F.lit("")).alias("c"))), 6, 1 << 30)
+    quoted = F.when(city.isNull(), F.lit("null")).otherwise(F.left(name, F.length(name) - 1))
+    body = F.when(F.trim(payload) == "", F.lit("null")).otherwise(F.coalesce(payload, F.lit("null")))
+    return F.concat(F.lit('{"city":'), quoted, F.lit(',"payload":'), body, F.lit("}"))
+
+
 def publish(readings: DataFrame, prefix: str = TOPIC_PREFIX, value: Column | None = None) -> DataFrame:
     """Adds the three columns a keyed message needs; messages of one city share key and topic."""
     return readings.select(

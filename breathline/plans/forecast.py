@@ -27,7 +27,8 @@ def trend_fit(hours: DataFrame, origin: str) -> DataFrame:
 
 def features(hours: DataFrame, ahead: int = AHEAD) -> DataFrame:
     """Known hours (``known`` true) and the next ``ahead`` hours of each city, with features that lie at
-    least ``ahead`` hours back, so that the same model serves every hour of the forecast."""
+    least ``ahead`` hours back, so that the same model serves every hour of the forecast. Known hours with no
+    history are left out, as nothing can be learnt from them; every coming hour is there."""
     seen = hours.select("city", "hour_start", "aqi_avg", F.lit(True).alias("known"))
     step = F.expr("INTERVAL 1 HOUR")
     last = seen.where(F.col("aqi_avg").isNotNull()).groupBy("city").agg(F.max("hour_start").alias("last"))
@@ -45,12 +46,14 @@ def features(hours: DataFrame, ahead: int = AHEAD) -> DataFrame:
     angle = F.hour("hour_start") * (2 * pi / 24)
     return (
         seen.unionByName(coming)
-        .select("*", yesterday.alias("yesterday"), day_mean.alias("recent"), past_mean.alias("past"))
-        .withColumn("day_mean", F.coalesce("recent", "past"))
+        .select("*", yesterday.alias("yesterday"), day_mean.alias("recent"), past_mean.alias("past"),
+                F.avg("aqi_avg").over(Window.partitionBy("city")).alias("whole"))
+        # A city whose history is shorter than ``ahead`` has nothing that far back for its last hours: its mean.
+        .withColumn("day_mean", F.coalesce("recent", "past", F.when(~F.col("known"), F.col("whole"))))
         .withColumn("same_hour_yesterday", F.coalesce("yesterday", "day_mean"))
         .select("city", "hour_start", "aqi_avg", "known", "same_hour_yesterday", "day_mean",
                 F.sin(angle).alias("hour_sin"), F.cos(angle).alias("hour_cos"))
-        .where(F.col("day_mean").isNotNull())
+        .where(F.col("day_mean").isNotNull() | ~F.col("known"))
     )
 
 

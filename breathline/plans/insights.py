@@ -24,11 +24,17 @@ def latest_by_city(measurements: DataFrame, tie: str = "offset") -> DataFrame:
     read from the time of the most silent city on, and only rows at a newest time are aggregated whole.
     """
     newest = workspace.cut(
-        measurements.groupBy(F.col("city").alias("newest_city")).agg(F.max("measurement_time").alias("newest_time"))
+        measurements.groupBy(F.col("city").alias("newest_city")).agg(F.max("measurement_time").alias("newest_time")),
+        "newest",
     )
-    silent_since = newest.agg(F.unix_micros(F.min("newest_time"))).first()[0]
-    recent = measurements.where(F.col("measurement_time") >= F.timestamp_micros(F.lit(silent_since).cast("bigint")))
-    at_newest = F.col("city").eqNullSafe(F.col("newest_city")) & (F.col("measurement_time") == F.col("newest_time"))
+    silent_since, untimed = newest.agg(
+        F.unix_micros(F.min("newest_time")), F.coalesce(F.bool_or(F.col("newest_time").isNull()), F.lit(False))
+    ).first()
+    recently = F.col("measurement_time") >= F.timestamp_micros(F.lit(silent_since).cast("bigint"))
+    if untimed:  # a city none of whose readings has a time
+        recently = F.coalesce(recently, F.lit(False)) | F.col("measurement_time").isNull()
+    recent = measurements.where(recently)
+    at_newest = F.col("city").eqNullSafe(F.col("newest_city")) & F.col("measurement_time").eqNullSafe(F.col("newest_time"))
     row = F.max_by(F.struct(*measurements.columns), F.col(tie)).alias("row")
     return recent.join(sized(newest), at_newest, "left_semi").groupBy("city").agg(row).select("row.*")
 

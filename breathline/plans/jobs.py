@@ -2,34 +2,67 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, StructField, StructType
 
 from breathline import workspace
 from breathline.functions.clock import LOCAL_OFFSET_HOURS
 from breathline.operators.dedup import drop_replays
+from breathline.operators.parse import parse
 from breathline.operators.replace import replace_by_key
 from breathline.operators.rollup import DAILY_KEYS, HOURLY_KEYS, daily, hourly
 from breathline.schema import HOURLY, RECORD_ID, STORED
+from breathline.session import prepare
+from breathline.sinks.tables import ensure_table
+from breathline.sources.files import replay_archive
 from breathline.streaming import run
-from breathline.streaming.flows import archive_sink, measurement_sink, realtime
+from breathline.streaming.flows import archive_sink, hourly_sink, hourly_stream, measurement_sink, realtime
 
 
 def run_realtime(
-    records: DataFrame, dimension: DataFrame, path: str, checkpoint: str, trigger: str | None = run.REALTIME_TRIGGER
+    records: DataFrame, dimension: DataFrame, path: str, checkpoint: str, trigger: str | None = run.REALTIME_TRIGGER,
+    offset_hours: int = LOCAL_OFFSET_HOURS, event_time: str = "broker", name: str | None = None,
 ) -> StreamingQuery:
-    return run.start(realtime(records, dimension), measurement_sink(path), checkpoint, trigger)
+    """``name``, here and below, is the table's name in the catalog, made if it is missing."""
+    prepare(records.sparkSession)
+    rows = realtime(records, dimension, offset_hours, event_time=event_time)
+    return run.start(rows, measurement_sink(path, name=name), checkpoint, trigger)
 
 
 def run_archive(
     records: DataFrame, path: str, checkpoint: str, fmt: str = "json", trigger: str | None = run.ARCHIVE_TRIGGER
 ) -> StreamingQuery:
+    prepare(records.sparkSession)
     return run.start(records, archive_sink(path, fmt), checkpoint, trigger)
 
 
+def run_hourly_stream(
+    records: DataFrame, path: str, checkpoint: str, delay: str, trigger: str | None = run.REALTIME_TRIGGER,
+    offset_hours: int = LOCAL_OFFSET_HOURS, event_time: str = "broker",
+) -> StreamingQuery:
+    """Messages to the hourly table, hour by hour as they change. Readings later than ``delay`` are left to
+    ``run_hourly`` with ``since``, to be run once in a while over the measurement table."""
+    spark = prepare(records.sparkSession)
+    flat = parse(records, offset_hours, event_time=event_time)
+    return run.start(hourly_stream(flat, delay), hourly_sink(spark, path), checkpoint, trigger, mode="update")
+
+
+def run_replay(
+    spark: SparkSession, archive_path: str, dimension: DataFrame, path: str, fmt: str = "json",
+    where: Column | None = None, offset_hours: int = LOCAL_OFFSET_HOURS, event_time: str = "broker",
+    name: str | None = None,
+) -> None:
+    """Archived messages into the measurement table, below a folder of this replay. Rows that a stream has stored
+    too are copies of them: roll up with ``drop_copies``."""
+    records = replay_archive(prepare(spark), archive_path, fmt, where)
+    rows = realtime(records, dimension, offset_hours, event_time=event_time)
+    measurement_sink(path, name=name, owner=f"replay-{uuid.uuid4().hex}")(rows, 0)
+
+
 def read_measurements(spark: SparkSession, path: str, oldest: date | None = None) -> DataFrame:
     """The measurement table, or its partitions from a date on. Then only their folders are listed: after a
     year of micro-batches, listing all of them would take longer than reading one day."""
@@ -52,33 +85,45 @@ def measurements_since(
 
 
 def run_hourly(
-    spark: SparkSession, measurements_path: str, path: str, since: datetime | None = None, drop_copies: bool = False
+    spark: SparkSession, measurements_path: str, path: str, since: datetime | None = None, drop_copies: bool = False,
+    offset_hours: int = LOCAL_OFFSET_HOURS, name: str | None = None,
 ) -> None:
     """Recomputes the hours from ``since`` on, or all of them, and replaces them in the hourly table.
 
-    ``drop_copies`` is for tables that a stream has read into twice, as after the loss of its checkpoint: it
-    shuffles every reading, which the roll-up alone does not.
+    ``drop_copies`` is for tables that a stream has read into twice, as after the loss of its checkpoint, or that
+    a replay has filled: it shuffles every reading, which the roll-up alone does not.
     """
+    prepare(spark)
     rows = (
         read_measurements(spark, measurements_path) if since is None
-        else measurements_since(spark, measurements_path, since)
+        else measurements_since(spark, measurements_path, since, offset_hours)
     )
     if drop_copies:
         needed = ["city", "aqi", "pm25", "pm10", "temperature", "humidity", "measurement_time"]
         rows = drop_replays(rows.select(*RECORD_ID, *needed))
     hours = hourly(rows).withColumn("date", F.to_date("hour_start"))
-    replace_by_key(spark, path, hours, HOURLY_KEYS, "date", HOURLY_KEYS)
+    touched = replace_by_key(spark, path, hours, HOURLY_KEYS, "date", HOURLY_KEYS)
+    _named(spark, name, hours, "date", path, touched)
+
+
+def _named(spark: SparkSession, name: str | None, rows: DataFrame, partition: str, path: str, touched: list) -> None:
+    if name:
+        ensure_table(spark, name, rows.schema, [partition], path, [(value,) for value in touched])
 
 
 def read_hourly(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(StructType([*HOURLY, StructField("date", DateType())])).parquet(path)
 
 
-def run_daily(spark: SparkSession, hourly_path: str, path: str, since: datetime | None = None) -> None:
+def run_daily(
+    spark: SparkSession, hourly_path: str, path: str, since: datetime | None = None, name: str | None = None
+) -> None:
     """Rolls the hourly table up from the day of ``since`` on and replaces those days. Days share a folder
     per month: a day is one row per city, too little for a file of its own."""
+    prepare(spark)
     hours = read_hourly(spark, hourly_path)
     if since is not None:
         hours = hours.where(F.col("date") >= F.to_date(F.lit(since)))
     days = daily(hours).withColumn("month", F.date_format("date", "yyyy-MM"))
-    replace_by_key(spark, path, days, DAILY_KEYS, "month", ["date", "city"])
+    touched = replace_by_key(spark, path, days, DAILY_KEYS, "month", ["date", "city"])
+    _named(spark, name, days, "month", path, touched)

@@ -52,7 +52,7 @@ DIMENSION = _struct(
 # folders it is stored in.
 STORED = StructType([
     *MEASUREMENT, *CLASSES, *DIMENSION[1:], *_struct(topic=TEXT, partition=INT, offset=LONG),
-    *_struct(processed_date=DATE, batch_id=LONG),
+    *_struct(processed_date=DATE, stream=TEXT, batch_id=LONG),
 ])
 
 HOURLY = _struct(

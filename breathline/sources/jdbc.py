@@ -24,20 +24,25 @@ def read_table(
     return spark.read.jdbc(url, table, predicates=time_slices(time_column, bounds), properties=properties)
 
 
-def append_options(connections: int, batch_size: int = 10_000) -> dict[str, str]:
-    """``connections`` bounds the tasks that write at once; rows go in batches, without a transaction."""
-    return {"numPartitions": str(connections), "batchsize": str(batch_size), "isolationLevel": "NONE"}
+def append_options(connections: int, batch_size: int = 10_000, isolation: str | None = None) -> dict[str, str]:
+    """``connections`` bounds the tasks that write at once; rows go in batches. A task's rows are one transaction
+    of Spark's default level; ``isolation`` "NONE" does without, which suits a staging table that is dropped."""
+    options = {"numPartitions": str(connections), "batchsize": str(batch_size)}
+    return options if isolation is None else {**options, "isolationLevel": isolation}
 
 
-def append_table(df: DataFrame, url: str, table: str, properties: dict[str, str], connections: int = 16) -> None:
-    df.write.jdbc(url, table, mode="append", properties={**properties, **append_options(connections)})
+def append_table(
+    df: DataFrame, url: str, table: str, properties: dict[str, str], connections: int = 16, isolation: str | None = None
+) -> None:
+    df.write.jdbc(
+        url, table, mode="append", properties={**properties, **append_options(connections, isolation=isolation)}
+    )
 
 
 def append_batch(url: str, table: str, properties: dict[str, str], connections: int = 16):
     """``foreachBatch`` function. Delivery is at least once: keep the message id and drop replays on read."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            append_table(batch, url, table, properties, connections)
+        append_table(batch, url, table, properties, connections)
 
     return write

@@ -22,25 +22,27 @@ def realtime(
     dimension: DataFrame,
     offset_hours: int = LOCAL_OFFSET_HOURS,
     processed_time: Column | None = None,
+    event_time: str = "broker",
 ) -> DataFrame:
     """Messages to enriched rows, on a stream or on a table. Row by row but for the small dimension, so a
     hot city costs no more than its share of the input splits."""
-    flat = parse(records, offset_hours, processed_time, keep=RECORD_ID)
+    flat = parse(records, offset_hours, processed_time, keep=RECORD_ID, event_time=event_time)
     return enrich_city(classify(flat), dimension).withColumn("processed_date", F.to_date("processed_time"))
 
 
-def measurement_sink(path: str, on_count: Callable[[int, int], None] | None = None) -> Sink:
+def measurement_sink(
+    path: str, on_count: Callable[[int, int], None] | None = None, name: str | None = None, owner: str | None = None
+) -> Sink:
     """Rows of a batch were all processed at one time, so tasks write one file each, without a shuffle."""
-    return append_batch(path, ["processed_date"], ["city", "measurement_time"], on_count)
+    return append_batch(path, ["processed_date"], ["city", "measurement_time"], on_count, name, owner)
 
 
 def archive_sink(path: str, fmt: str = "json") -> Sink:
-    """A batch writes its own folder, so running it again after a failure leaves no second copy. Rows are
+    """A batch writes its own folders, so running it again after a failure leaves no second copy. Rows are
     gathered by city and date first: a backlog holds many dates, and every task would open a file for each."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            write_archive(batch, f"{path}/batch_id={batch_id}", fmt, mode="overwrite")
+        write_archive(batch, path, fmt, batch_id)
 
     return write
 

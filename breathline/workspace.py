@@ -6,7 +6,6 @@ reach, so the loss of an executor or of the driver loses nothing that was writte
 
 from __future__ import annotations
 
-import hashlib
 import tempfile
 import uuid
 
@@ -25,19 +24,27 @@ def root(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new path for one run."""
-    return f"{root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path for one run, removed when the driver ends."""
+    path = f"{root(spark)}/{label}-{uuid.uuid4().hex}"
+    filesystem, jvm_path = _resolve(spark, path)
+    filesystem.mkdirs(jvm_path.getParent())
+    filesystem.deleteOnExit(jvm_path)
+    return path
 
 
 def pending(spark: SparkSession, table_path: str) -> str:
-    """The one path that belongs to a target table, found again after a driver restart."""
-    return f"{root(spark)}/pending/{hashlib.sha256(table_path.encode()).hexdigest()}"
+    """The one path that belongs to a target table: beside it, however the table's path is written and whatever
+    this session's folders are, so that a later driver finds it."""
+    filesystem, jvm_path = _resolve(spark, table_path)
+    table = filesystem.makeQualified(jvm_path)
+    return f"{table.getParent()}/_{table.getName()}.pending"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows, computed once and kept in the shared folder."""
-    root(df.sparkSession)
-    return df.checkpoint()
+def cut(df: DataFrame, label: str = "rows") -> DataFrame:
+    """The rows, computed once and kept in the shared folder until the driver ends."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _resolve(spark: SparkSession, path: str):
@@ -50,6 +57,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return filesystem.exists(jvm_path)
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """Creates an empty file."""
+    filesystem, jvm_path = _resolve(spark, path)
+    filesystem.create(jvm_path).close()
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a path."""
     filesystem, jvm_path = _resolve(spark, path)

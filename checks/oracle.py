@@ -156,7 +156,15 @@ def _pattern(period: str) -> str:
 
 ORACLE: dict[str, str] = {
     "publish_rows": _over(_MEASUREMENTS) + """
-        SELECT "offset", city AS key, topic, city, aqi, round(pm25 + 1e-10, 6) AS pm25, longitude FROM measurements""",
+        SELECT "offset", city AS key, topic, city, aqi, station_id, dominant_pollutant, round(pm25 + 1e-10, 6) AS pm25,
+               round(pm10 + 1e-10, 6) AS pm10, round(temperature + 1e-10, 6) AS temperature,
+               round(humidity + 1e-10, 6) AS humidity, station_name, round(latitude + 1e-10, 6) AS latitude,
+               round(longitude + 1e-10, 6) AS longitude
+        FROM measurements""",
+    "wrap_payload": """
+        SELECT event_id, event_type AS city, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+               CAST(length('{"city":"' || event_type || '","payload":' || props || '}') AS INTEGER) AS chars
+        FROM events""",
     "parse_envelope": _over(_MEASUREMENTS) + f"SELECT {_READING} FROM measurements",
     "quarantine": _over(_MEASUREMENTS) + """
         SELECT "offset", CASE WHEN dominant_pollutant <> 'error' THEN city END AS city,
@@ -234,11 +242,12 @@ ORACLE: dict[str, str] = {
     "stream_archive": _ARCHIVE_COUNTS,
     "archive_replay": _over(_MEASUREMENTS) + f"SELECT {_READING} FROM measurements",
     "archive_bundle": _over(_MEASUREMENTS) + """
-        SELECT 'archive/' || city || '/' || strftime(any_value(kafka_time), '%Y/%m/%d') || '/batch_0_'
+        SELECT 'archive/' || city || '/' || strftime(any_value(kafka_time), '%Y/%m/%d') || '/batch_raw.airquality.' || city || '_0_'
                    || CAST("offset" // 1000 AS VARCHAR) || '.json' AS object_key,
                city, strftime(kafka_time, '%Y') AS year, strftime(kafka_time, '%m') AS month,
                strftime(kafka_time, '%d') AS day, CAST(count(*) AS INTEGER) AS messages,
                min("offset") AS first_offset, max("offset") AS last_offset,
+               string_agg(CAST(station_id AS VARCHAR), ',' ORDER BY "offset") AS stations,
                CAST(count(*) AS INTEGER) AS elements
         FROM measurements
         GROUP BY city, strftime(kafka_time, '%Y'), strftime(kafka_time, '%m'), strftime(kafka_time, '%d'),

@@ -14,7 +14,6 @@ from breathline.operators import archive, dedup, enrich, parse, publish, replace
 from breathline.plans import forecast, insights, jobs, sql
 from breathline.schema import DIMENSION, HOURLY, MEASUREMENT, RECORD, RECORD_ID
 from breathline.session import prepare
-from breathline.sinks.tables import write_partitioned
 from breathline.sources import files
 from breathline.streaming import flows, run
 from checks import fixture
@@ -55,10 +54,14 @@ def hours_with_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.hourly(fixture.measurements(spark, sf_dir), counts=True)
 
 
+# Files of published messages; a stream that takes one at a time runs as many micro-batches.
+LANDED_FILES = 3
+
+
 def landed(spark: SparkSession, records: DataFrame, mode: str = "overwrite", path: str | None = None) -> str:
     """Messages published to a folder that a stream can read: the broker's place in these checks."""
     path = path or workspace.scratch(spark, "landing")
-    records.select(*RECORD.names).write.mode(mode).parquet(path)
+    records.select(*RECORD.names).repartition(LANDED_FILES).write.mode(mode).parquet(path)
     return path
 
 
@@ -83,11 +86,30 @@ def publish_rows(spark, sf_dir):
         "topic",
         F.get_json_object(text, "$.city").alias("city"),
         F.get_json_object(text, "$.payload.aqi").cast("int").alias("aqi"),
+        F.get_json_object(text, "$.payload.idx").cast("int").alias("station_id"),
+        F.get_json_object(text, "$.payload.dominentpol").alias("dominant_pollutant"),
         F.get_json_object(text, "$.payload.iaqi.pm25.v").cast("double").alias("pm25"),
+        F.get_json_object(text, "$.payload.iaqi.pm10.v").cast("double").alias("pm10"),
+        F.get_json_object(text, "$.payload.iaqi.t.v").cast("double").alias("temperature"),
+        F.get_json_object(text, "$.payload.iaqi.h.v").cast("double").alias("humidity"),
+        F.get_json_object(text, "$.payload.city.name").alias("station_name"),
+        F.get_json_object(text, "$.payload.city.geo[0]").cast("double").alias("latitude"),
         F.get_json_object(text, "$.payload.city.geo[1]").cast("double").alias("longitude"),
     )
 
 
+@register
+def wrap_payload(spark, sf_dir):
+    """Every event's raw properties as a feed payload."""
+    wrapped = publish.wrap(F.col("event_type"), F.col("props"))
+    return fixture.table(spark, sf_dir, "events").select(
+        "event_id",
+        F.get_json_object(wrapped, "$.city").alias("city"),
+        F.get_json_object(wrapped, "$.payload.k").cast("int").alias("k"),
+        F.length(wrapped).alias("chars"),
+    )
+
+
 @register
 def parse_envelope(spark, sf_dir):
     return parse.parse(fixture.messages(spark, sf_dir), keep=["offset"]).drop("processed_time")
@@ -237,8 +259,8 @@ def measurements_sink(spark, sf_dir):
     rows = flows.realtime(
         fixture.messages(spark, sf_dir), fixture.dimension(spark, sf_dir), processed_time=F.col("timestamp")
     )
-    write_partitioned(rows, path, ["processed_date"], ["city", "measurement_time"])
-    return spark.read.schema(rows.schema).parquet(path).drop("topic", "partition")
+    flows.measurement_sink(path)(rows, 0)
+    return jobs.read_measurements(spark, path).select(*rows.columns).drop("topic", "partition")
 
 
 @register
@@ -248,7 +270,7 @@ def batch_jobs(spark, sf_dir):
     rows = flows.realtime(
         fixture.messages(spark, sf_dir), fixture.dimension(spark, sf_dir), processed_time=F.col("timestamp")
     )
-    write_partitioned(rows, paths[0], ["processed_date"], ["city", "measurement_time"])
+    flows.measurement_sink(paths[0])(rows, 0)
     jobs.run_hourly(spark, paths[0], paths[1])
     jobs.run_daily(spark, paths[1], paths[2])
     return spark.read.parquet(paths[2]).drop("month")
@@ -285,7 +307,9 @@ def archive_replay(spark, sf_dir):
 @register
 def archive_bundle(spark, sf_dir):
     bundled = archive.bundle(fixture.messages(spark, sf_dir))
-    return bundled.withColumn("elements", F.json_array_length("body")).drop("body")
+    messages = F.from_json("body", "array<string>")
+    stations = F.transform(messages, lambda text: F.get_json_object(text, "$.payload.idx"))
+    return bundled.withColumn("stations", F.array_join(stations, ",")).withColumn("elements", F.size(messages)).drop("body")
 
 
 # --- streams -----------------------------------------------------------------------------------------------
@@ -294,7 +318,7 @@ def archive_bundle(spark, sf_dir):
 def stream_enrich(spark, sf_dir):
     """The realtime job, from published messages to the stored table."""
     path = workspace.scratch(spark, "measurements")
-    stream = files.stream_messages(spark, landed(spark, fixture.messages(spark, sf_dir)))
+    stream = files.stream_messages(spark, landed(spark, fixture.messages(spark, sf_dir)), max_files=1)
     rows = flows.realtime(stream, fixture.dimension(spark, sf_dir))
     drained(spark, rows, flows.measurement_sink(path))
     shown = [name for name in MEASUREMENT.names if name != "processed_time"] + ["health_status", "pollution_level"]
@@ -306,7 +330,7 @@ def stream_archive(spark, sf_dir):
     path = workspace.scratch(spark, "archive")
     drained(
         spark,
-        files.stream_messages(spark, landed(spark, fixture.messages(spark, sf_dir))),
+        files.stream_messages(spark, landed(spark, fixture.messages(spark, sf_dir)), max_files=1),
         flows.archive_sink(path),
     )
     return files.read_archive(spark, path).groupBy("city", "year", "month", "day").agg(

@@ -29,8 +29,8 @@ def test_archive_and_replay_lose_nothing(spark, record, tmp_path, fmt):
 def test_each_message_is_filed_under_its_own_date(spark, record, tmp_path):
     path = str(tmp_path / "archive")
     archive.write_archive(record([("hue", {"aqi": 1}, LATE), ("hue", {"aqi": 2}, EARLY)]), path)
-    assert len(glob.glob(f"{path}/city=hue/year=2024/month=01/day=31/*.json")) == 1
-    assert len(glob.glob(f"{path}/city=hue/year=2024/month=02/day=01/*.json")) == 1
+    assert len(glob.glob(f"{path}/city=hue/year=2024/month=01/day=31/stream=direct/batch_id=0/*.json")) == 1
+    assert len(glob.glob(f"{path}/city=hue/year=2024/month=02/day=01/stream=direct/batch_id=0/*.json")) == 1
     one_day = files.read_archive(spark, path, where=(F.col("month") == 2) & (F.col("day") == 1))
     assert [row.kafka_offset for row in one_day.collect()] == [1]
 
@@ -50,19 +50,27 @@ def test_bundles_are_bounded_ordered_and_repeatable(spark, record):
     bundles = archive.bundle(sent, messages_per_object=10, prefix="cold")
     rows = {row.object_key: row for row in bundles.collect()}
     assert len(rows) == 12 and max(row.messages for row in rows.values()) == 10
-    third = rows["cold/hot/2024/02/01/batch_0_2.json"]
+    third = rows["cold/hot/2024/02/01/batch_raw.airquality.hot_0_2.json"]
     assert (third.first_offset, third.last_offset) == (20, 29)
     assert [json.loads(text)["payload"]["aqi"] for text in json.loads(third.body)] == list(range(20, 30))
-    assert json.loads(rows["cold/b/2024/01/31/batch_0_9.json"].body) == [AWKWARD]
+    assert json.loads(rows["cold/b/2024/01/31/batch_raw.airquality.b_0_9.json"].body) == [AWKWARD]
     copies = sent.unionByName(sent).unionByName(sent.where("offset = 25").crossJoin(spark.range(500)).drop("id"))
     again = archive.bundle(copies.repartition(7), messages_per_object=10, prefix="cold")
     assert rows_of(again) == rows_of(bundles)
 
 
+def test_topics_with_one_city_have_objects_of_their_own(record):
+    sent = record([("a", {"aqi": 1}, EARLY)])
+    other = sent.withColumn("topic", F.lit("other.a"))
+    assert archive.bundle(sent.unionByName(other)).select("object_key").distinct().count() == 2
+
+
 def test_written_bundles_read_back(spark, record, tmp_path):
     path = str(tmp_path / "bundles")
-    archive.write_bundles(record([("a", {"aqi": n}, EARLY) for n in range(25)] + [("b", AWKWARD, LATE)]), path, 10)
-    assert glob.glob(f"{path}/city=b/year=2024/month=01/day=31/*.txt")
+    sent = record([("a", {"aqi": n}, EARLY) for n in range(25)] + [("b", AWKWARD, LATE)])
+    for part in (sent, sent.where("offset < 10"), sent):  # objects are replaced, not added
+        archive.write_bundles(part, path, 10)
+    assert glob.glob(f"{path}/city=b/year=2024/month=01/day=31/object=batch_raw.airquality.b_0_2.json/*.txt")
     lines = spark.read.schema("value STRING, city STRING").text(path)
     arrays = [json.loads(row.value) for row in lines.where("city = 'a'").collect()]
     assert sorted(len(array) for array in arrays) == [5, 10, 10]

@@ -88,22 +88,20 @@ def test_time_slices_cover_each_row_once(spark):
 
 
 def test_append_options():
-    assert append_options(8) == {"numPartitions": "8", "batchsize": "10000", "isolationLevel": "NONE"}
+    assert append_options(8) == {"numPartitions": "8", "batchsize": "10000"}
+    assert append_options(8, isolation="NONE") == {**append_options(8), "isolationLevel": "NONE"}
 
 
 class Calls:
     """Stands for a session or a frame and notes its JDBC calls; no database runs here."""
 
-    def __init__(self, empty=False):
-        self.made, self.empty = [], empty
+    def __init__(self):
+        self.made = []
         self.read = self.write = self
 
     def jdbc(self, *given, **named):
         self.made.append((given, named))
 
-    def isEmpty(self):
-        return self.empty
-
 
 def test_jdbc_reads_in_slices_and_appends_batches():
     session = Calls()
@@ -113,11 +111,9 @@ def test_jdbc_reads_in_slices_and_appends_batches():
         "properties": {"user": "u"},
     })]
     write = jdbc.append_batch("jdbc:x", "m", {"user": "u"}, connections=4)
-    full, empty = Calls(), Calls(empty=True)
+    full = Calls()
     write(full, 1)
-    write(empty, 2)
     assert full.made == [(("jdbc:x", "m"), {"mode": "append", "properties": {"user": "u", **append_options(4)}})]
-    assert empty.made == []
 
 
 def test_record_columns():

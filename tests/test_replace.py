@@ -98,10 +98,50 @@ def test_run_that_died_while_overwriting_is_completed(spark, path, monkeypatch,
 def test_run_that_died_before_both_copies_were_complete_is_forgotten(spark, path):
     put(spark, path, *FIRST)
     rows(spark, *SECOND).write.parquet(workspace.pending(spark, path) + "/new")
-    put(spark, path, ("a", 30, 40.0, "d2"))
+    with pytest.warns(UserWarning, match="ended before"):
+        put(spark, path, ("a", 30, 40.0, "d2"))
     assert ("c", 7, 70.0, "d1") not in stored(spark, path) and len(stored(spark, path)) == len(FIRST)
 
 
+def test_success_markers_may_be_off(spark, path):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        put(spark, path, *FIRST)
+        put(spark, path, *SECOND)
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert stored(spark, path) == AFTER
+
+
+def test_pending_place_follows_from_the_table_alone(spark, path):
+    place = workspace.pending(spark, path)
+    assert workspace.pending(spark, path + "/") == workspace.pending(spark, "file:" + path) == place
+    assert place.rsplit("/", 1)[0] == "file:" + os.path.dirname(path)
+
+
+def test_two_new_rows_of_one_key_are_an_error(spark, path):
+    put(spark, path, *FIRST)
+    with pytest.raises(ValueError, match="city, hour"):
+        put(spark, path, *SECOND, ("c", 7, 71.0, "d1"))
+    assert stored(spark, path) == sorted(FIRST, key=str)
+    put(spark, path, *SECOND)
+    assert stored(spark, path) == AFTER
+
+
+def test_touched_partitions_alone_are_added_to_the_catalog(spark, path):
+    name = "touched_statistics"
+    try:
+        put(spark, path, *FIRST)
+        schema = rows(spark, *FIRST).schema
+        ensure_table(spark, name, schema, ["day"], path)
+        put(spark, path, ("q", 1, 1.0, "d'7"), ("q", 2, 1.0, "d8"))
+        ensure_table(spark, name, schema, ["day"], path, [("d'7",), ("d8",)])
+        assert rows_of(spark.table(name).where("city = 'q'"), "day") == [("d'7",), ("d8",)]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_overlap_and_plan_form(spark):
     old, new = rows(spark, *FIRST), rows(spark, *SECOND, *SECOND[:1])
     assert rows_of(replace.overlap_keys(old, new, KEYS)) == [("a", 2), (None, 1)]
@@ -113,7 +153,7 @@ def test_overlap_and_plan_form(spark):
 
 def test_only_touched_partitions_are_listed(spark, path):
     put(spark, path, *FIRST)
-    condition = replace._in_partitions(rows(spark, *SECOND), "day")
+    condition = replace._in_partitions(replace._touched(rows(spark, *SECOND), "day"), "day")
     plan = spark.read.schema(SCHEMA).parquet(path).where(condition)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [day" in plan or "PartitionFilters: [(day" in plan or "INSET" in plan or "day#" in plan
 

@@ -137,6 +137,34 @@ def test_hot_city_is_split_beyond_the_broadcast_bound(spark):
             spark.conf.set(key, value)
 
 
+def test_rows_without_a_message_id_all_stay(record):
+    known = record([("a", {"aqi": n}, "2024-01-01 10:00:00") for n in range(3)])
+    unknown = known.withColumn("offset", F.lit(None).cast("long"))
+    both = known.unionByName(known).unionByName(unknown).unionByName(unknown)
+    assert rows_of(dedup.drop_replays(both), "offset").count((None,)) == 6
+    assert dedup.drop_replays(both).count() == 9
+
+
+def test_payload_clock(record):
+    rows = record([
+        ("a", {"aqi": 1, "time": {"s": "2024-03-01 08:30:00"}}, "2024-01-01 10:00:00"),
+        ("b", {"aqi": 1, "time": {"s": "soon"}}, "2024-01-01 10:00:00"),
+    ])
+    assert rows_of(parse.parse(rows, event_time="payload"), "city", "measurement_time") == [
+        ("a", at("2024-03-01 08:30:00")), ("b", at("2024-01-01 17:00:00"))
+    ]
+
+
+def test_wrap_keeps_the_whole_payload(spark):
+    payload = '{"aqi": 7, "time": {"s": "x", "v": 1}, "other": [1, {"deep": "\\u00fc"}]}'
+    rows = spark.createDataFrame([('h"u\\e', payload), (None, None), ("a", " ")], "city string, payload string")
+    found = [json.loads(row[0]) for row in rows.select(publish.wrap(F.col("city"), F.col("payload"))).collect()]
+    assert found == [
+        {"city": 'h"u\\e', "payload": json.loads(payload)}, {"city": None, "payload": None},
+        {"city": "a", "payload": None},
+    ]
+
+
 def test_drop_replays(record):
     one = record([("hue", FULL, NOON), ("hue", FULL, NOON)])
     other = record([("hoian", FULL, NOON)])

@@ -77,6 +77,64 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_path, sent, dim
     assert read(spark, table, *SHOWN) == rows_of(flows.realtime(everything(sent), dimension), *SHOWN)
 
 
+def test_streams_and_checkpoints_share_a_table(spark, tmp_path, sent, dimension):
+    """Batch ids begin at 0 in every checkpoint; neither a second stream nor a new checkpoint may overwrite."""
+    table, archive = str(tmp_path / "table"), str(tmp_path / "archive")
+    for number, part in enumerate(sent[:3]):
+        landing = str(tmp_path / f"landing{number}")
+        land(landing, [part])
+        for _ in range(2):
+            stream = files.stream_messages(spark, landing)
+            jobs.run_realtime(stream, dimension, table, str(tmp_path / f"t{number}"), trigger=None).awaitTermination()
+            stream = files.stream_messages(spark, landing)
+            jobs.run_archive(stream, archive, str(tmp_path / f"a{number}"), trigger=None).awaitTermination()
+    assert read(spark, table, "topic", "offset") == rows_of(everything(sent[:3]), "topic", "offset")
+    assert rows_of(files.replay_archive(spark, archive)) == rows_of(everything(sent[:3]))
+    names = {row["stream"] for row in jobs.read_measurements(spark, table).select("stream").distinct().collect()}
+    assert len(names) == 3
+
+
+def test_replay_adds_rows_that_can_be_told_to_be_copies(spark, tmp_path, sent, dimension):
+    table, archive, hours, days = (str(tmp_path / name) for name in ("table", "archive", "hours", "days"))
+    flows.archive_sink(archive)(everything(sent), 0)
+    flows.measurement_sink(table)(flows.realtime(sent[0], dimension), 0)
+    for _ in range(2):
+        jobs.run_replay(spark, archive, dimension, table)
+    assert jobs.read_measurements(spark, table).count() == 30 + 2 * 120
+    try:
+        for _ in range(2):
+            jobs.run_hourly(spark, table, hours, drop_copies=True, name="replayed_hours")
+            jobs.run_daily(spark, hours, days, name="replayed_days")
+        rows = parse.parse(everything(sent))
+        assert rows_of(spark.table("replayed_hours"), *HOURLY.names) == rows_of(rollup.hourly(rows))
+        assert spark.table("replayed_days").agg(F.sum("total_records")).first()[0] == 120
+    finally:
+        for name in ("replayed_hours", "replayed_days"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_stream_leaves_a_table_with_a_name(spark, tmp_path, sent, dimension):
+    landing, table = str(tmp_path / "landing"), str(tmp_path / "table")
+    land(landing, sent[:2])
+    stream = files.stream_messages(spark, landing, max_files=1)
+    try:
+        jobs.run_realtime(
+            stream, dimension, table, str(tmp_path / "c"), trigger=None, name="named_readings"
+        ).awaitTermination()
+        assert rows_of(spark.table("named_readings"), "offset") == rows_of(everything(sent[:2]), "offset")
+    finally:
+        spark.sql("DROP TABLE IF EXISTS named_readings")
+
+
+def test_hourly_stream_job(spark, tmp_path, sent):
+    landing, hours = str(tmp_path / "landing"), str(tmp_path / "hours")
+    land(landing, sent)
+    stream = files.stream_messages(spark, landing, max_files=2)
+    jobs.run_hourly_stream(stream, hours, str(tmp_path / "c"), "1 day", trigger=None, offset_hours=3).awaitTermination()
+    expected = rollup.hourly(parse.parse(everything(sent), offset_hours=3))
+    assert rows_of(jobs.read_hourly(spark, hours), *HOURLY.names) == rows_of(expected)
+
+
 def test_batch_run_again_leaves_one_copy(spark, tmp_path, sent, dimension):
     table = str(tmp_path / "table")
     rows = flows.realtime(sent[0], dimension)
@@ -90,7 +148,7 @@ def test_empty_batch_writes_nothing(spark, tmp_path, sent, dimension):
     path = tmp_path / "table"
     append_batch(str(path), ["processed_date"], ["city"])(flows.realtime(sent[0].limit(0), dimension), 0)
     flows.archive_sink(str(path))(sent[0].limit(0), 0)
-    assert not path.exists()
+    assert not list(path.rglob("part-*"))
 
 
 def test_jobs_from_messages_to_days(spark, tmp_path, sent, dimension):
