@@ -1,8 +1,7 @@
 from __future__ import annotations
 
-import random
-
 import pytest
+from llm_texts import edited, prose
 from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -10,22 +9,6 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHES = ["row", "key", "size", "shard", "slot", "score", "found", "start", "rep", "component", "signature", "spans",
            "digest", "recipe", "chunks", "features", "label", "prediction", "kept", "measured", "_rows", "_secrets"]
 
-WORDS = ("the of and a to in is was river stone green early morning walked under seven lanterns while quiet market "
-         "opened its doors beside an old canal where children sang about winter ships and bread").split()
-
-
-def prose(seed: int, words: int) -> str:
-    chosen = random.Random(seed)
-    return " ".join(chosen.choice(WORDS) + chosen.choice(["", "", "", ",", "."]) for _ in range(words))
-
-
-def edited(text: str, every: int) -> str:
-    words = text.split(" ")
-    for at in range(every // 2, len(words), every):
-        words[at] = f"edit{at}"
-    return " ".join(words)
-
-
 @pytest.fixture(scope="session")
 def corpus():
     """(doc_id, text) rows: nulls, empty and blank texts, odd characters, copies, near copies, shared passages,

@@ -5,7 +5,7 @@ import pytest
 from breathline.llm import jaccard
 from breathline.llm.links import components
 
-from conftest import edited, prose  # noqa: F401
+from llm_texts import edited, prose
 
 
 def shingle_set(text, width):

@@ -4,7 +4,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import edited, prose
+from llm_texts import edited, prose
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from breathline.llm import secret_scan
 
-from conftest import prose
+from llm_texts import prose
 
 
 @pytest.fixture(scope="module")
