@@ -1,8 +1,8 @@
 """Byte-level BPE by DuckDB recursive queries inside each partition.
 
 Encoding: a text is split into the pattern's matches; matches that a worker has not met yet become rows of
-(word, position, token), and a recursive query joins each row and its right neighbour to the merge table and
-contracts the word's leftmost pair of minimum rank, until no pair is left. Decoding: ids are joined to the
+(word, position, token) in each round of a recursive query: they are joined with their right neighbours to the
+merge table, and the word's leftmost pair of minimum rank is contracted, until no pair is left. Decoding: ids are joined to the
 vocabulary and their bytes aggregated in the order of their positions.
 
 Every task works on slices of its own partition, so nothing is shuffled.
@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from breathline.llm.base import documents
 
-# Bytes of text and ids that are worked on at once, words in one recursive query, words a worker remembers.
-SLICE_BYTES = 4 << 20
+# Bytes of text and ids that are worked on at once, words in one recursive query, units a worker remembers (and as many
+# older ones).
+SLICE_BYTES = 2 << 20
 WORDS_AT_ONCE = 20_000
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 ADJACENT = re.compile(r"\s\s")
 
@@ -32,29 +33,30 @@ ENCODED = "doc_id long, n_tokens long, ids binary"
 DECODED = "doc_id long, ids binary, decoded binary"
 
 CONTRACT = """
-WITH RECURSIVE contracted(word, pos, token, live) AS (
-  SELECT word, pos, token, true FROM started
+WITH RECURSIVE contracted(word, ids, live) AS (
+  SELECT word, ids, true FROM started
   UNION ALL
-  SELECT word, pos, CASE WHEN pos = best & 4294967295 THEN (best >> 32)::INTEGER ELSE token END, best IS NOT NULL
-  FROM (
-    SELECT word, pos, token, before, min(pair) OVER (PARTITION BY word) AS best
+  SELECT c.word,
+         CASE WHEN best IS NULL THEN ids
+              ELSE list_concat(list_concat(ids[:(best & 4294967295) - 1], [(best >> 32)::INTEGER]),
+                               ids[(best & 4294967295) + 2:]) END,
+         best IS NOT NULL
+  FROM contracted c LEFT JOIN (
+    SELECT word, min((merged::BIGINT << 32) | pos) AS best
     FROM (
-      SELECT s.word, s.pos, s.token, s.before, (m.merged::BIGINT << 32) | s.pos AS pair
-      FROM (
-        SELECT word, pos, token, lead(token) OVER neighbours AS after, lag(pos) OVER neighbours AS before
-        FROM contracted WHERE live
-        WINDOW neighbours AS (PARTITION BY word ORDER BY pos)
-      ) s LEFT JOIN merges m ON m.pair = (s.token::BIGINT << 32) | s.after
-    )
-  )
-  WHERE best IS NULL OR before IS NULL OR before <> best & 4294967295
+      SELECT word, unnest(ids) AS token, unnest(ids[2:]) AS after, generate_subscripts(ids, 1) AS pos
+      FROM contracted WHERE live
+    ) rows JOIN merges ON pair = (token::BIGINT << 32) | after
+    GROUP BY word
+  ) lowest USING (word)
+  WHERE live
 )
-SELECT word, list(token ORDER BY pos) AS ids FROM contracted WHERE NOT live GROUP BY word ORDER BY word
+SELECT word, ids FROM contracted WHERE NOT live ORDER BY word
 """
 
 DECODE = """
 SELECT doc, unhex(string_agg(hexed, '' ORDER BY pos)) AS decoded
-FROM (SELECT doc, unnest(ids) AS token, generate_subscripts(ids, 1) AS pos FROM listed) JOIN vocabulary USING (token)
+FROM listed JOIN vocabulary USING (token)
 GROUP BY doc ORDER BY doc
 """
 
@@ -69,10 +71,11 @@ class Codec:
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.matches = regex.compile(pattern).findall
+        # Ids of the units met of late, and of those before them: what is met again stays.
         self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.base = np.array([self.ranks[bytes([byte])] for byte in range(256)], dtype=np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         ranks = self.ranks
         pairs = [
             (ranks[token[:at]] << 32 | ranks[token[at:]], rank)
@@ -82,7 +85,7 @@ class Codec:
         merges = pa.table({"pair": [p for p, _ in pairs], "merged": [m for _, m in pairs]})
         vocabulary = pa.table({"token": list(ranks.values()), "hexed": [token.hex() for token in ranks]})
         self.db.execute("CREATE TABLE merges AS SELECT pair::BIGINT AS pair, merged::INTEGER AS merged FROM merges")
-        self.db.execute("CREATE TABLE vocabulary AS SELECT token::INTEGER AS token, hexed FROM vocabulary")
+        self.db.execute("CREATE TABLE vocabulary AS SELECT token::BIGINT AS token, hexed FROM vocabulary")
 
     def encode(self, text: str) -> list[str]:
         """The text's known units: a single space between two visible characters always begins a match, so a
@@ -93,56 +96,63 @@ class Codec:
         return [first, *[" " + word for word in others]] if first else [" " + word for word in others]
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known, self.words = {}, {}
         split = [self.encode(text) for text in texts]
+        fresh = set().union(*split).difference(self.known)
+        again = fresh.intersection(self.older)
+        self.known.update((unit, self.older[unit]) for unit in again)
+        fresh -= again
+        self._learn(fresh)
         known = self.known
-        fresh = list(set().union(*split).difference(known))
-        parts = [self.matches(unit) for unit in fresh]
-        self._learn(set().union(*parts).difference(self.words))
-        for unit, words in zip(fresh, parts):
-            known[unit] = b"".join([self.words[word] for word in words])
-        return [b"".join([known[unit] for unit in units]) for units in split]
-
-    def _learn(self, words: Iterable[str]) -> None:
+        made = [b"".join([known[unit] for unit in units]) for units in split]
+        if len(known) > REMEMBERED:
+            self.known, self.older = {}, known
+        return made
+
+    def _learn(self, units: set[str]) -> None:
+        """A unit that is one match is a word itself; the others are the sums of their words."""
+        known, parts = self.known, {unit: self.matches(unit) for unit in units}
         longer = []
-        for word in words:
+        for word in set().union(*parts.values()).difference(known):
             rank = self.ranks.get(word.encode())
             if rank is None:
                 longer.append(word)
             else:
-                self.words[word] = rank.to_bytes(4, "little")
+                known[word] = rank.to_bytes(4, "little")
         for at in range(0, len(longer), WORDS_AT_ONCE):
             self._contract(longer[at:at + WORDS_AT_ONCE])
+        for unit, words in parts.items():
+            if len(words) != 1:
+                known[unit] = b"".join([known[word] for word in words])
 
     def _contract(self, words: list[str]) -> None:
         encoded = [word.encode() for word in words]
         lengths = np.array([len(word) for word in encoded])
         ends = np.cumsum(lengths)
-        started = pa.table({
-            "word": np.repeat(np.arange(len(words), dtype=np.int32), lengths),
-            "pos": (np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)).astype(np.int32),
-            "token": self.base[np.frombuffer(b"".join(encoded), dtype=np.uint8)],
-        })
-        self.db.register("started", started)
+        tokens = self.base[np.frombuffer(b"".join(encoded), dtype=np.uint8)]
+        offsets = np.concatenate([[0], ends]).astype(np.int32)
+        started = {"word": np.arange(len(words), dtype=np.int32), "ids": _lists(offsets, tokens)}
+        self.db.register("started", pa.table(started))
         ids = self.db.sql(CONTRACT).to_arrow_table().column("ids").combine_chunks()
         values = ids.values.to_numpy().astype("<u4").tobytes()
         offsets = (4 * ids.offsets.to_numpy()).tolist()
         for word, start, end in zip(words, offsets, offsets[1:]):
-            self.words[word] = values[start:end]
+            self.known[word] = values[start:end]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes of each list of ids; an id that the vocabulary lacks adds nothing."""
         counts = np.array([len(one) // 4 for one in ids])
-        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-        values = np.frombuffer(b"".join(ids), dtype="<u4").astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-        self.db.register("listed", pa.table({"doc": np.arange(len(ids), dtype=np.int32), "ids": lists}))
+        tokens = np.frombuffer(b"".join(ids), dtype="<u4").astype(np.int64)
+        doc = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
+        self.db.register("listed", pa.table({"doc": doc, "pos": np.arange(len(tokens), dtype=np.int32), "token": tokens}))
         found = self.db.sql(DECODE).to_arrow_table()
         decoded = dict(zip(found.column("doc").to_pylist(), found.column("decoded").to_pylist()))
         return [decoded.get(doc, b"") for doc in range(len(ids))]
 
 
+def _lists(offsets: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
 def _has_adjacent_spaces(text: str) -> bool:
     return ADJACENT.search(text) is not None
 
