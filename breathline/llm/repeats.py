@@ -27,7 +27,7 @@ LENGTH = 200
 ANCHOR = 64
 LIMIT = 4096
 # Bytes scanned at once, and the longest run of windows that is one segment.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 1 << 20
 LONGEST_RUN = 1 << 16
 
 SEGMENT = "struct<key: long, content: long, start: int, size: int, anchor: int, again: boolean, times: int>"
@@ -446,10 +446,9 @@ def _fetched(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _crowded(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The exact way for keys with too many contents: windows of the same hash, counted with partial sums."""
-    windows = kept(
-        _fetched(texts, wanted).mapInArrow(
-            _window_hashes(length), "window binary, row long, digest binary, start int, lone boolean"
-        ), "repeats-windows",
+    # Part of the same plan as the rest, so that the shuffle of the texts is reused.
+    windows = _fetched(texts, wanted).mapInArrow(
+        _window_hashes(length), "window binary, row long, digest binary, start int, lone boolean"
     )
     repeated = windows.groupBy("window").agg(F.count("*").alias("times")).where("times > 1").select("window")
     return windows.where("lone").join(repeated, "window", "left_semi").select(
