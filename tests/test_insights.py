@@ -34,6 +34,9 @@ def test_latest_breaks_ties_and_keeps_silent_cities(spark):
         ("a", 3, 30), ("silent", 4, 40), (None, 5, 50)
     ]
     assert insights.latest_by_city(rows.limit(0)).count() == 0
+    untimed = rows.unionAll(rows.limit(1).selectExpr("'x'", "CAST(null AS TIMESTAMP)", "7L", "70"))
+    assert rows_of(insights.latest_by_city(untimed), "city", "offset") == [("a", 3), ("silent", 4), ("x", 7), (None, 5)]
+    assert rows_of(insights.latest_by_city(untimed.where("city = 'x'")), "city", "offset") == [("x", 7)]
 
 
 def test_trend_counts_hours_not_rows(spark):
@@ -177,3 +180,12 @@ def test_forecast_of_a_city_without_values_is_left_out(spark):
     hours = hours_of(spark, [("none", hour, None) for hour in range(30)] + [("a", hour, 5) for hour in range(60)])
     rows = forecast.features(hours)
     assert {row.city for row in rows.where(~F.col("known")).collect()} == {"a"}
+
+
+def test_forecast_covers_every_hour_of_a_short_history(spark):
+    hours = hours_of(spark, [("new", hour, 50 + hour) for hour in range(10)] + [("a", hour, hour % 24) for hour in range(90)])
+    rows = forecast.features(hours)
+    made = forecast.forecast(rows, forecast.fit(rows)).groupBy("city").agg(F.count("aqi_expected").alias("hours"))
+    assert rows_of(made) == [("a", 24), ("new", 24)]
+    coming = rows.where("city = 'new' and not known").orderBy("hour_start").collect()
+    assert coming[0].day_mean == pytest.approx(54.5) and all(row.day_mean is not None for row in coming)
