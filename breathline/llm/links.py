@@ -15,18 +15,19 @@ def components(links: DataFrame) -> DataFrame:
     edges = kept(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links"
     )
-    if edges.isEmpty():
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    state = _state(edges)
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").where("b <> low").select("b", "low").toDF("a", "b")
-        joined = low.toDF("a", "b").unionAll(small).distinct()
-        following = kept(joined, "links")
-        before = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        after = following.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        edges = following
-        if before == after:
+        edges = kept(low.toDF("a", "b").unionAll(small).distinct(), "links")
+        before, state = state, _state(edges)
+        if before == state:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def _state(edges: DataFrame) -> tuple:
+    """Number of links and a sum of their hashes: equal for equal tables."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())

@@ -5,7 +5,7 @@ import pytest
 from breathline.llm import jaccard
 from breathline.llm.links import components
 
-from llm_texts import edited, prose
+from llm_texts import prose
 
 
 def shingle_set(text, width):
@@ -53,8 +53,10 @@ def test_chains_of_near_copies(spark, shared, of):
     assert found == brute(rows, 3, shared, of)
 
 
-def test_sets_left_over_are_compared_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "BLOCK", 4)
+@pytest.mark.parametrize("few, block", [(1, 4), (1, 30), (8, 512), (1000, 2000)])
+def test_sets_left_over_are_compared_in_blocks(spark, monkeypatch, few, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "FEW", few)
     chosen, base, rows = random.Random(8), prose(9, 90).split(" "), []
     for _ in range(70):
         words = list(base)
@@ -66,6 +68,18 @@ def test_sets_left_over_are_compared_in_blocks(spark, monkeypatch):
     assert found == brute(rows, 3, 90, 100)
 
 
+def test_parity_never_exceeds_the_difference():
+    import numpy as np
+
+    chosen = np.random.default_rng(6)
+    for size in (1, 30, 400, 5000):
+        one = np.unique(chosen.integers(0, 2**63, size=size, dtype=np.uint64))
+        for changed in (0, 1, size // 10, size):
+            two = np.unique(np.append(one[changed:], chosen.integers(0, 2**63, size=changed, dtype=np.uint64)))
+            differing = np.bitwise_count((jaccard.parity(one) ^ jaccard.parity(two)).view(np.uint64)).sum()
+            assert differing <= len(np.setxor1d(one, two)) and (differing > 0) == (changed > 0)
+
+
 def test_linked_sets_share_a_signature():
     import numpy as np
 
