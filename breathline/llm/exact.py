@@ -104,7 +104,7 @@ def exact_groups(docs: DataFrame, identifier: Callable[[Column], Column] = sha)
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that stay. Rows that are dropped are found by their doc_id; rows that
-    repeat a kept doc_id are reduced to one, and only those rows are compared."""
+    repeat a kept doc_id are reduced to one, and only those rows are compared. Rows without a doc_id stay."""
     groups = kept(exact_groups(docs), "exact-groups")
     repeated = groups.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
     dropped = groups.where("not kept").select("doc_id").distinct()

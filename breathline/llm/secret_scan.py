@@ -50,7 +50,9 @@ def features(findings: DataFrame) -> DataFrame:
     """Adds a number per feature to findings (found, before, after, path)."""
     value = F.regexp_replace(F.col("found"), ASSIGNED, "")
     letters = F.split(value, "")
-    entropy = F.aggregate(F.array_distinct(letters), F.lit(0.0), lambda sum_, one: sum_ - _part(value, one) * F.log2(_part(value, one)))
+    entropy = F.aggregate(
+        F.array_distinct(letters), F.lit(0.0), lambda sum_, one: sum_ - _part(value, one) * F.log2(_part(value, one))
+    )
     assigned = F.col("found").rlike(ASSIGNED) | F.col("before").rlike(r"[=:][ ]?[\"']?$")
     made = {
         "length": F.length(value), "digits": _share(value, "[^0-9]"), "uppers": _share(value, "[^A-Z]"),
@@ -112,17 +114,27 @@ def labelled_findings(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     near, after = around(41), around(101)
     plain = F.regexp_replace(near, r"[=:]\s*$", " ")
     said = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
-    rows = [
-        (said('token = "', hexed), near, said('"', after), 1), (said('TOKEN = "', F.upper(hexed)), F.upper(near), said('"', after), 1),
-        (said("password: ", wide.substr(1, 14)), near, after, 1), (said("api_key=", wide.substr(1, 32)), near, after, 1),
-        (said("secret: ", F.md5(key)), near, after, 1), (said("access-key='", wide.substr(1, 40)), near, said("'", after), 1),
-        (said("AKIA", F.upper(hexed.substr(1, 16))), near, after, 1), (said("ghp_", F.regexp_replace(wide.substr(1, 36), "[+/=]", "q")), near, after, 1),
-        (wide, said(near, "Authorization: Bearer "), after, 1), (hexed, said(near, 'token "'), after, 1),
-        (hexed, said(near, "commit "), after, 0), (F.sha2(key, 256), said(near, "sha256: "), after, 0),
-        (F.md5(key), said(near, "checksum "), after, 0), (said("token = ", "your_token_here_", F.col("doc_id").cast("string")), near, after, 0),
-        (said('password = "', "changeme", F.col("doc_id").cast("string"), "example"), near, said('"', after), 0),
-        (said("token: ", "xxxxxxxxxxxxxxxxxxxx"), near, after, 0), (digits, plain, after, 0),
-        (said(words.substr(1, 24), "1"), plain, after, 0), (said("item/", words.substr(1, 18), "/", F.col("doc_id").cast("string"), "/page"), plain, after, 0),
+    doc = F.col("doc_id").cast("string")
+    rows = [  # found, before, after, whether it is a secret
+        (said('token = "', hexed), near, said('"', after), 1),
+        (said('TOKEN = "', F.upper(hexed)), F.upper(near), said('"', after), 1),
+        (said("password: ", wide.substr(1, 14)), near, after, 1),
+        (said("api_key=", wide.substr(1, 32)), near, after, 1),
+        (said("secret: ", F.md5(key)), near, after, 1),
+        (said("access-key='", wide.substr(1, 40)), near, said("'", after), 1),
+        (said("AKIA", F.upper(hexed.substr(1, 16))), near, after, 1),
+        (said("ghp_", F.regexp_replace(wide.substr(1, 36), "[+/=]", "q")), near, after, 1),
+        (wide, said(near, "Authorization: Bearer "), after, 1),
+        (hexed, said(near, 'token "'), after, 1),
+        (hexed, said(near, "commit "), after, 0),
+        (F.sha2(key, 256), said(near, "sha256: "), after, 0),
+        (F.md5(key), said(near, "checksum "), after, 0),
+        (said("token = ", "your_token_here_", doc), near, after, 0),
+        (said('password = "', "changeme", doc, "example"), near, said('"', after), 0),
+        (said("token: ", "xxxxxxxxxxxxxxxxxxxx"), near, after, 0),
+        (digits, plain, after, 0),
+        (said(words.substr(1, 24), "1"), plain, after, 0),
+        (said("item/", words.substr(1, 18), "/", doc, "/page"), plain, after, 0),
         (said("secret: ", words.substr(1, 16)), near, after, 0),
     ]
     listed = F.array(*[
