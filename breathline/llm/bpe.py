@@ -2,8 +2,8 @@
 
 Encoding: a text is split into the pattern's matches; matches that a worker has not met yet become rows of
 (word, position, token) in each round of a recursive query: they are joined with their right neighbours to the
-merge table, and the word's leftmost pair of minimum rank is contracted, until no pair is left. Decoding: ids are joined to the
-vocabulary and their bytes aggregated in the order of their positions.
+merge table, and the word's leftmost pair of minimum rank is contracted, until no pair is left. Decoding: ids
+become the vocabulary's pieces, and these are aggregated in their order.
 
 Every task works on slices of its own partition, so nothing is shuffled.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,12 +21,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from breathline.llm.base import documents
 
-# Bytes of text and ids that are worked on at once, words in one recursive query, units a worker remembers (and as many
-# older ones).
+# Bytes of text and ids that are worked on at once, words in one recursive query, units a worker remembers (and
+# as many older ones).
 SLICE_BYTES = 2 << 20
 WORDS_AT_ONCE = 20_000
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 
+# Marks that end a word as one match; the apostrophe is not one of them, as it may begin a match with letters.
+MARKS = "!#$%&*,.:;?@|"
 ADJACENT = re.compile(r"\s\s")
 
 ENCODED = "doc_id long, n_tokens long, ids binary"
@@ -54,10 +56,11 @@ WITH RECURSIVE contracted(word, ids, live) AS (
 SELECT word, ids FROM contracted WHERE NOT live ORDER BY word
 """
 
+# A list's values are aggregated in their order.
 DECODE = """
-SELECT doc, unhex(string_agg(hexed, '' ORDER BY pos)) AS decoded
-FROM listed JOIN vocabulary USING (token)
-GROUP BY doc ORDER BY doc
+SELECT doc, unhex(list_aggregate(list_transform(ids, lambda token: pieces[token + 1]), 'string_agg', '')) AS decoded
+FROM listed, vocabulary
+ORDER BY doc
 """
 
 
@@ -71,9 +74,10 @@ class Codec:
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.matches = regex.compile(pattern).findall
-        # Ids of the units met of late, and of those before them: what is met again stays.
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # Ids of words that follow a space (kept without it) and of other matches: those met of late, and those
+        # before them. What is met again stays.
+        self.spaced: list[dict[str, bytes]] = [{}, {}]
+        self.plain: list[dict[str, bytes]] = [{}, {}]
         self.base = np.array([self.ranks[bytes([byte])] for byte in range(256)], dtype=np.int32)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         ranks = self.ranks
@@ -83,80 +87,100 @@ class Codec:
             if token[:at] in ranks and token[at:] in ranks
         ]
         merges = pa.table({"pair": [p for p, _ in pairs], "merged": [m for _, m in pairs]})
-        vocabulary = pa.table({"token": list(ranks.values()), "hexed": [token.hex() for token in ranks]})
         self.db.execute("CREATE TABLE merges AS SELECT pair::BIGINT AS pair, merged::INTEGER AS merged FROM merges")
-        self.db.execute("CREATE TABLE vocabulary AS SELECT token::BIGINT AS token, hexed FROM vocabulary")
-
-    def encode(self, text: str) -> list[str]:
-        """The text's known units: a single space between two visible characters always begins a match, so a
-        text without adjacent white space is the sum of its space-led words; others are split at once."""
-        if _has_adjacent_spaces(text):
-            return self.matches(text)
-        first, *others = text.split(" ")
-        return [first, *[" " + word for word in others]] if first else [" " + word for word in others]
+        pieces: list[str | None] = [None] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            pieces[rank] = token.hex()
+        vocabulary = pa.table({"pieces": [pieces]})
+        self.db.execute("CREATE TABLE vocabulary AS SELECT pieces FROM vocabulary")
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        split = [self.encode(text) for text in texts]
-        fresh = set().union(*split).difference(self.known)
-        again = fresh.intersection(self.older)
-        self.known.update((unit, self.older[unit]) for unit in again)
-        fresh -= again
-        self._learn(fresh)
-        known = self.known
-        made = [b"".join([known[unit] for unit in units]) for units in split]
-        if len(known) > REMEMBERED:
-            self.known, self.older = {}, known
+        """Ids of whole texts. A single space between two visible characters always begins a match, so a text
+        without adjacent white space is its first word and the words that each follow a space; other texts are
+        split into matches at once."""
+        split, whole = [], []
+        for text in texts:
+            if ADJACENT.search(text) is None:
+                first, *spaced = text.split(" ")
+                whole.append(self.matches(first))
+            else:
+                spaced = []
+                whole.append(self.matches(text))
+            split.append(spaced)
+        self._recall(self.spaced, set().union(*split), self._learn_spaced)
+        self._recall(self.plain, set().union(*whole), self._learn)
+        spaced, plain = self.spaced[0].__getitem__, self.plain[0].__getitem__
+        made = [b"".join([*map(plain, start), *map(spaced, rest)]) for start, rest in zip(whole, split)]
+        for memory in (self.spaced, self.plain):
+            if len(memory[0]) > REMEMBERED:
+                memory[:] = [{}, memory[0]]
         return made
 
-    def _learn(self, units: set[str]) -> None:
-        """A unit that is one match is a word itself; the others are the sums of their words."""
-        known, parts = self.known, {unit: self.matches(unit) for unit in units}
-        longer = []
-        for word in set().union(*parts.values()).difference(known):
-            rank = self.ranks.get(word.encode())
-            if rank is None:
-                longer.append(word)
+    def _recall(self, memory: list[dict[str, bytes]], wanted: set[str], learn: Callable[[set[str]], None]) -> None:
+        known, older = memory
+        fresh = wanted.difference(known)
+        again = older.keys() & fresh
+        known.update((unit, older[unit]) for unit in again)
+        if len(fresh) > len(again):
+            learn(fresh - again)
+
+    def _learn_spaced(self, units: set[str]) -> None:
+        """Units that follow a space. Letters are one match with it, and a run of marks after them another."""
+        known, single = self.spaced[0], [unit for unit in units if unit.isalpha()]
+        known.update(zip(single, self._encoded([(" " + unit).encode() for unit in single])))
+        marked, rest = [], {}
+        for unit in units.difference(single):
+            letters = unit.rstrip(MARKS)
+            if letters.isalpha():
+                marked.append((unit, letters, unit[len(letters):]))
             else:
-                known[word] = rank.to_bytes(4, "little")
-        for at in range(0, len(longer), WORDS_AT_ONCE):
-            self._contract(longer[at:at + WORDS_AT_ONCE])
-        for unit, words in parts.items():
-            if len(words) != 1:
-                known[unit] = b"".join([known[word] for word in words])
-
-    def _contract(self, words: list[str]) -> None:
-        encoded = [word.encode() for word in words]
-        lengths = np.array([len(word) for word in encoded])
-        ends = np.cumsum(lengths)
-        tokens = self.base[np.frombuffer(b"".join(encoded), dtype=np.uint8)]
-        offsets = np.concatenate([[0], ends]).astype(np.int32)
+                rest[unit] = self.matches(" " + unit)
+        self._recall(self.spaced, {letters for _, letters, _ in marked}, self._learn_spaced)
+        wanted = set().union(*rest.values()).union([marks for _, _, marks in marked])
+        self._recall(self.plain, wanted, self._learn)
+        plain = self.plain[0]
+        known.update([(unit, known[letters] + plain[marks]) for unit, letters, marks in marked])
+        known.update([(unit, b"".join([plain[word] for word in words])) for unit, words in rest.items()])
+
+    def _learn(self, words: set[str]) -> None:
+        listed = list(words)
+        self.plain[0].update(zip(listed, self._encoded([word.encode() for word in listed])))
+
+    def _encoded(self, words: list[bytes]) -> list[bytes]:
+        """Ids of single matches: a token of the vocabulary is itself, others are contracted."""
+        ranks = list(map(self.ranks.get, words))
+        longer = [word for word, rank in zip(words, ranks) if rank is None]
+        contracted = iter([
+            ids for at in range(0, len(longer), WORDS_AT_ONCE) for ids in self._contracted(longer[at:at + WORDS_AT_ONCE])
+        ])
+        return [next(contracted) if rank is None else rank.to_bytes(4, "little") for rank in ranks]
+
+    def _contracted(self, words: list[bytes]) -> list[bytes]:
+        offsets = np.zeros(len(words) + 1, dtype=np.int32)
+        np.cumsum(list(map(len, words)), out=offsets[1:])
+        tokens = self.base[np.frombuffer(b"".join(words), dtype=np.uint8)]
         started = {"word": np.arange(len(words), dtype=np.int32), "ids": _lists(offsets, tokens)}
         self.db.register("started", pa.table(started))
         ids = self.db.sql(CONTRACT).to_arrow_table().column("ids").combine_chunks()
         values = ids.values.to_numpy().astype("<u4").tobytes()
-        offsets = (4 * ids.offsets.to_numpy()).tolist()
-        for word, start, end in zip(words, offsets, offsets[1:]):
-            self.known[word] = values[start:end]
+        ends = (4 * ids.offsets.to_numpy()).tolist()
+        return [values[start:end] for start, end in zip(ends, ends[1:])]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes of each list of ids; an id that the vocabulary lacks adds nothing."""
-        counts = np.array([len(one) // 4 for one in ids])
+        offsets = np.zeros(len(ids) + 1, dtype=np.int32)
+        np.cumsum([len(one) // 4 for one in ids], out=offsets[1:])
         tokens = np.frombuffer(b"".join(ids), dtype="<u4").astype(np.int64)
-        doc = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
-        self.db.register("listed", pa.table({"doc": doc, "pos": np.arange(len(tokens), dtype=np.int32), "token": tokens}))
-        found = self.db.sql(DECODE).to_arrow_table()
-        decoded = dict(zip(found.column("doc").to_pylist(), found.column("decoded").to_pylist()))
-        return [decoded.get(doc, b"") for doc in range(len(ids))]
+        listed = {"doc": np.arange(len(ids), dtype=np.int32), "ids": _lists(offsets, tokens)}
+        self.db.register("listed", pa.table(listed))
+        found = self.db.sql(DECODE).to_arrow_table().column("decoded").to_pylist()
+        return [one or b"" for one in found]
 
 
 def _lists(offsets: np.ndarray, values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
-def _has_adjacent_spaces(text: str) -> bool:
-    return ADJACENT.search(text) is not None
-
-
 @lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
     """One per worker process: what it has learnt serves the next tasks too."""
