@@ -36,7 +36,10 @@ PARITY = 16
 # A pair of blocks of one family.
 KEYS = ["family", "i", "j", "inner"]
 
-SHAPED = "doc_id long, n_shingles long, set_hash binary, parity array<long>, signatures array<long>"
+SHAPED = "doc_id long, n_shingles long, set_hash binary, parity array<long>"
+SIGNED = "rep long, set_hash binary, signatures array<long>"
+# Orders in which the second leader of a signature is the first.
+ORDERS = 8
 
 MIX = [np.uint64(n) for n in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 SHIFT = np.uint64(32)
@@ -124,37 +127,44 @@ class Bands:
         return np.unique(np.concatenate(made)).view(np.int64)
 
 
-def _shaping(width: int, shared: int, of: int):
+def _shaping(width: int):
     def shape(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(shared, of)
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part, hashes = batch.slice(at, SLICE), Hashes()
-                sizes, digests, flips, signs = [], [], [], []
-                for text in part.column(1).to_pylist():
-                    elements = shingles(text, width, hashes)
-                    sizes.append(len(elements))
-                    digests.append(xxhash.xxh3_128_digest(elements.tobytes()))
-                    flips.append(parity(elements))
-                    signs.append(bands.signatures(elements))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                     pa.array(flips, pa.list_(pa.int64())), pa.array(signs, pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "set_hash", "parity", "signatures"],
-                )
+        for ids, sets in _sliced(batches, width):
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array([len(one) for one in sets], pa.int64()), _digests(sets),
+                 pa.array([parity(one) for one in sets], pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "set_hash", "parity"],
+            )
 
     return shape
 
 
+def _signing(width: int, shared: int, of: int):
+    def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands = Bands(shared, of)
+        for ids, sets in _sliced(batches, width):
+            signs = pa.array([bands.signatures(one) for one in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, _digests(sets), signs], names=["rep", "set_hash", "signatures"])
+
+    return sign
+
+
+def _sliced(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            part, hashes = batch.slice(at, SLICE), Hashes()
+            yield part.column(0), [shingles(text, width, hashes) for text in part.column(1).to_pylist()]
+
+
+def _digests(sets: list[np.ndarray]) -> pa.Array:
+    return pa.array([xxhash.xxh3_128_digest(one.tobytes()) for one in sets], pa.binary())
+
+
 def _listing(width: int):
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part, hashes = batch.slice(at, SLICE), Hashes()
-                sets = [shingles(text, width, hashes).view(np.int64) for text in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["rep", "elements"]
-                )
+        for ids, sets in _sliced(batches, width):
+            elements = pa.array([one.view(np.int64) for one in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, elements], names=["rep", "elements"])
 
     return each
 
@@ -168,14 +178,19 @@ def jaccard_components(docs: DataFrame, width: int = 5, shared: int = 8, of: int
     class could name them. An empty table gives no rows.
     """
     texts = documents(docs).where(F.col("doc_id").isNotNull())
-    shaped = kept(texts.mapInArrow(_shaping(width, shared, of), SHAPED), "jaccard-shapes")
+    shaped = kept(texts.mapInArrow(_shaping(width), SHAPED), "jaccard-shapes")
     filled = shaped.where("n_shingles > 0")
     classes = kept(filled.groupBy("set_hash").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
     # All rows of a representative's doc_id are alike, as they are copies; one of them is enough.
     of_class = filled.withColumnRenamed("doc_id", "rep").join(
         classes.hint("shuffle_hash"), ["set_hash", "rep"], "left_semi"
     )
-    signed = of_class.select(F.explode("signatures").alias("signature"), "rep").repartition("signature")
+    # Signatures are made in a scan of their own: they are larger than all else that is kept.
+    signed = (
+        texts.mapInArrow(_signing(width, shared, of), SIGNED)
+        .join(classes.hint("shuffle_hash"), ["set_hash", "rep"], "left_semi")
+        .select(F.explode("signatures").alias("signature"), "rep").repartition("signature")
+    )
     groups = (
         signed.groupBy("signature")
         .agg(F.min("rep").alias("first"), F.max("rep").alias("last"), F.min(_scattered("rep")).alias("other"),
@@ -215,9 +230,9 @@ def jaccard_components(docs: DataFrame, width: int = 5, shared: int = 8, of: int
 
 
 def _scattered(name: str) -> Column:
-    """A one-to-one change of a long that is its own inverse on non-negative ids, differing by signature, so that
-    a signature's second leader is any of its sets and not again an early one."""
-    return F.col(name).bitwiseXOR(F.shiftrightunsigned(F.col("signature"), 1))
+    """A one-to-one change of a long that is its own inverse, one of ``ORDERS`` by signature: its least value is
+    another set than the least id, and the same for many signatures of a group."""
+    return F.col(name).bitwiseXOR(F.shiftrightunsigned(F.xxhash64(F.pmod("signature", F.lit(ORDERS))), 1))
 
 
 def _pair(one: Column, two: Column) -> list[Column]:
