@@ -14,6 +14,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
@@ -30,6 +31,9 @@ LEAST_RATIO = 1.5
 STRONG = 4.0
 PARTS = 3
 CUT = 0.7
+# Texts measured together, and tokens whose weight a worker remembers.
+ROWS_AT_ONCE = 1000
+REMEMBERED = 200_000
 
 # Insults in English, and words that address somebody in English, French, German and Spanish.
 INSULTS = ("clown", "disgusting", "dumb", "idiot", "imbecile", "loser", "moron", "pathetic", "scum", "stupid",
@@ -66,7 +70,7 @@ class Lexicon(dict):
         self.plain = frozenset(INSULTS)
 
     def __missing__(self, token: str) -> float:
-        if len(self) > 500_000:
+        if len(self) > REMEMBERED:
             self.clear()
         weights = self.weights
         found = max([weights.get(entry, 0.0) for entry in entries_of(token)])
@@ -180,19 +184,26 @@ def lexicons(training: DataFrame) -> list[dict[str, float]]:
     return made
 
 
-def _measuring(weights: list[dict[str, float]], column: int, part: int | None):
-    """Adds features to each row: ``column`` is the text, ``part`` names the lexicon (none: the last)."""
+def _texts(column: pa.Array) -> list[str]:
+    """Texts of a column, or of the field ``text`` of whole rows."""
+    texts = pc.struct_field(column, "text") if pa.types.is_struct(column.type) else column
+    return [text or "" for text in texts.to_pylist()]
+
+
+def _measuring(weights: list[dict[str, float]], column: int, part: int | None, keep: list[int]):
+    """Adds features to each row: ``column`` holds the text, ``part`` names the lexicon (none: the last)."""
 
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [Lexicon(one) for one in weights]
-        for batch in batches:
-            chosen = batch.column(part).to_pylist() if part is not None else [-1] * batch.num_rows
-            measured = [measure(text, known[which]) for text, which in zip(batch.column(column).to_pylist(), chosen)]
-            keep = [i for i in range(batch.num_columns) if i != column]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in keep], pa.array(measured, pa.list_(pa.float64()))],
-                names=[*[batch.schema.names[i] for i in keep], "measured"],
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(at, ROWS_AT_ONCE)
+                chosen = batch.column(part).to_pylist() if part is not None else [-1] * batch.num_rows
+                measured = [measure(text, known[which]) for text, which in zip(_texts(batch.column(column)), chosen)]
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(i) for i in keep], pa.array(measured, pa.list_(pa.float64()))],
+                    names=[*[batch.schema.names[i] for i in keep], "measured"],
+                )
 
     return each
 
@@ -203,7 +214,7 @@ class Scorer:
     def __init__(self, training: DataFrame):
         self.weights = lexicons(training)
         measured = kept(
-            training.mapInArrow(_measuring(self.weights, 0, 2), "toxic int, part int, measured array<double>"),
+            training.mapInArrow(_measuring(self.weights, 0, 2, [1, 2]), "toxic int, part int, measured array<double>"),
             "toxicity-measured",
         ).select("part", F.col("toxic").cast("double").alias("label"), array_to_vector("measured").alias("features"))
         classes = {(row["part"] == 0, row["label"]) for row in measured.select("part", "label").distinct().collect()}
@@ -215,12 +226,12 @@ class Scorer:
                 raw = self.trees.transform(measured.where("part = 0")).select("label", _margin().alias("margin"))
                 self.steps = IsotonicRegression(featuresCol="margin").fit(raw)
 
-    def scored(self, rows: DataFrame, text: str) -> DataFrame:
-        """Adds ``score`` to rows, and takes the column ``text`` away."""
-        names = [name for name in rows.columns if name != text]
+    def scored(self, rows: DataFrame, text: str, names: list[str]) -> DataFrame:
+        """The columns ``names`` and ``score`` of rows; ``text`` is the column of the text, or of whole rows."""
         kinds = ", ".join(f"`{name}` {rows.schema[name].dataType.simpleString()}" for name in names)
         arrow = rows.mapInArrow(
-            _measuring(self.weights[-1:], rows.columns.index(text), None), f"{kinds}, measured array<double>"
+            _measuring(self.weights[-1:], rows.columns.index(text), None, [rows.columns.index(n) for n in names]),
+            f"{kinds}, measured array<double>",
         )
         if self.trees is None:
             return arrow.select(*names, F.lit(self.base).alias("score"))
@@ -245,7 +256,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cu
     """
     scorer = Scorer(training_rows(docs, labels, sample))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return scorer.scored(rows, "text").select(
+    return scorer.scored(rows, "text", ["doc_id"]).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= cut).cast("int").alias("predicted"),
     )
@@ -254,5 +265,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cu
 def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cut: float = CUT) -> DataFrame:
     """The rows of ``docs``, all columns, that are not predicted toxic."""
     scorer = Scorer(training_rows(docs, labels, sample))
-    packed = docs.select(F.struct(*docs.columns).alias("kept"), F.coalesce("text", F.lit("")).alias("measured_text"))
-    return scorer.scored(packed, "measured_text").where(F.col("score") < cut).select("kept.*")
+    packed = docs.select(F.struct(*docs.columns).alias("kept"))
+    return scorer.scored(packed, "kept", ["kept"]).where(F.col("score") < cut).select("kept.*")
