@@ -20,12 +20,13 @@ CUT = 0.5
 NEAR = 40
 
 # Forms of candidates. A keyword with an assigned value, known key forms, a private key's header,
-# or a long run of key characters with a digit in it.
+# or a long run of key characters with a digit in it. No form has an upper bound, so a key is one candidate whatever
+# its length; the possessive quantifiers never give characters back, so a long run is read a fixed number of times.
 CANDIDATE = (
-    r"(?i:passwd|password|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?[ ]?[=:][ ]?[\"']?[^\s\"'<>|,;]{8,256}"
-    r"|(?<![A-Za-z0-9])(?:AKIA|ASIA|ghp_|gho_|xox[abp]-|sk_live_|AIza)[A-Za-z0-9_-]{12,128}"
+    r"(?i:passwd|password|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?[ ]?[=:][ ]?[\"']?[^\s\"'<>|,;]{8,}+"
+    r"|(?<![A-Za-z0-9])(?:AKIA|ASIA|ghp_|gho_|xox[abp]-|sk_live_|AIza)[A-Za-z0-9_-]{12,}+"
     r"|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
-    r"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,40}[0-9])[A-Za-z0-9+/_-]{20,256}={0,2}"
+    r"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}+={0,2}"
 )
 ASSIGNED = r"^(?i:passwd|password|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?[ ]?[=:][ ]?[\"']?"
 KEYWORDS = r"(?i)(passwd|password|pwd|secret|token|api[_ -]?key|access[_ -]?key|credential|auth|bearer|private)"

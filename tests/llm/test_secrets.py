@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import re
 
@@ -38,6 +39,26 @@ def test_findings_are_all_matches(docs, corpus):
     assert found == sorted((str(d), m.start(), m.group()) for d, t in corpus for m in pattern.finditer(t or ""))
 
 
+def test_keys_are_whole_whatever_their_length(planted):
+    docs, _ = planted
+    key = lambda length: "".join(hashlib.sha1(f"{length}:{at}".encode()).hexdigest() for at in range(length // 40 + 1))[:length]
+    mixed = "ghp_" + re.sub("[+/=]", "q", base64.b64encode(key(450).encode().translate(bytes(range(256))[::-1])).decode())
+    late = "aBcDeFgHiJ" * 5 + key(30).replace("e", "7")
+    texts = [f"{prose(1, 9)} {before}{found}{after} {prose(2, 9)}" for before, found, after in (
+        ("", f'aws_session_token="{key(600)}', '"'), ("Authorization: Bearer ", key(600), ""), ("", mixed, ""),
+        ("", f"secret: {key(100_000)}", ""), ("Authorization: Bearer ", key(100_000), ""), ("Authorization: Bearer ", late, ""),
+    )]
+    long = docs.sparkSession.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labelled = secret_scan.labelled_findings(docs)
+    keys = [key(600), key(600), mixed, key(100_000), key(100_000), late]
+    rows = secret_scan.scan_secrets(long, labelled).collect()
+    assert sorted((r["doc_id"], r["found"].removeprefix('token="').removeprefix("secret: "), r["is_secret"]) for r in rows) == [
+        (at, one, 1) for at, one in enumerate(keys)
+    ]
+    left = {r["doc_id"]: r["text"] for r in secret_scan.redact(long, labelled).collect()}
+    assert all("[secret]" in text and len(text) < 250 for text in left.values()) and len(left) == len(texts)
+
+
 def test_without_labels_every_candidate_stays(planted):
     docs, _ = planted
     none = secret_scan.labelled_findings(docs).limit(0)
