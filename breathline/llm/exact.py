@@ -25,7 +25,9 @@ def sha(chunk: Column) -> Column:
 
 def chunks(text: Column) -> Column:
     """The chunks of a text in order. A chunk keeps the mark at its end, so that one that was cut for its length
-    differs from one that ends there, and equal lists come from equal texts alone."""
+    differs from one that ends there. A cut takes the space after a mark and is made there alone, so a text that
+    ends in a mark has no empty chunk after it, as one that ends in a mark and a space has: chunks up to a mark,
+    joined by spaces, give the text back, and equal lists come from equal texts alone."""
     words = F.split(text, " ")
     # A chunk's words are joined by spaces; \n cannot occur in a normalised text, so it can mark the cuts.
     marked = F.array_join(
@@ -33,7 +35,7 @@ def chunks(text: Column) -> Column:
                     .otherwise(w)),
         " ",
     )
-    cut = F.split(marked, "(?<=\n) ?")
+    cut = F.split(marked, "(?<=\n) ")
     pieces = F.transform(cut, lambda c: F.when(
         F.length(c) > LONGEST,
         F.transform(F.sequence(F.lit(0), F.floor((F.length(c) - 1) / LONGEST).cast("int")),

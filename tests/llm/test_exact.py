@@ -45,6 +45,20 @@ def test_chunks_of_equal_passages_are_shared(spark):
     assert " ".join(c.removesuffix("\n") for c in one) == norm(text)
 
 
+def test_a_space_after_a_cut_is_part_of_the_text(spark, listed):
+    marked = spark.range(200).select(F.concat(F.lit("word"), "id").alias("w")).where(
+        F.pmod(F.xxhash64("w"), F.lit(exact.MASK)) == 0).first()["w"]
+    texts = [f"a b {marked}", f"a b {marked}\n", f"a b {marked} ", marked, f"{marked} ", f" {marked}", f"{marked} {marked}",
+             f"{marked} {marked} ", "x" * exact.LONGEST + f" {marked}", "x" * exact.LONGEST + f" {marked}\n", "", " "]
+    corpus = list(enumerate(texts))
+    docs = spark.createDataFrame(corpus, "doc_id long, text string")
+    assert listed(exact.exact_groups(docs)) == expected(corpus)
+    assert {r["doc_id"] for r in exact.drop_copies(docs).collect()} == set(range(len(texts))) - {2}
+    for row in docs.select("text", exact.chunks(F.regexp_replace("text", "\n", " ")).alias("chunks")).collect():
+        cut = "".join(c.replace("\n", "\n ") if at + 1 < len(row["chunks"]) else c for at, c in enumerate(row["chunks"]))
+        assert cut.replace("\n", "") == norm(row["text"])
+
+
 def test_empty_table(no_docs):
     assert exact.exact_groups(no_docs).count() == 0 and exact.drop_copies(no_docs).count() == 0
 
