@@ -20,6 +20,8 @@ from breathline.llm.base import kept
 BUCKETS = 2048
 # A split point may miss its share by this part of a shard's target size; it is exact to a row below that.
 TOLERANCE = 0.0005
+# The largest value of a coordinate; a place may lie one after it.
+MOST = (1 << 63) - 1
 
 
 @dataclass
@@ -32,7 +34,8 @@ class Node:
 @dataclass
 class Search:
     """The place of one node's split: rows below ``low`` on ``axis`` go left, rows from ``high`` on go right,
-    and ``wanted`` is the weight to take from those between. Once one value is left, doc_id is the axis."""
+    and ``wanted`` is the weight to take from those between. Once one value is left, doc_id is the axis, from the
+    smallest to the largest doc_id of the rows with that value."""
 
     node: Node
     axis: str
@@ -102,7 +105,7 @@ def _split_level(rows: DataFrame, nodes: list[Node], dimensions: list[str], exte
     number = F.col("shard")
     for search in searches:
         axis, at, fixed = search.cut
-        right = F.col(axis) >= F.lit(at)
+        right = F.col(axis) >= F.lit(at) if at <= MOST else F.lit(False)
         if fixed:
             right = (F.col(fixed[0]) > fixed[1]) | ((F.col(fixed[0]) == fixed[1]) & right)
         upper = search.node.first + search.node.shards // 2
@@ -123,34 +126,42 @@ def _narrowed(rows: DataFrame, searches: list[Search]) -> list[Search]:
     inside, bucket = F.lit(False), F.lit(None).cast("long")
     steps = {}
     for search in searches:
-        steps[search.node.number] = step = max(1, -(-(search.high - search.low) // BUCKETS))
+        base, step = search.low, max(1, -(-(search.high - search.low) // BUCKETS))
+        offset, width = F.col(search.axis) - F.lit(base), step
+        if search.high - 1 - search.low > MOST:
+            # The offset would be no long: with an even base and step, halves fall into the same buckets.
+            base, step = base - base % 2, step + step % 2
+            offset, width = F.shiftright(search.axis, 1) - F.lit(base // 2), step // 2
+        steps[search.node.number] = base, step
         here = (F.col("shard") == search.node.number) & F.col(search.axis).between(search.low, search.high - 1)
         if search.fixed:
             here = here & (F.col(search.fixed[0]) == search.fixed[1])
         inside = inside | here
-        bucket = F.when(here, F.expr(f"(`{search.axis}` - {search.low}L) div {step}L")).otherwise(bucket)
-    sums = rows.where(inside).groupBy("shard", bucket.alias("bucket")).agg(F.sum("size").alias("weight")).collect()
+        bucket = F.when(here, F.call_function("div", offset, F.lit(width))).otherwise(bucket)
+    sums = rows.where(inside).groupBy("shard", bucket.alias("bucket")).agg(
+        F.sum("size").alias("weight"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")
+    ).collect()
     left = []
     for search in searches:
-        step = steps[search.node.number]
-        mine = sorted((r["bucket"], r["weight"]) for r in sums if r["shard"] == search.node.number)
+        base, step = steps[search.node.number]
+        mine = sorted(tuple(r)[1:] for r in sums if r["shard"] == search.node.number)
         before = 0
-        for place, weight in mine:
+        for place, weight, first_id, last_id in mine:
             if before + weight >= search.wanted:
                 break
             before += weight
-        start = search.low + place * step
+        start, end = max(search.low, base + place * step), min(search.high, base + (place + 1) * step)
         short, over = search.wanted - before, before + weight - search.wanted
         whole = step == 1
         if min(short, over) <= search.slack or (whole and search.axis == "doc_id"):
-            at = start if short <= over else start + step
+            at = start if short <= over else end
             search.cut = (search.axis, at, search.fixed)
         elif whole:
             search.fixed, search.wanted, search.axis = (search.axis, start), short, "doc_id"
-            search.low, search.high = -(1 << 62), 1 << 62
+            search.low, search.high = first_id, last_id + 1
             left.append(search)
         else:
-            search.low, search.high, search.wanted = start, start + step, short
+            search.low, search.high, search.wanted = start, end, short
             left.append(search)
     return left
 

@@ -43,6 +43,27 @@ def test_one_value_everywhere_is_split_by_id(spark):
     balanced(placed(points, ["x"], shards=8), 8, 10)
 
 
+def test_ids_over_the_whole_long_range(spark):
+    most = (1 << 63) - 1
+    spread = F.xxhash64("id")
+    ends = F.when(F.col("id") % 2 == 0, F.lit(most) - F.col("id")).otherwise(F.lit(-most - 1) + F.col("id"))
+    upper = F.lit(most) - F.col("id")
+    for doc_id in (spread, ends, upper):
+        tied = spark.range(3001).select(doc_id.alias("doc_id"), F.lit(10).cast("long").alias("size"),
+                                        (F.col("id") % 3).alias("x"), F.lit(0).alias("y"))
+        for dimensions in (["x"], ["y"], []):
+            for count in (2, 7):
+                rows = placed(tied, dimensions, shards=count)
+                assert len(rows) == 3001 and {r["shard"] for r in rows} == set(range(count))
+                balanced(rows, count, 10)
+
+
+def test_wide_coordinates_are_split(spark):
+    points = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit(5).cast("long").alias("size"),
+                                      F.xxhash64("id").alias("x"))
+    balanced(placed(points, ["x"], shards=6), 6, 5)
+
+
 def test_target_bytes_and_boxes(spark):
     points = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit(5).alias("size"), (F.col("id") * 7 % 4001).alias("x"))
     rows = placed(points, ["x"], target_bytes=5000)
