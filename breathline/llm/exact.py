@@ -106,17 +106,21 @@ def exact_groups(docs: DataFrame, identifier: Callable[[Column], Column] = sha)
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that stay. Rows that are dropped are found by their doc_id; rows that
-    repeat a kept doc_id are reduced to one, and only those rows are compared. Rows without a doc_id stay."""
+    repeat a kept doc_id are reduced to one. Those and rows without a doc_id, which stay where ``exact_groups``
+    keeps them, are compared by their texts."""
     groups = kept(exact_groups(docs), "exact-groups")
-    repeated = groups.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
+    repeated = groups.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1 or doc_id is null").select("doc_id")
     dropped = groups.where("not kept").select("doc_id").distinct()
     if repeated.isEmpty():
         return docs.join(dropped.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
-    sole = docs.join(repeated, "doc_id", "left_anti").join(dropped, "doc_id", "left_anti")
-    again = docs.join(repeated, "doc_id", "left_semi").select(
+    named, nameless = docs.where("doc_id is not null"), docs.where("doc_id is null")
+    sole = named.join(repeated, "doc_id", "left_anti").join(dropped, "doc_id", "left_anti")
+    again = named.join(repeated, "doc_id", "left_semi").select(*docs.columns).unionByName(nameless).select(
         "doc_id", F.sha2(normalised(F.coalesce(F.col("text"), F.lit(""))), 256).alias("text_sha256"),
         F.struct(*docs.columns).alias("whole"),
     )
     chosen = groups.where("kept").select("doc_id", "text_sha256").distinct()
-    staying = again.join(chosen, ["doc_id", "text_sha256"], "left_semi").dropDuplicates(["doc_id", "text_sha256"])
+    staying = again.alias("a").join(
+        chosen.alias("c"), F.expr("a.doc_id <=> c.doc_id and a.text_sha256 = c.text_sha256"), "left_semi"
+    ).dropDuplicates(["doc_id", "text_sha256"])
     return sole.select(*docs.columns).unionByName(staying.select("whole.*"))

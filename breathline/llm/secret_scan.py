@@ -78,15 +78,21 @@ def _part(value: Column, one: Column) -> Column:
     return (length - F.length(F.replace(value, one, F.lit("")))) / F.greatest(length, F.lit(1)) / F.greatest(F.length(one), F.lit(1))
 
 
+def _owner() -> Column:
+    """What a row's findings are known by: its doc_id, or the digest of its text where it has none."""
+    return F.coalesce(F.col("doc_id").cast("long").cast("string"), F.sha2("text", 256)).alias("owner")
+
+
 def findings(docs: DataFrame, path: str | None = "source") -> DataFrame:
     """Every candidate: doc_id, number (from 0 in its row), start (characters before it), found, before, after,
-    path. The texts between candidates give the offsets, so each text is matched as a whole."""
+    path, owner. The texts between candidates give the offsets, so each text is matched as a whole."""
     where = F.coalesce(F.col(path).cast("string"), F.lit("")) if path and path in docs.columns else F.lit("")
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), where.alias("path")
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), where.alias("path"),
+        _owner(),
     ).where(F.col("text").rlike(CANDIDATE))
     pattern = F.lit(CANDIDATE)
-    cut = rows.select("doc_id", "path", F.regexp_extract_all("text", pattern, F.lit(0)).alias("found"),
+    cut = rows.select("doc_id", "path", "owner", F.regexp_extract_all("text", pattern, F.lit(0)).alias("found"),
                       F.split("text", CANDIDATE, -1).alias("between"))
     numbers = F.sequence(F.lit(0), F.size("found") - 1)
     listed = F.transform(numbers, lambda i: F.struct(
@@ -95,8 +101,8 @@ def findings(docs: DataFrame, path: str | None = "source") -> DataFrame:
          + F.aggregate(F.slice("found", F.lit(1), i), F.lit(0), lambda n, s: n + F.length(s))).cast("long").alias("start"),
         F.right(F.col("between")[i], F.lit(NEAR)).alias("before"), F.left(F.col("between")[i + 1], F.lit(NEAR)).alias("after"),
     ))
-    return cut.select("doc_id", "path", F.explode_outer(listed).alias("one")).where("one is not null").select(
-        "doc_id", "one.number", "one.start", "one.found", "one.before", "one.after", "path"
+    return cut.select("doc_id", "path", "owner", F.explode_outer(listed).alias("one")).where("one is not null").select(
+        "doc_id", "one.number", "one.start", "one.found", "one.before", "one.after", "path", "owner"
     )
 
 
@@ -164,26 +170,27 @@ def scan_secrets(docs: DataFrame, labelled: DataFrame, path: str | None = "sourc
     Null and empty texts have no findings, nor has an empty table; repeated rows have theirs each; other columns
     are ignored. Without labelled findings of both kinds every candidate is kept as a secret, with score 1.
     """
-    found = findings(docs, path)
-    forest = train(labelled)
-    if forest is None:
-        scored = found.withColumn("score", F.lit(1.0))
-    else:
-        scored = forest.transform(_vectors(features(found))).withColumn("score", vector_to_array("probability")[1])
-    return scored.select(
+    return _scored(findings(docs, path), labelled).select(
         "doc_id", "number", "start", F.length("found").alias("length"), "found", "score",
         (F.col("score") >= cut).cast("int").alias("is_secret"),
     )
 
 
+def _scored(found: DataFrame, labelled: DataFrame) -> DataFrame:
+    forest = train(labelled)
+    if forest is None:
+        return found.withColumn("score", F.lit(1.0))
+    return forest.transform(_vectors(features(found))).withColumn("score", vector_to_array("probability")[1])
+
+
 def redact(docs: DataFrame, labelled: DataFrame, mark: str = "[secret]", cut: float = CUT) -> DataFrame:
     """``docs`` with the secrets of each text replaced by ``mark`` and ``n_chars``, if there, counted anew. Rows
-    without secrets stay as they are."""
-    values = scan_secrets(docs, labelled, cut=cut).where("is_secret = 1").groupBy("doc_id").agg(
+    without secrets stay as they are. Rows without a doc_id are known by their texts."""
+    values = _scored(findings(docs), labelled).where(F.col("score") >= cut).groupBy("owner").agg(
         F.sort_array(F.collect_set("found"), asc=False).alias("secrets")
     )
-    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(*docs.columns).alias("whole"))
-    joined = whole.join(kept(values, "secrets").hint("shuffle_hash"), "doc_id", "left")
+    whole = docs.select(_owner(), F.struct(*docs.columns).alias("whole"))
+    joined = whole.join(kept(values, "secrets").hint("shuffle_hash"), "owner", "left")
     text = F.aggregate("secrets", F.col("whole.text"), lambda text, one: F.replace(text, one, F.lit(mark)))
     changed = F.col("whole").withField("text", text)
     if "n_chars" in docs.columns:

@@ -45,6 +45,15 @@ def test_chunks_of_equal_passages_are_shared(spark):
     assert " ".join(c.removesuffix("\n") for c in one) == norm(text)
 
 
+def test_drop_copies_follows_kept_without_doc_id(docs, listed):
+    more = docs.unionByName(docs.where("doc_id is null")).unionByName(docs.where("doc_id = 0"))
+    stay = exact.exact_groups(more).where("kept").select("doc_id", "text_sha256")
+    made = exact.drop_copies(more)
+    assert made.columns == docs.columns
+    sha = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
+    assert listed(made.select("doc_id", sha.alias("text_sha256"))) == listed(stay)
+
+
 def test_a_space_after_a_cut_is_part_of_the_text(spark, listed):
     marked = spark.range(200).select(F.concat(F.lit("word"), "id").alias("w")).where(
         F.pmod(F.xxhash64("w"), F.lit(exact.MASK)) == 0).first()["w"]

@@ -75,6 +75,21 @@ def test_redaction(planted):
         assert row["n_chars"] == (len(row["text"]) if truth[row["doc_id"]] else 0)
 
 
+def test_rows_without_doc_id_are_redacted(planted):
+    docs, truth = planted
+    nameless = docs.withColumn("doc_id", F.when(F.col("doc_id") >= 20, F.col("doc_id")))
+    labelled = secret_scan.labelled_findings(docs)
+    named = {row["text"]: row["doc_id"] for row in docs.collect()}
+    texts = sorted(row["text"] for row in secret_scan.redact(docs, labelled).collect())
+    changed = secret_scan.redact(nameless, labelled).collect()
+    assert sorted(row["text"] for row in changed) == texts
+    for row in changed:
+        if row["doc_id"] is None:
+            assert "[secret]" in row["text"] or not truth[named[row["text"]]]
+            assert row["n_chars"] == (len(row["text"]) if "[secret]" in row["text"] else 0)
+    assert sum(row["doc_id"] is None and "[secret]" in row["text"] for row in changed) == sum(truth[d] for d in range(20))
+
+
 def test_odd_documents(docs, no_docs, corpus):
     labelled = secret_scan.labelled_findings(docs)
     assert secret_scan.scan_secrets(no_docs, labelled).count() == 0
