@@ -34,15 +34,6 @@ def bytes_per_trigger(spark: SparkSession, waves: int = 4) -> int:
     return split * waves * spark.sparkContext.defaultParallelism
 
 
-def raw_messages(records: DataFrame) -> DataFrame:
-    """The three raw columns of a message."""
-    return records.select(
-        F.col("value").cast("string").alias("json_data"),
-        F.col("timestamp").alias("kafka_timestamp"),
-        F.col("offset").alias("kafka_offset"),
-    )
-
-
 def read_archive(spark: SparkSession, path: str, fmt: str = "json", where: Column | None = None) -> DataFrame:
     """The archive as rows. A ``where`` on city, year, month or day prunes folders."""
     reader = spark.read.schema(ARCHIVE)

@@ -3,9 +3,9 @@ from __future__ import annotations
 import json
 import os
 import sys
-from datetime import datetime
 
 import pytest
+from rows import at
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -27,10 +27,6 @@ def spark():
     session.stop()
 
 
-def at(text: str) -> datetime:
-    return datetime.fromisoformat(text)
-
-
 @pytest.fixture(scope="session")
 def record(spark):
     """Messages from (city, payload or raw text, time) triples; the offset is the position."""
@@ -54,12 +50,3 @@ def reading(spark):
         return spark.createDataFrame([tuple(row.get(name) for name in MEASUREMENT.names) for row in rows], MEASUREMENT)
 
     return make
-
-
-def rows_of(df, *names):
-    """Rows in a fixed order; the last bits of a double depend on the order of its sum."""
-    def plain(value):
-        return round(value, 9) if isinstance(value, float) else value
-
-    chosen = df.select(*names) if names else df
-    return sorted((tuple(plain(value) for value in row) for row in chosen.collect()), key=str)

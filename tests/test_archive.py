@@ -2,7 +2,7 @@ import glob
 import json
 
 import pytest
-from conftest import at, rows_of
+from rows import at, rows_of
 from pyspark.sql import functions as F
 
 from breathline.operators import archive, parse
@@ -40,11 +40,6 @@ def test_city_without_key_comes_from_the_topic(spark, record):
     assert archive.archive_rows(rows).first().city == "hue"
 
 
-def test_raw_messages(record):
-    row = files.raw_messages(record([("hue", "text", LATE)])).first()
-    assert tuple(row) == ("text", at(LATE), 0)
-
-
 def test_bundles_are_bounded_ordered_and_repeatable(spark, record):
     sent = record([("hot", {"aqi": n}, EARLY) for n in range(95)] + [("b", AWKWARD, LATE), ("b", {"aqi": 1}, EARLY)])
     bundles = archive.bundle(sent, messages_per_object=10, prefix="cold")

@@ -4,7 +4,7 @@ from datetime import timedelta
 
 import numpy as np
 import pytest
-from conftest import at, rows_of
+from rows import at, rows_of
 from pyspark.sql import functions as F
 
 from breathline.operators import rollup

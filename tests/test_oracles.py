@@ -1,5 +1,10 @@
 """Every registered query against its SQL, and the driver's three functions."""
 
+import os
+import shutil
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__
@@ -43,3 +48,17 @@ def test_entry(spark, db):
 def test_fixture_keeps_every_event(spark, db):
     events = table(spark, SF_DIR, "events").count()
     assert db.sql("SELECT count(*) FROM events JOIN customer ON user_id = c_custkey").fetchall() == [(events,)]
+
+
+@pytest.mark.parametrize("gone", [["breathline/llm"], ["breathline/llm", "corpus_pipeline.py"], ["corpus_pipeline.py"]])
+def test_entry_without_the_pipeline(tmp_path, gone):
+    """Every other query stays when the training-data operators, their pipeline or both are not there."""
+    top = os.path.dirname(os.path.abspath(__spark_entry__.__file__))
+    left = shutil.ignore_patterns(".git", "tests", "__pycache__", "*.md", "*.json", *map(os.path.basename, gone))
+    shutil.copytree(top, tmp_path / "copy", ignore=left)
+    asked = "import __spark_entry__ as e; print(*e.queries())"
+    found = subprocess.run([sys.executable, "-c", asked], cwd=tmp_path / "copy", capture_output=True, text=True)
+    names = set(found.stdout.split())
+    assert found.returncode == 0 and set(REGISTRY) <= names and "pipeline" not in names
+    if "breathline/llm" in gone:
+        assert names == set(REGISTRY)

@@ -2,7 +2,7 @@ import glob
 import os
 
 import pytest
-from conftest import rows_of
+from rows import rows_of
 from pyspark.sql import functions as F
 
 from breathline import workspace

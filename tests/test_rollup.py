@@ -4,7 +4,7 @@ from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import at, rows_of
+from rows import at, rows_of
 from pyspark.sql import functions as F
 
 from breathline.operators import rollup

@@ -2,7 +2,7 @@
 
 import json
 
-from conftest import at, rows_of
+from rows import at, rows_of
 from pyspark.sql import functions as F
 
 from breathline.operators import dedup, enrich, parse, publish

@@ -2,7 +2,7 @@ import threading
 from datetime import timedelta
 
 import pytest
-from conftest import at, rows_of
+from rows import at, rows_of
 from pyspark.sql import functions as F
 
 from breathline.operators import dedup, parse, rollup
