@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -49,6 +51,19 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(text, SPACES, " ")
 
 
+def slices(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose ``column`` holds about ``size`` bytes; a longer row comes alone."""
+    start, taken = 0, 0
+    for row, value in enumerate(batch.column(column)):
+        length = len(value.as_buffer()) if value.is_valid else 0
+        if row > start and taken + length > size:
+            yield batch.slice(start, row - start)
+            start, taken = row, 0
+        taken += length
+    if batch.num_rows > start:
+        yield batch.slice(start)
+
+
 def ascii_words(text: str) -> list[bytes]:
     """Lower-cased A-Z, words between ASCII white space; other letters stay as they are."""
     return text.encode("utf-8", "surrogatepass").lower().split()
