@@ -23,7 +23,7 @@ BITS = (1, 0)
 UNITS = {"lines": (NEWLINE,), "sentences": (STOP, NEWLINE), "words": (BLANK, NEWLINE)}
 
 # White space beside the line feed, and marks that end sentences.
-BLANKS = [*range(0x09, 0x0A), *range(0x0B, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
+BLANKS = [0x09, *range(0x0B, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
           0x205F, 0x3000]
 STOPS = [0x21, 0x2E, 0x3F]
 

@@ -33,9 +33,9 @@ LEXICON = 2000
 LEAST_TIMES = 2
 UNKNOWN = "und"
 
-# Rounds of the optimiser, its step, and the weight of large parameters.
-ROUNDS = 120
-STEP = 0.15
+# Rounds of the optimiser before and after runs have left, its step, and the weight of large parameters.
+FIRST_ROUNDS, ROUNDS = 25, 60
+STEP = 0.2
 RIDGE = 2e-3
 # A run leaves the sample if another language holds more than this share of it.
 ELSEWHERE = 0.6
@@ -197,7 +197,7 @@ class Learner:
         self.ids = [np.array([vocabulary[word] for word in words], dtype=np.int64) for _, words in runs]
         self.kinds = [np.full(len(words), label, dtype=np.int64) for label, words in runs]
 
-    def fit(self, chosen: list[int]) -> None:
+    def fit(self, chosen: list[int], rounds: int) -> None:
         field, count = self.field, len(self.field.labels)
         ids = np.concatenate([self.ids[run] for run in chosen])
         kinds = np.concatenate([self.kinds[run] for run in chosen])
@@ -211,7 +211,7 @@ class Learner:
         np.add.at(seen, (kinds[later - 1], kinds[later]), 1.0)
         parameters = [field.weights, field.transitions]
         moments = [(np.zeros_like(one), np.zeros_like(one)) for one in parameters]
-        for turn in range(1, ROUNDS + 1):
+        for turn in range(1, rounds + 1):
             sums = np.add.reduceat(field.weights[self.flat], np.cumsum(self.sizes) - self.sizes, axis=0)
             potentials = _exp(sums)[ids]
             expected, pairs = _expected(potentials, field.transitions, lengths, later)
@@ -335,8 +335,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
     runs = [(labels.index(lang), words) for _, lang, words in sorted(tuple(row) for row in drawn.collect()) if words]
     learner = Learner(labels, lexicon_of(training.where(~half), labels), runs or [(0, ["a"])])
     everything = list(range(len(learner.ids)))
-    learner.fit(everything)
-    learner.fit(learner.at_home() or everything)
+    learner.fit(everything, FIRST_ROUNDS)
+    learner.fit(learner.at_home() or everything, ROUNDS)
     return learner.field
 
 
