@@ -35,9 +35,8 @@ def op1_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    counted = bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
-    return bpe.decode(counted, path, pattern).select(
-        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+    return bpe.round_trip(table(spark, sf_dir, "documents"), path, pattern).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
