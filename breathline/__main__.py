@@ -5,6 +5,9 @@
     spark-submit ... breathline/__main__.py hourly --source /data/m --table /data/hourly --since 2024-05-01T03
     spark-submit ... breathline/__main__.py daily --source /data/hourly --table /data/daily
     spark-submit ... breathline/__main__.py hourly-stream --servers host:9092 --table /data/hourly --checkpoint /data/c/h
+    spark-submit ... breathline/__main__.py moments --servers host:9092 --table /data/moments --checkpoint /data/c/mo
+    spark-submit ... breathline/__main__.py alerts --servers host:9092 --table /data/alerts --checkpoint /data/c/a
+    spark-submit ... breathline/__main__.py compact --kind measurements --table /data/m --before 2024-05-01
     spark-submit ... breathline/__main__.py replay --source /data/raw --dimension cities.json --table /data/m
 """
 
@@ -13,7 +16,7 @@ from __future__ import annotations
 import argparse
 import os
 import sys
-from datetime import datetime
+from datetime import date, datetime
 
 if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -34,6 +37,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     commands = parser.add_subparsers(dest="job", required=True)
     for name, trigger in (
         ("realtime", run.REALTIME_TRIGGER), ("archive", run.ARCHIVE_TRIGGER), ("hourly-stream", run.REALTIME_TRIGGER),
+        ("moments", run.REALTIME_TRIGGER), ("alerts", run.REALTIME_TRIGGER),
     ):
         stream = commands.add_parser(name)
         stream.add_argument("--servers", required=True)
@@ -48,7 +52,12 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
         stream.add_argument("--table", required=True)
         stream.add_argument("--checkpoint", required=True)
         stream.add_argument("--trigger", default=trigger)
-    commands.choices["hourly-stream"].add_argument("--delay", default="1 day", help="how late a reading may come")
+    for name in ("hourly-stream", "alerts"):
+        commands.choices[name].add_argument("--delay", default="1 day", help="how late a reading may come")
+    compact = commands.add_parser("compact")
+    compact.add_argument("--kind", choices=["measurements", "moments", "archive"], required=True)
+    compact.add_argument("--table", required=True)
+    compact.add_argument("--before", type=date.fromisoformat, required=True, help="dates before this are compacted")
     for name in ("hourly", "daily", "replay"):
         batch = commands.add_parser(name)
         batch.add_argument("--source", required=True)
@@ -60,13 +69,14 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     commands.choices["hourly"].add_argument("--drop-copies", action="store_true", help="store each message once")
     for name in ("realtime", "replay"):
         commands.choices[name].add_argument("--dimension", required=True)
-    for name in ("archive", "replay"):
+    commands.choices["replay"].add_argument("--only-missing", action="store_true", help="leave out what the table has")
+    for name in ("archive", "replay", "compact"):
         commands.choices[name].add_argument("--format", choices=["json", "parquet"], default="json")
     for name in ("realtime", "replay", "hourly", "daily"):
         commands.choices[name].add_argument("--name", help="the table's name in the catalog, made if missing")
-    for name in ("realtime", "replay", "hourly-stream", "hourly"):
+    for name in ("realtime", "replay", "hourly-stream", "moments", "alerts", "hourly"):
         commands.choices[name].add_argument("--offset-hours", type=int, default=LOCAL_OFFSET_HOURS)
-    for name in ("realtime", "replay", "hourly-stream"):
+    for name in ("realtime", "replay", "hourly-stream", "moments", "alerts"):
         commands.choices[name].add_argument("--event-time", choices=["broker", "payload"], default="broker")
     return parser.parse_args(given)
 
@@ -103,8 +113,23 @@ def start(spark: SparkSession, chosen: argparse.Namespace) -> None:
     elif chosen.job == "replay":
         jobs.run_replay(
             spark, chosen.source, read_dimension(spark, chosen.dimension), chosen.table, chosen.format, None,
-            chosen.offset_hours, chosen.event_time, chosen.name,
+            chosen.offset_hours, chosen.event_time, chosen.name, chosen.only_missing,
         )
+    elif chosen.job == "moments":
+        run.await_stop(jobs.run_moments(
+            messages(spark, chosen), chosen.table, chosen.checkpoint, chosen.trigger, chosen.offset_hours, chosen.event_time,
+        ))
+    elif chosen.job == "alerts":
+        run.await_stop(jobs.run_alerts(
+            messages(spark, chosen), chosen.table, chosen.checkpoint, chosen.delay, chosen.trigger, chosen.offset_hours,
+            chosen.event_time,
+        ))
+    elif chosen.job == "compact":
+        if chosen.kind == "archive":
+            jobs.compact_archive(spark, chosen.table, chosen.before, chosen.format)
+        else:
+            made = {"measurements": jobs.compact_measurements, "moments": jobs.compact_moments}
+            made[chosen.kind](spark, chosen.table, chosen.before)
     elif chosen.job == "hourly":
         jobs.run_hourly(
             spark, chosen.source, chosen.table, chosen.since, chosen.drop_copies, chosen.offset_hours, chosen.name

@@ -11,6 +11,8 @@ from breathline.sources.files import ARCHIVE_TIME_FORMAT
 
 FOLDERS = ["city", "year", "month", "day"]
 
+OPTIONS = {"json": {"timestampFormat": ARCHIVE_TIME_FORMAT}, "parquet": {"compression": "snappy"}}
+
 
 def archive_rows(records: DataFrame) -> DataFrame:
     """Raw text, time and id of each message, filed under its own date, not that of the batch."""
@@ -29,10 +31,9 @@ def write_archive(records: DataFrame, path: str, fmt: str = "json", batch_id: in
     """``json``: one object per line, the message kept as a string, so any text survives unchanged.
     ``parquet``: the same columns, Snappy-compressed. Below its date a message lies in the folder of the stream
     and batch that brought it, so a repeated batch replaces its own files and nothing else."""
-    options = {"timestampFormat": ARCHIVE_TIME_FORMAT} if fmt == "json" else {"compression": "snappy"}
     write_partitioned(
         owned(archive_rows(records), batch_id, owner), path, [*FOLDERS, *OWNER], ["partition", "kafka_offset"],
-        mode="overwrite", dynamic=True, fmt=fmt, options=options,
+        mode="overwrite", dynamic=True, fmt=fmt, options=OPTIONS[fmt],
     )
 
 

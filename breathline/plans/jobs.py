@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -11,16 +13,22 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from breathline import workspace
 from breathline.functions.clock import LOCAL_OFFSET_HOURS
+from breathline.operators.archive import FOLDERS, OPTIONS
 from breathline.operators.dedup import drop_replays
+from breathline.operators.intervals import not_within, offset_intervals
+from breathline.operators.moments import MOMENTS, STORED_MOMENTS, fold_moments, hours_of
 from breathline.operators.parse import parse
 from breathline.operators.replace import replace_by_key
 from breathline.operators.rollup import DAILY_KEYS, HOURLY_KEYS, daily, hourly
-from breathline.schema import HOURLY, RECORD_ID, STORED
+from breathline.schema import ARCHIVE_STORED, HOURLY, RECORD_ID, STORED
 from breathline.session import prepare
+from breathline.sinks.compaction import TARGET_BYTES, compact
 from breathline.sinks.tables import ensure_table
 from breathline.sources.files import replay_archive
 from breathline.streaming import run
-from breathline.streaming.flows import archive_sink, hourly_sink, hourly_stream, measurement_sink, realtime
+from breathline.streaming.flows import (
+    alert_sink, alert_stream, archive_sink, hourly_sink, hourly_stream, measurement_sink, moments_sink, realtime,
+)
 
 
 def run_realtime(
@@ -51,14 +59,88 @@ def run_hourly_stream(
     return run.start(hourly_stream(flat, delay), hourly_sink(spark, path), checkpoint, trigger, mode="update")
 
 
+def run_moments(
+    records: DataFrame, path: str, checkpoint: str, trigger: str | None = run.REALTIME_TRIGGER,
+    offset_hours: int = LOCAL_OFFSET_HOURS, event_time: str = "broker",
+) -> StreamingQuery:
+    """Messages to partial moments by hour: no state, no table rewritten, no reading too late."""
+    prepare(records.sparkSession)
+    return run.start(parse(records, offset_hours, event_time=event_time), moments_sink(path), checkpoint, trigger)
+
+
+def read_moments(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STORED_MOMENTS).parquet(path)
+
+
+def hours_from_moments(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
+    """The hourly table's rows, folded from the moments of the dates from ``since`` on."""
+    rows = read_moments(spark, path)
+    if since is not None:
+        first = since.replace(minute=0, second=0, microsecond=0)
+        rows = rows.where((F.col("date") >= F.lit(first.date())) & (F.col("hour_start") >= F.lit(first)))
+    return hours_of(fold_moments(rows))
+
+
+def run_alerts(
+    records: DataFrame, path: str, checkpoint: str, delay: str, trigger: str | None = run.REALTIME_TRIGGER,
+    offset_hours: int = LOCAL_OFFSET_HOURS, event_time: str = "broker",
+) -> StreamingQuery:
+    """Messages to runs of alert hours. Readings later than ``delay`` are left out: ``insights.alert_runs`` over the hourly
+    table has them."""
+    prepare(records.sparkSession)
+    rows = alert_stream(parse(records, offset_hours, event_time=event_time), delay)
+    return run.start(rows, alert_sink(path), checkpoint, trigger)
+
+
+def _before(day: date) -> Callable[[str], bool]:
+    """Whether a folder's last part names a date before ``day``; the folder of rows without a date never does."""
+    def closed(folder: str) -> bool:
+        value = folder.rsplit("=", 1)[1]
+        return re.fullmatch(r"\d{4}-\d\d-\d\d", value) is not None and value < day.isoformat()
+
+    return closed
+
+
+def compact_measurements(spark: SparkSession, path: str, before: date, target_bytes: int = TARGET_BYTES) -> list[str]:
+    """Files of the processing dates before ``before``, a file per task and batch, into few. No stream repeats a batch
+    of a date that far back, and none writes there again."""
+    return compact(
+        prepare(spark), path, STORED, ["processed_date"], ["city", "measurement_time"], _before(before), target_bytes
+    )
+
+
+def compact_moments(spark: SparkSession, path: str, before: date, target_bytes: int = TARGET_BYTES) -> list[str]:
+    """The same for moments, whose rows become one per city and hour."""
+    def fold(rows: DataFrame) -> DataFrame:
+        return fold_moments(rows.select(*MOMENTS.names)).withColumn("date", F.to_date("hour_start"))
+
+    return compact(prepare(spark), path, STORED_MOMENTS, ["date"], HOURLY_KEYS, _before(before), target_bytes, fold=fold)
+
+
+def compact_archive(
+    spark: SparkSession, path: str, before: date, fmt: str = "json", target_bytes: int = TARGET_BYTES
+) -> list[str]:
+    """The same for the archive's folders of a city and message date."""
+    def closed(folder: str) -> bool:
+        found = re.search(r"year=(\d+)/month=(\d+)/day=(\d+)$", folder)
+        return found is not None and date(*map(int, found.groups())) < before
+
+    return compact(
+        prepare(spark), path, ARCHIVE_STORED, FOLDERS, ["partition", "kafka_offset"], closed, target_bytes, fmt, OPTIONS[fmt]
+    )
+
+
 def run_replay(
     spark: SparkSession, archive_path: str, dimension: DataFrame, path: str, fmt: str = "json",
     where: Column | None = None, offset_hours: int = LOCAL_OFFSET_HOURS, event_time: str = "broker",
-    name: str | None = None,
+    name: str | None = None, only_missing: bool = False,
 ) -> None:
     """Archived messages into the measurement table, below a folder of this replay. Rows that a stream has stored
-    too are copies of them: roll up with ``drop_copies``."""
+    too are copies of them: roll up with ``drop_copies``, or replay ``only_missing`` messages, which reads the ids of the
+    table first."""
     records = replay_archive(prepare(spark), archive_path, fmt, where)
+    if only_missing and workspace.exists(spark, path):
+        records = not_within(records, workspace.cut(offset_intervals(read_measurements(spark, path)), "intervals"))
     rows = realtime(records, dimension, offset_hours, event_time=event_time)
     measurement_sink(path, name=name, owner=f"replay-{uuid.uuid4().hex}")(rows, 0)
 

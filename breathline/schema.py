@@ -71,3 +71,8 @@ ARCHIVE = _struct(
     json_data=TEXT, kafka_timestamp=TIME, topic=TEXT, partition=INT, kafka_offset=LONG,
     city=TEXT, year=INT, month=INT, day=INT,
 )
+
+# The archive with the folders that its writers own; parts of dates are texts, as folders spell them with zeros.
+ARCHIVE_STORED = StructType([
+    *ARCHIVE[:5], *_struct(city=TEXT, year=TEXT, month=TEXT, day=TEXT, stream=TEXT, batch_id=LONG)
+])

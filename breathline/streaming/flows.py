@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from breathline.functions.clock import LOCAL_OFFSET_HOURS
+from breathline.functions.clock import LOCAL_OFFSET_HOURS, hour_start
 from breathline.operators.archive import write_archive
 from breathline.operators.enrich import classify, enrich_city
+from breathline.operators.moments import partial_moments
 from breathline.operators.parse import parse
 from breathline.operators.replace import replace_by_key
 from breathline.operators.rollup import HOURLY_KEYS, hourly_statistics
@@ -68,3 +69,47 @@ def hourly_sink(spark: SparkSession, path: str) -> Sink:
         replace_by_key(spark, path, dated, HOURLY_KEYS, "date", HOURLY_KEYS)
 
     return write
+
+
+def moments_sink(path: str, owner: str | None = None) -> Sink:
+    """Appends the moments of a batch's readings by city and hour. A batch owns its folders, so repeating it adds
+    nothing; a reading that comes late is one more row for its hour."""
+    append = append_batch(path, ["date"], HOURLY_KEYS, owner=owner)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append(partial_moments(batch).withColumn("date", F.to_date("hour_start")), batch_id)
+
+    return write
+
+
+# Fixed value: an index above this is an alert.
+ALERT_INDEX = 200
+
+# Hours that follow each other are less apart than this, others more.
+SESSION = "61 minutes"
+
+
+def alert_stream(measurements: DataFrame, delay: str, threshold: int = ALERT_INDEX) -> DataFrame:
+    """Unbroken runs of hours with an index above ``threshold``, each once no reading can join it any more. State is one
+    row per open run. All readings move the watermark, also those that are no alert: the condition names the time,
+    as Spark would else move it below the watermark."""
+    hours = measurements.select("city", "aqi", hour_start(F.col("measurement_time")).alias("hour_start"))
+    high = F.when(F.col("hour_start").isNotNull(), F.col("aqi") > threshold)
+    runs = hours.withWatermark("hour_start", delay).where(high).groupBy(
+        "city", F.session_window("hour_start", SESSION).alias("run")
+    ).agg(F.max("aqi").alias("aqi_max"))
+    last = F.col("run.end") - F.expr(f"INTERVAL {SESSION}")
+    count = (F.unix_timestamp(last) - F.unix_timestamp("run.start")) / 3600 + 1
+    return runs.select(
+        "city", F.col("run.start").alias("first_hour"), last.alias("last_hour"), count.cast("int").alias("hours"), "aqi_max"
+    )
+
+
+def alert_sink(path: str) -> Sink:
+    """Appends the runs that ended, by the date they began on."""
+    append = append_batch(path, ["date"], ["city", "first_hour"])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append(batch.withColumn("date", F.to_date("first_hour")), batch_id)
+
+    return write

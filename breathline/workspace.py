@@ -72,3 +72,52 @@ def folders(spark: SparkSession, path: str) -> list[str]:
 def remove(spark: SparkSession, path: str) -> None:
     filesystem, jvm_path = _resolve(spark, path)
     filesystem.delete(jvm_path, True)
+
+
+def remove_empty(spark: SparkSession, path: str) -> None:
+    """Removes a folder that has nothing in it."""
+    filesystem, jvm_path = _resolve(spark, path)
+    if filesystem.exists(jvm_path) and not filesystem.listStatus(jvm_path):
+        filesystem.delete(jvm_path, False)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Gives a folder its new place; nothing to do if it is there already."""
+    filesystem, jvm_source = _resolve(spark, source)
+    _, jvm_target = _resolve(spark, target)
+    if filesystem.exists(jvm_target) and not filesystem.exists(jvm_source):
+        return
+    filesystem.mkdirs(jvm_target.getParent())
+    if not filesystem.rename(jvm_source, jvm_target):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def files_at(spark: SparkSession, path: str, depth: int) -> list[tuple[str, int]]:
+    """Names, from the path on, and sizes of the files that many folders below it."""
+    filesystem, jvm_path = _resolve(spark, path)
+    if not filesystem.exists(jvm_path):
+        return []
+    start = len(filesystem.makeQualified(jvm_path).toString().rstrip("/")) + 1
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/*" * (depth + 1))
+    found = filesystem.globStatus(pattern)
+    return [(one.getPath().toString()[start:], one.getLen()) for one in found if one.isFile()]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete under its name or not there."""
+    filesystem, jvm_path = _resolve(spark, path)
+    _, beside = _resolve(spark, path + ".part")
+    stream = filesystem.create(beside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if not filesystem.rename(beside, jvm_path):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    filesystem, jvm_path = _resolve(spark, path)
+    stream = filesystem.open(jvm_path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -204,10 +204,19 @@ ORACLE: dict[str, str] = {
                     ELSE 'Hazardous' END AS health_status
         FROM measurements LEFT JOIN bounds USING (city)""",
     "dedup_replay": _ONCE,
+    "dedup_intervals": _ONCE,
+    "held_intervals": _over(_MEASUREMENTS) + """
+        SELECT topic, CAST(0 AS INTEGER) AS "partition", min("offset") AS first, max("offset") AS last
+        FROM (
+            SELECT topic, "offset", "offset" - row_number() OVER (PARTITION BY topic ORDER BY "offset") AS run
+            FROM measurements WHERE ("offset" // 700) % 3 = 0 OR ("offset" // 900) % 4 = 1
+        )
+        GROUP BY topic, run""",
     "stream_dedup": _ONCE,
     "hourly_rollup": _ALL_HOURS,
     "sql_hourly": _ALL_HOURS,
     "stream_hourly": _ALL_HOURS,
+    "moments_hourly": _ALL_HOURS,
     "daily_rollup": _ALL_DAYS,
     "sql_daily": _ALL_DAYS,
     "batch_jobs": _ALL_DAYS,
@@ -233,6 +242,7 @@ ORACLE: dict[str, str] = {
         extra="kafka_time AS processed_time, CAST(kafka_time AS DATE) AS processed_date, "
     ),
     "stream_enrich": _ENRICHED.format(extra=""),
+    "compact_measurements": _ENRICHED.format(extra=""),
     "archive_rows": _over(_MEASUREMENTS) + """
         SELECT city, CAST(year(kafka_time) AS INTEGER) AS year, CAST(month(kafka_time) AS INTEGER) AS month,
                CAST(day(kafka_time) AS INTEGER) AS day, topic, "offset" AS kafka_offset,
@@ -319,3 +329,5 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, (epoch(hour_start) - epoch(TIMESTAMP '2024-01-01 00:00:00')) / 3600 AS x FROM hourly)
         GROUP BY city""",
 }
+
+ORACLE["stream_alerts"] = ORACLE["alerts"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.types import DoubleType, TimestampType
 
 from breathline import workspace
 from breathline.functions import clock, ladders, names
-from breathline.operators import archive, dedup, enrich, parse, publish, replace, rollup
+from breathline.operators import archive, dedup, enrich, intervals, moments, parse, publish, replace, rollup
 from breathline.plans import forecast, insights, jobs, sql
 from breathline.schema import DIMENSION, HOURLY, MEASUREMENT, RECORD, RECORD_ID
 from breathline.session import prepare
@@ -25,6 +26,9 @@ REGISTRY: dict[str, Query] = {}
 # Last moment the earlier run of an incremental job knew of, within an hour of the test tables.
 EARLIER_RUN = "2024-01-16 05:30:00"
 
+# Dates before this are closed when the moments are compacted.
+CLOSED = date(2024, 1, 20)
+
 
 def comparable(df: DataFrame) -> DataFrame:
     """Doubles to six places and times without a zone, as the SQL side gives them. A mean of short decimals
@@ -181,6 +185,25 @@ def dedup_replay(spark, sf_dir):
     return parse.parse(once, keep=RECORD_ID).select(*RECORD_ID, "city", "aqi", "pm25", "measurement_time")
 
 
+@register
+def dedup_intervals(spark, sf_dir):
+    """All messages replayed onto a table that holds some stretches of them."""
+    sent = fixture.messages(spark, sf_dir)
+    held = sent.where(F.floor(F.col("offset") / 700) % 3 != 1)
+    missing = intervals.not_within(sent, workspace.cut(intervals.offset_intervals(held), "intervals"))
+    once = held.unionByName(missing)
+    return parse.parse(once, keep=RECORD_ID).select(*RECORD_ID, "city", "aqi", "pm25", "measurement_time")
+
+
+@register
+def held_intervals(spark, sf_dir):
+    """The stretches themselves, from two tables that overlap."""
+    sent = fixture.messages(spark, sf_dir)
+    one = sent.where(F.floor(F.col("offset") / 700) % 3 == 0)
+    two = sent.where(F.floor(F.col("offset") / 900) % 4 == 1)
+    return intervals.merge_intervals(intervals.offset_intervals(one), intervals.offset_intervals(two))
+
+
 # --- statistics ------------------------------------------------------------------------------------------
 
 @register
@@ -362,6 +385,46 @@ def stream_hourly(spark, sf_dir):
     return jobs.read_hourly(spark, path).select(*HOURLY.names)
 
 
+@register
+def moments_hourly(spark, sf_dir):
+    """Hours folded from what each micro-batch appended, once more after old dates were compacted."""
+    path = workspace.scratch(spark, "moments")
+    stream = files.stream_messages(spark, landed(spark, fixture.messages(spark, sf_dir)), max_files=1)
+    drained(spark, parse.parse(stream), flows.moments_sink(path))
+    jobs.compact_moments(spark, path, CLOSED)
+    return jobs.hours_from_moments(spark, path)
+
+
+@register
+def compact_measurements(spark, sf_dir):
+    """The realtime job's table after its dates were compacted."""
+    path = workspace.scratch(spark, "measurements")
+    stream = files.stream_messages(spark, landed(spark, fixture.messages(spark, sf_dir)), max_files=1)
+    rows = flows.realtime(stream, fixture.dimension(spark, sf_dir))
+    drained(spark, rows, flows.measurement_sink(path))
+    jobs.compact_measurements(spark, path, date.max)
+    shown = [name for name in MEASUREMENT.names if name != "processed_time"] + ["health_status", "pollution_level"]
+    return jobs.read_measurements(spark, path).select("offset", *shown, *DIMENSION.names[1:])
+
+
+@register
+def stream_alerts(spark, sf_dir):
+    """Runs of alert hours by micro-batches that hold readings of all times. A last reading, far later, ends them."""
+    path, checkpoint = workspace.scratch(spark, "alerts"), workspace.scratch(spark, "checkpoint")
+    landing = landed(spark, fixture.messages(spark, sf_dir))
+    delay = span(spark.read.parquet(landing))
+
+    def drain():
+        stream = files.stream_messages(spark, landing, max_files=1)
+        run.start(flows.alert_stream(parse.parse(stream), delay), flows.alert_sink(path), checkpoint).awaitTermination()
+
+    drain()
+    later = F.col("timestamp") + F.expr("INTERVAL 3650 DAYS")
+    landed(spark, fixture.messages(spark, sf_dir).limit(1).withColumn("timestamp", later), mode="append", path=landing)
+    drain()
+    return spark.read.parquet(path).select("city", "first_hour", "last_hour", "hours", "aqi_max")
+
+
 # --- dashboards ----------------------------------------------------------------------------------------------
 
 @register

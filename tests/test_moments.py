@@ -1,0 +1,120 @@
+import math
+import random
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from rows import at, rows_of
+
+from breathline.operators import moments, rollup
+from breathline.plans import insights, jobs
+from breathline.schema import HOURLY
+from breathline.sources import files
+from breathline.streaming import flows
+
+START = at("2024-03-01 00:10:00")
+
+
+@pytest.fixture()
+def readings(reading):
+    """Two cities, one with most readings; nulls in every quantity, an hour with nulls alone, large values that
+    differ little, readings without a time or city."""
+    draw = random.Random(4)
+    rows = []
+    for n in range(400):
+        row = {"city": "b" if n % 9 == 0 else "hot", "measurement_time": START + timedelta(minutes=draw.randrange(60 * 30))}
+        row |= {name: draw.choice([None, 1e9 + draw.random(), draw.random()]) for name in ("pm25", "pm10", "temperature", "humidity")}
+        row["aqi"] = draw.choice([None, draw.randrange(500)])
+        rows.append(row)
+    rows += [{"city": "null", "measurement_time": START}] * 3
+    rows += [{"city": None, "measurement_time": START, "aqi": 4}, {"city": "hot", "measurement_time": None, "aqi": 7}]
+    return reading(rows)
+
+
+def close(found, expected):
+    assert len(found) == len(expected)
+    for one, other in zip(sorted(found, key=lambda r: str(r[:2])), sorted(expected, key=lambda r: str(r[:2]))):
+        for left, right in zip(one, other):
+            same = left == right if not isinstance(left, float) or right is None else math.isclose(left, right, rel_tol=1e-9, abs_tol=1e-6)
+            assert same, (one, other)
+
+
+def plain(df):
+    return [tuple(row) for row in df.select(*HOURLY.names).collect()]
+
+
+@pytest.mark.parametrize("batches", [1, 2, 7])
+def test_any_split_folds_to_the_hours(readings, batches):
+    expected = plain(rollup.hourly(readings))
+    parts = readings.randomSplit([1.0] * batches, seed=batches)
+    folded = moments.merge_tables([moments.partial_moments(part) for part in parts])
+    assert folded.columns == moments.MOMENTS.names and folded.dtypes == moments.partial_moments(readings).dtypes
+    close(plain(moments.hours_of(folded)), expected)
+    close(plain(moments.hours_of(moments.fold_moments(folded))), expected)
+
+
+def test_no_readings(reading):
+    assert moments.fold_moments(moments.partial_moments(reading([]))).count() == 0
+
+
+def test_deviations_of_large_values_do_not_cancel(spark, reading):
+    rows = [{"city": "a", "measurement_time": START, "aqi": 1_000_000_000 + n % 2} for n in range(100)]
+    parts = [moments.partial_moments(reading(rows[n::10])) for n in range(10)]
+    row = moments.hours_of(moments.merge_tables(parts)).first()
+    assert math.isclose(row.aqi_stddev, 0.5, rel_tol=1e-6) and row.record_count == 100
+
+
+def land(path, part):
+    part.coalesce(1).write.mode("append").parquet(path)
+
+
+def sent(record, first, hours, city="hot", aqi=300, offset=0):
+    return record([(city, {"aqi": aqi}, (first + timedelta(hours=n)).isoformat()) for n in hours], first_offset=offset)
+
+
+def test_stream_of_moments_takes_late_and_repeated_batches(spark, tmp_path, record):
+    landing, table = str(tmp_path / "landing"), str(tmp_path / "moments")
+    everything = [sent(record, START, range(0, 40)), sent(record, START, range(0, 40, 3), aqi=10, offset=100),
+                  sent(record, START - timedelta(days=90), range(5), offset=200)]
+    for part in everything:
+        land(landing, part)
+        jobs.run_moments(files.stream_messages(spark, landing), table, str(tmp_path / "c"), trigger=None).awaitTermination()
+    parsed = flows.parse(everything[0].unionByName(everything[1]).unionByName(everything[2]))
+    expected = plain(rollup.hourly(parsed))
+    close(plain(jobs.hours_from_moments(spark, table)), expected)
+    flows.moments_sink(table, owner="again")(flows.parse(everything[0]).where("false"), 0)
+    sink = flows.moments_sink(table, owner="twice")
+    for _ in range(2):
+        sink(parsed.where("aqi = 10"), 7)
+    row = jobs.hours_from_moments(spark, table).agg(F.sum("record_count")).first()[0]
+    assert row == sum(one[-1] for one in expected) + 14
+    since = START + timedelta(hours=30)
+    recent = [tuple(row) for row in jobs.hours_from_moments(spark, table, since).select("hour_start").collect()]
+    first = (since + timedelta(hours=7)).replace(minute=0)
+    local = jobs.hours_from_moments(spark, table).where(F.col("hour_start") >= F.lit(since.replace(minute=0))).count()
+    assert len(recent) == local and first > since
+
+
+def test_alert_runs_of_a_stream(spark, tmp_path, record):
+    """Files out of order, a run that a later file joins, a restart, and readings below the threshold that end runs."""
+    landing, table, checkpoint = (str(tmp_path / name) for name in ("landing", "alerts", "c"))
+    parts = [sent(record, START, [0, 1, 2, 5]), sent(record, START, [3, 9, 10], offset=10),
+             sent(record, START, [0, 4], city="b", aqi=201, offset=20), sent(record, START, [6, 7], aqi=200, offset=30)]
+
+    def drain():
+        stream = files.stream_messages(spark, landing, max_files=1)
+        jobs.run_alerts(stream, table, checkpoint, "2 days", trigger=None).awaitTermination()
+
+    for part in parts:
+        land(landing, part)
+        drain()
+    assert spark.read.schema("hours int").parquet(table).count() == 0 if (tmp_path / "alerts").exists() else True
+    land(landing, sent(record, START + timedelta(days=30), [0], aqi=5, offset=40))
+    drain()
+    drain()
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    names = ["city", "first_hour", "last_hour", "hours", "aqi_max"]
+    found = rows_of(spark.read.parquet(table), *names)
+    assert found == rows_of(insights.alert_runs(rollup.hourly(flows.parse(whole))), *names) and len(found) == 5
