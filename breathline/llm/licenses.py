@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from breathline.llm.base import documents, kept
 
 THRESHOLD = 0.85
-BLOCK_WORDS = 48
+# Words from one block's start to the next one's, or those of the longest template if it has more.
 STRIDE = 24
 # Templates come as a parameter; more than this many are not broadcast.
 BROADCAST_ROWS = 10_000
@@ -164,15 +164,17 @@ def contained(blocks: DataFrame, templates: DataFrame) -> DataFrame:
 
 def scan_licenses(
     docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None,
-    threshold: float = THRESHOLD, width: int = BLOCK_WORDS, stride: int = STRIDE,
+    threshold: float = THRESHOLD, stride: int = STRIDE,
 ) -> DataFrame:
     """Every row with its phrases and the templates that any of its blocks contains: doc_id, n_words, n_base,
     first_word, last_word, base_labels, labels, score (1 with a phrase, else the largest containment found, or 0).
 
     Null and empty texts have no words and no label. Repeated rows are scanned each; an empty table gives no
-    rows; other columns are ignored. A block starts at every ``stride`` words; the last may be short.
+    rows; other columns are ignored. Blocks are twice as long as the distance of their starts, which is at least
+    that of the longest template, so a template of any length that stands in a text is whole in one of them.
     """
     templates, phrases = templates or TEMPLATES, phrases or PHRASES
+    stride = max([stride, *[len(text.split()) for text in templates.values()]])
     spark = docs.sparkSession
     order = global_order(docs, {word for text in templates.values() for word in text.split()})
     notices = template_rows(spark, templates, order, threshold)
@@ -181,7 +183,7 @@ def scan_licenses(
         tokens = sorted({order[word] for word in text.split()})
         rare.update(tokens[: len(tokens) - needed(len(tokens), threshold) + 1])
     scanned = kept(
-        documents(docs).mapInArrow(_scanning(order, rare, phrases, width, stride), SCANNED), "license-blocks"
+        documents(docs).mapInArrow(_scanning(order, rare, phrases, 2 * stride, stride), SCANNED), "license-blocks"
     )
     blocks = scanned.select("row", F.explode("blocks").alias("block")).select("row", "block.start", "block.tokens")
     found = contained(blocks, notices).groupBy("row").agg(

@@ -5,7 +5,8 @@ that holds all rows, every node with more than one shard is split along its wide
 median (or the share of its lower shards), until each node is one shard of the target size. All nodes of a level
 are split together, and a split point is found by narrowing histograms: each pass adds up the weights of at most
 ``BUCKETS`` buckets per node, and only these sums reach the driver. Rows with equal coordinates are told apart
-by doc_id, so a value that a third of all rows share is split as any other.
+by doc_id, and those that are equal in it too by their number in the table that holds the points, so a value that
+a third of all rows share is split as any other.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ BUCKETS = 2048
 TOLERANCE = 0.0005
 # The largest value of a coordinate; a place may lie one after it.
 MOST = (1 << 63) - 1
+# What tells rows with one value of a coordinate apart, and rows with one doc_id.
+ID, ROW = "_id", "_row"
 
 
 @dataclass
@@ -34,8 +37,8 @@ class Node:
 @dataclass
 class Search:
     """The place of one node's split: rows below ``low`` on ``axis`` go left, rows from ``high`` on go right,
-    and ``wanted`` is the weight to take from those between. Once one value is left, doc_id is the axis, from the
-    smallest to the largest doc_id of the rows with that value."""
+    and ``wanted`` is the weight to take from those between. Once one value is left, it is ``fixed``, and doc_id is the
+    axis, from the smallest to the largest doc_id of the rows with that value; then the number of the row likewise."""
 
     node: Node
     axis: str
@@ -43,8 +46,8 @@ class Search:
     high: int
     wanted: float
     slack: float
-    fixed: tuple[str, int] | None = None
-    cut: tuple[str, int, tuple[str, int] | None] | None = None
+    fixed: tuple[tuple[str, int], ...] = ()
+    cut: tuple[str, int, tuple[tuple[str, int], ...]] | None = None
 
 
 def coded(column: Column) -> Column:
@@ -60,14 +63,18 @@ def kd_shards(
     (weight, at least 1) and the numeric ``dimensions`` (nulls count as 0).
 
     The number of shards is given, or is the total size over ``target_bytes``, rounded up. A table with fewer
-    rows than shards leaves shards empty, an empty table gives no rows. Rows that are equal in every dimension
-    and in doc_id stay together.
+    rows than shards leaves shards empty, an empty table gives no rows. Rows that are equal in every dimension are
+    split by doc_id (a null one, which stays null, like 0), repeated rows and rows without a doc_id by their number.
+    Columns named like the added ones are replaced; other columns stay.
     """
     rows = kept(
-        points.withColumns({name: F.coalesce(F.col(name).cast("long"), F.lit(0)) for name in [*dimensions, "doc_id"]}),
+        points.withColumns({
+            **{name: F.coalesce(F.col(name).cast("long"), F.lit(0)) for name in dimensions},
+            ID: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), ROW: F.monotonically_increasing_id(),
+        }),
         "shard-points",
     )
-    axes = [*dimensions, "doc_id"]
+    axes = [*dimensions, ID]
     bounds = rows.agg(F.sum("size"), *[g(a) for a in axes for g in (F.min, F.max)]).first()
     total = bounds[0] or 0
     if shards is None:
@@ -82,7 +89,7 @@ def kd_shards(
 
 def _split_level(rows: DataFrame, nodes: list[Node], dimensions: list[str], extent: dict, target: float):
     """``shard`` holds the number of the row's node, which is its first shard."""
-    axes = [*dimensions, "doc_id"]
+    axes = [*dimensions, ID]
     split = {node.number: node for node in nodes if node.shards > 1}
     ranges = (
         rows.where(F.col("shard").isin(list(split))).groupBy("shard")
@@ -93,9 +100,9 @@ def _split_level(rows: DataFrame, nodes: list[Node], dimensions: list[str], exte
     for found in ranges:
         node = split[found["shard"]]
         widths = {a: (found[f"hi_{a}"] - found[f"lo_{a}"]) / max(1, extent[a][1] - extent[a][0]) for a in dimensions}
-        axis = max(dimensions, key=lambda a: widths[a], default="doc_id")
+        axis = max(dimensions, key=lambda a: widths[a], default=ID)
         if not widths or widths[axis] == 0:
-            axis = "doc_id"
+            axis = ID
         lower = node.shards // 2
         searches.append(Search(node, axis, found[f"lo_{axis}"], found[f"hi_{axis}"] + 1,
                                found["weight"] * lower / node.shards, TOLERANCE * target))
@@ -106,8 +113,8 @@ def _split_level(rows: DataFrame, nodes: list[Node], dimensions: list[str], exte
     for search in searches:
         axis, at, fixed = search.cut
         right = F.col(axis) >= F.lit(at) if at <= MOST else F.lit(False)
-        if fixed:
-            right = (F.col(fixed[0]) > fixed[1]) | ((F.col(fixed[0]) == fixed[1]) & right)
+        for name, value in reversed(fixed):
+            right = (F.col(name) > value) | ((F.col(name) == value) & right)
         upper = search.node.first + search.node.shards // 2
         number = F.when((F.col("shard") == search.node.number) & right, F.lit(upper)).otherwise(number)
     following = []
@@ -134,31 +141,33 @@ def _narrowed(rows: DataFrame, searches: list[Search]) -> list[Search]:
             offset, width = F.shiftright(search.axis, 1) - F.lit(base // 2), step // 2
         steps[search.node.number] = base, step
         here = (F.col("shard") == search.node.number) & F.col(search.axis).between(search.low, search.high - 1)
-        if search.fixed:
-            here = here & (F.col(search.fixed[0]) == search.fixed[1])
+        for name, value in search.fixed:
+            here = here & (F.col(name) == value)
         inside = inside | here
         bucket = F.when(here, F.call_function("div", offset, F.lit(width))).otherwise(bucket)
     sums = rows.where(inside).groupBy("shard", bucket.alias("bucket")).agg(
-        F.sum("size").alias("weight"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")
+        F.sum("size").alias("weight"), F.count("*").alias("rows"),
+        *[bound(axis).alias(f"{name}{axis}") for axis in (ID, ROW) for name, bound in (("first", F.min), ("last", F.max))],
     ).collect()
     left = []
     for search in searches:
         base, step = steps[search.node.number]
         mine = sorted(tuple(r)[1:] for r in sums if r["shard"] == search.node.number)
         before = 0
-        for place, weight, first_id, last_id in mine:
+        for place, weight, count, *ends in mine:
             if before + weight >= search.wanted:
                 break
             before += weight
         start, end = max(search.low, base + place * step), min(search.high, base + (place + 1) * step)
         short, over = search.wanted - before, before + weight - search.wanted
         whole = step == 1
-        if min(short, over) <= search.slack or (whole and search.axis == "doc_id"):
+        if min(short, over) <= search.slack or (whole and count == 1):
             at = start if short <= over else end
             search.cut = (search.axis, at, search.fixed)
         elif whole:
-            search.fixed, search.wanted, search.axis = (search.axis, start), short, "doc_id"
-            search.low, search.high = first_id, last_id + 1
+            search.fixed, search.wanted = (*search.fixed, (search.axis, start)), short
+            search.axis, (first, last) = (ROW, ends[2:]) if search.axis == ID else (ID, ends[:2])
+            search.low, search.high = first, last + 1
             left.append(search)
         else:
             search.low, search.high, search.wanted = start, end, short
@@ -167,9 +176,10 @@ def _narrowed(rows: DataFrame, searches: list[Search]) -> list[Search]:
 
 
 def _slots(rows: DataFrame) -> DataFrame:
-    """Numbers the rows of a shard without sorting a shard in one task: rows are dealt by doc_id to buckets,
-    counted, and numbered inside their bucket from where the earlier buckets end."""
-    dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64("doc_id"), F.lit(256)).cast("int"))
+    """Numbers the rows of a shard without sorting a shard in one task: rows are dealt by doc_id (without one by
+    their number) to buckets, counted, and numbered inside their bucket from where the earlier buckets end."""
+    dealt_by = F.when(F.col("doc_id").isNull(), F.xxhash64(ROW)).otherwise(F.xxhash64(ID))
+    dealt = rows.drop("slot").withColumn("_bucket", F.pmod(dealt_by, F.lit(256)).cast("int"))
     counts = dealt.groupBy("shard", "_bucket").agg(F.count("*").alias("_rows"))
     starts = counts.selectExpr(
         "shard", "_bucket",
@@ -177,10 +187,10 @@ def _slots(rows: DataFrame) -> DataFrame:
         " - _rows as _start",
     )
     return (
-        dealt.selectExpr("*", "row_number() over (partition by shard, _bucket order by doc_id) as _number")
+        dealt.selectExpr("*", "row_number() over (partition by shard, _bucket order by _id, _row) as _number")
         .join(starts, ["shard", "_bucket"])
         .withColumn("slot", (F.col("_start") + F.col("_number") - 1).cast("long"))
-        .drop("_bucket", "_rows", "_start", "_number")
+        .drop("_bucket", "_rows", "_start", "_number", ID, ROW)
     )
 
 

@@ -32,7 +32,7 @@ def brute(rows, templates, threshold, width, stride):
 
 def test_every_block_and_phrase(docs, corpus, listed):
     found = licenses.scan_licenses(docs)
-    assert listed(found) == brute(corpus, licenses.TEMPLATES, licenses.THRESHOLD, licenses.BLOCK_WORDS, licenses.STRIDE)
+    assert listed(found) == brute(corpus, licenses.TEMPLATES, licenses.THRESHOLD, 2 * licenses.STRIDE, licenses.STRIDE)
 
 
 def test_notices_are_found(docs, listed):
@@ -43,8 +43,8 @@ def test_notices_are_found(docs, listed):
 def test_any_templates_and_threshold(docs, corpus, listed):
     templates = {"a": "the river stone", "b": "old canal where children sang about winter", "c": "seven"}
     for threshold in (0.4, 0.7, 1.0):
-        found = licenses.scan_licenses(docs, templates, threshold=threshold, width=12, stride=5)
-        assert listed(found) == brute(corpus, templates, threshold, 12, 5)
+        found = licenses.scan_licenses(docs, templates, threshold=threshold, stride=5)
+        assert listed(found) == brute(corpus, templates, threshold, 14, 7)  # the longest template has seven words
 
 
 def test_global_order_counts_all_texts(docs, corpus):
@@ -55,3 +55,19 @@ def test_global_order_counts_all_texts(docs, corpus):
 
 def test_empty_table(no_docs):
     assert licenses.scan_licenses(no_docs).count() == 0
+
+
+def test_templates_of_any_length(spark):
+    """Templates of 40, 90 and 300 words are found wherever they stand, with a few words of them changed."""
+    templates = {f"t{size}": " ".join(f"w{size}x{number}" for number in range(size)) for size in (40, 90, 300)}
+    rows, expected = [], {}
+    for size in (40, 90, 300):
+        for shift in (0, 1, 23, 59, 250):
+            words = templates[f"t{size}"].split()
+            words[size // 2] = "other"
+            expected[len(rows)] = f"t{size}"
+            rows.append((len(rows), " ".join(["before"] * shift + words + ["after"] * 70)))
+        rows.append((len(rows), " ".join(templates[f"t{size}"].split()[: size // 2])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {row["doc_id"]: row["labels"] for row in licenses.scan_licenses(docs, templates).where("labels <> ''").collect()}
+    assert found == expected

@@ -18,8 +18,8 @@ def balanced(rows, count, largest):
 
 def test_documents(docs, corpus):
     rows = placed(shards.document_points(docs), ["lang", "source", "length"], shards=4)
-    assert sorted((r["doc_id"] or 0, r["size"], r["text_crc32"]) for r in rows) == sorted(
-        (d or 0, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in corpus
+    assert sorted(((r["doc_id"], r["size"], r["text_crc32"]) for r in rows), key=str) == sorted(
+        ((d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in corpus), key=str
     )
     for shard in range(4):
         slots = sorted(r["slot"] for r in rows if r["shard"] == shard)
@@ -43,6 +43,18 @@ def test_one_value_everywhere_is_split_by_id(spark):
     balanced(placed(points, ["x"], shards=8), 8, 10)
 
 
+def test_rows_without_or_with_one_id_are_split(spark):
+    """800 rows of no doc_id, of one, and a third of rows of one; clashing columns are replaced, others stay."""
+    for doc_id in (F.lit(None).cast("long"), F.lit(7).cast("long"), F.when(F.col("id") % 3 > 0, F.col("id"))):
+        points = spark.range(800).select(doc_id.alias("doc_id"), F.lit(10).cast("long").alias("size"), F.lit(1).alias("x"),
+                                         F.lit("old").alias("slot"), F.lit("old").alias("shard"), F.lit("mine").alias("other"))
+        for dimensions in (["x"], []):
+            rows = placed(points.repartition(3), dimensions, shards=4)
+            assert sorted((r["doc_id"] for r in rows), key=str) == sorted((r.doc_id for r in points.collect()), key=str)
+            assert {r["other"] for r in rows} == {"mine"} and {r["shard"] for r in rows} == set(range(4))
+            balanced(rows, 4, 10)
+
+
 def test_ids_over_the_whole_long_range(spark):
     most = (1 << 63) - 1
     spread = F.xxhash64("id")
