@@ -40,12 +40,13 @@ RIDGE = 2e-3
 # A run leaves the sample if another language holds more than this share of it.
 ELSEWHERE = 0.6
 
-# Bytes of text that are labelled at once, words of a block, blocks whose words are looked at together, words whose
-# potentials a worker remembers.
+# Bytes of text that are labelled at once, words of a block, blocks whose words are looked at together, new words
+# whose features are, words whose potentials a worker remembers.
 SLICE_BYTES = 2 << 20
 BLOCK = 32
 BLOCKS_AT_ONCE = 1 << 14
-REMEMBERED = 200_000
+WORDS_AT_ONCE = 1 << 14
+REMEMBERED = 300_000
 
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -55,40 +56,76 @@ def words_of(text: str) -> list[str]:
     return WORDS.findall(text.lower()) if any(map(str.isalpha, text)) else []
 
 
-def features_of(word: str) -> list[str]:
-    """Character n-grams of one to three, with marks at both ends, longer beginnings and endings, and the word."""
-    marked = f"^{word}$"
-    size = len(marked)
-    found = {marked[at:at + width] for width in (1, 2, 3) for at in range(size - width + 1)}
-    if size > 5:
-        found.update((marked[:4], marked[-4:], marked[:5], marked[-5:]))
-    found.add("=" + word)
-    return list(found)
+def features_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Features of all the words at once, as pairs: the number of the word, and the feature's code.
+
+    With a mark before and after each word, they are its character n-grams of one to three, beginnings and endings
+    of three and four letters, and the word itself. An n-gram's code is its code points beside each other, so no
+    two share one; the others are hashes below zero.
+    """
+    points = np.frombuffer(("\x01" + "\x02\x01".join(words) + "\x02").encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
+    starts = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(words)), sizes)
+    place = np.arange(len(points)) - starts[owner]
+    left = sizes[owner] - place
+    here = np.concatenate([points, np.zeros(4, dtype="<u4")]).astype(np.int64)
+    count = len(points)
+    owners, codes = [owner], [here[:count] << 42]
+    pairs = codes[0] | (here[1:count + 1] << 21)
+    for width, made in ((2, pairs), (3, pairs | here[2:count + 2])):
+        owners.append(owner[left >= width])
+        codes.append(made[left >= width])
+    unsigned, factor = here.astype(np.uint64), np.uint64(0x9E3779B97F4A7C15)
+    longer = np.flatnonzero(sizes > 5)
+    for kind, width in enumerate((4, 5, 4, 5), start=1):
+        begin = starts[longer] + (sizes[longer] - width if kind > 2 else 0)
+        mixed = np.full(len(longer), kind, dtype=np.uint64)
+        for step in range(width):
+            mixed = (mixed + unsigned[begin + step]) * factor
+            mixed ^= mixed >> np.uint64(29)
+        owners.append(longer)
+        codes.append(_below_zero(mixed))
+    powers = np.cumprod(np.full(int(sizes.max(initial=1)), factor, dtype=np.uint64))
+    whole = np.add.reduceat(unsigned[:count] * powers[place], starts)
+    owners.append(np.arange(len(words)))
+    codes.append(_below_zero(whole ^ (whole >> np.uint64(31))))
+    return np.concatenate(owners), np.concatenate(codes)
+
+
+def _below_zero(hashes: np.ndarray) -> np.ndarray:
+    return (hashes | np.uint64(1 << 63)).view(np.int64)
 
 
 class Field:
     """Weights of features and of transitions. The label before a text's first word is free."""
 
-    def __init__(self, labels: list[str], lexicon: dict[str, int], features: list[str]):
+    def __init__(self, labels: list[str], lexicon: dict[str, int], codes: np.ndarray):
         self.token = uuid.uuid4().hex
-        self.labels, self.lexicon = labels, lexicon
-        # A word in no lexicon and a feature that was not learnt have the row of zeros at the end.
-        names = [*features, *(f"lexicon {at}" for at in range(len(labels)))]
-        self.rows = {name: row for row, name in enumerate(names)}
-        self.weights = np.zeros((len(names) + 1, len(labels)))
+        self.labels, self.lexicon, self.codes = labels, lexicon, codes
+        # After the learnt features (codes in order) come the languages' lexicons; all else weighs nothing.
+        self.weights = np.zeros((len(codes) + len(labels), len(labels)))
         self.transitions = np.zeros((len(labels), len(labels)))
 
-    def rows_of(self, word: str) -> list[int]:
-        rows, unknown = self.rows, len(self.weights) - 1
-        found = [rows.get(name, unknown) for name in features_of(word)]
-        stands = self.lexicon.get(word)
-        return found if stands is None else [*found, rows[f"lexicon {stands}"]]
+    def rows_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of a word's number and a row of the weights."""
+        owner, found = features_of(words)
+        rows = np.minimum(np.searchsorted(self.codes, found), max(len(self.codes) - 1, 0))
+        known = self.codes[rows] == found if len(self.codes) else np.zeros(len(found), dtype=bool)
+        stands = [(at, self.lexicon[word]) for at, word in enumerate(words) if word in self.lexicon]
+        listed = np.array(stands, dtype=np.int64).reshape(-1, 2)
+        return (
+            np.concatenate([owner[known], listed[:, 0]]),
+            np.concatenate([rows[known], len(self.codes) + listed[:, 1]]),
+        )
 
-    def potentials(self, rows: list[list[int]]) -> np.ndarray:
+    def potentials(self, words: list[str]) -> np.ndarray:
         """exp of each word's sums of weights, the largest being 1."""
-        sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
-        flat = np.fromiter((row for some in rows for row in some), dtype=np.int64, count=int(sizes.sum()))
-        return _exp(np.add.reduceat(self.weights[flat], np.cumsum(sizes) - sizes, axis=0))
+        return _exp(self.sums(*self.rows_of(words), len(words)))
+
+    def sums(self, owner: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
+        labels = range(len(self.labels))
+        return np.stack([np.bincount(owner, self.weights[rows, label], count) for label in labels], axis=1)
 
 
 def _exp(sums: np.ndarray) -> np.ndarray:
@@ -188,12 +225,10 @@ class Learner:
 
     def __init__(self, labels: list[str], lexicon: dict[str, int], runs: list[tuple[int, list[str]]]):
         vocabulary = {word: at for at, word in enumerate(sorted({word for _, words in runs for word in words}))}
-        times = Counter(name for word in vocabulary for name in features_of(word))
-        self.field = Field(labels, lexicon, sorted(name for name, count in times.items() if count >= LEAST_TIMES))
-        rows = [self.field.rows_of(word) for word in vocabulary]
-        self.sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
-        self.flat = np.fromiter((row for some in rows for row in some), dtype=np.int64, count=int(self.sizes.sum()))
-        self.owner = np.repeat(np.arange(len(rows)), self.sizes)
+        codes, times = np.unique(features_of(list(vocabulary))[1], return_counts=True)
+        self.field = Field(labels, lexicon, codes[times >= LEAST_TIMES])
+        self.words = len(vocabulary)
+        self.owner, self.flat = self.field.rows_of(list(vocabulary))
         self.ids = [np.array([vocabulary[word] for word in words], dtype=np.int64) for _, words in runs]
         self.kinds = [np.full(len(words), label, dtype=np.int64) for label, words in runs]
 
@@ -212,16 +247,14 @@ class Learner:
         parameters = [field.weights, field.transitions]
         moments = [(np.zeros_like(one), np.zeros_like(one)) for one in parameters]
         for turn in range(1, rounds + 1):
-            sums = np.add.reduceat(field.weights[self.flat], np.cumsum(self.sizes) - self.sizes, axis=0)
-            potentials = _exp(sums)[ids]
+            potentials = _exp(field.sums(self.owner, self.flat, self.words))[ids]
             expected, pairs = _expected(potentials, field.transitions, lengths, later)
             missing = observed - expected
-            by_word = np.stack([np.bincount(ids, missing[:, one], len(self.sizes)) for one in range(count)], axis=1)
+            by_word = np.stack([np.bincount(ids, missing[:, one], self.words) for one in range(count)], axis=1)
             slopes = [
                 np.stack([np.bincount(self.flat, by_word[self.owner, one], len(field.weights)) for one in range(count)], axis=1),
                 seen - pairs,
             ]
-            slopes[0][-1] = 0.0
             for values, slope, (mean, square) in zip(parameters, slopes, moments):
                 slope = slope / len(ids) - RIDGE * values / len(ids) ** 0.5
                 mean += 0.1 * (slope - mean)
@@ -230,7 +263,7 @@ class Learner:
 
     def at_home(self) -> list[int]:
         """Runs that are mostly in the language of their document."""
-        sums = np.add.reduceat(self.field.weights[self.flat], np.cumsum(self.sizes) - self.sizes, axis=0)
+        sums = self.field.sums(self.owner, self.flat, self.words)
         lengths = np.array([len(run) for run in self.ids])
         found = posteriors(_exp(sums)[np.concatenate(self.ids)], self.field.transitions, lengths)
         means = np.add.reduceat(found, np.cumsum(lengths) - lengths, axis=0) / lengths[:, None]
@@ -359,8 +392,7 @@ class _Memory(dict):
     def potentials(self) -> np.ndarray:
         if self.waiting:
             added = [
-                self.field.potentials(list(map(self.field.rows_of, self.waiting[at:at + 4096])))
-                for at in range(0, len(self.waiting), 4096)
+                self.field.potentials(self.waiting[at:at + WORDS_AT_ONCE]) for at in range(0, len(self.waiting), WORDS_AT_ONCE)
             ]
             self.table, self.waiting = np.concatenate([self.table, *added]), []
         return self.table

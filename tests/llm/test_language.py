@@ -85,7 +85,23 @@ def test_expected_counts_are_the_slopes():
 def test_words():
     assert language.words_of("Don't 3½ ⅧÉté_x9y") == ["don", "t", "½", "ⅷété", "x", "y"]
     assert language.words_of("½ Ⅷ 12 --") == [] == language.words_of("")
-    assert len(language.features_of("a")) == len(set(language.features_of("a")))
+
+
+def test_features():
+    words = ["a", "abc", "nation", "a", "é" * 300, "\U00020000b", "nations"]
+    owner, codes = language.features_of(words)
+    sets = [set(codes[owner == at].tolist()) for at in range(len(words))]
+    assert sets[0] == sets[3] and len({frozenset(one) for one in sets}) == 6
+    for at, word in enumerate(words):
+        alone = language.features_of([word])[1]
+        assert sorted(alone) == sorted(codes[owner == at])
+        longer = 4 if len(word) > 3 else 0
+        assert len(alone) == 3 * (len(word) + 2) - 3 + longer + 1
+    marked = "\x01abc\x02"
+    grams = {ord(marked[at]) << 42 | (ord(marked[at + 1]) << 21 if width > 1 else 0) | (ord(marked[at + 2]) if width > 2 else 0)
+             for width in (1, 2, 3) for at in range(len(marked) - width + 1)}
+    assert {code for code in sets[1] if code >= 0} == grams
+    assert len({code for code in sets[2] & sets[6] if code < 0}) == 2  # the same beginnings of three and four letters
 
 
 @pytest.fixture(scope="module")
