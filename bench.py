@@ -27,13 +27,14 @@ HEADLINE = [
     "daily_weighted", "weekly_rollup", "upsert_hourly", "upsert_daily", "measurements_sink", "archive_rows",
     "archive_bundle", "stream_enrich", "stream_hourly", "latest_by_city", "trend_24h", "weekday_pattern",
     "level_share", "region_rollup", "city_rank", "alerts", "weather_corr", "aqi_trend_fit", "aqi_forecast",
+    "dedup_intervals", "moments_hourly", "compact_measurements", "stream_alerts",
 ]
 
 # Queries that write tables run once, without a warm-up: each run leaves its files behind.
 WRITING = [
     "upsert_hourly", "upsert_daily", "measurements_sink", "batch_jobs", "archive_rows", "archive_parquet",
     "archive_replay", "stream_enrich", "stream_archive", "stream_dedup", "stream_hourly", "aqi_forecast",
-    "forecast_importance",
+    "forecast_importance", "dedup_intervals", "held_intervals", "moments_hourly", "compact_measurements", "stream_alerts",
 ]
 
 
