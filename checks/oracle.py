@@ -331,3 +331,27 @@ ORACLE: dict[str, str] = {
 }
 
 ORACLE["stream_alerts"] = ORACLE["alerts"]
+
+# Hours that are known and the 24 after each city's last one, with means that lie a day back.
+ORACLE["forecast_features"] = _over(_MEASUREMENTS, _HOURLY) + """
+    , wanted AS (
+        SELECT city, hour_start, aqi_avg, true AS known FROM hourly
+        UNION ALL
+        SELECT city, unnest(generate_series(last + INTERVAL 1 HOUR, last + INTERVAL 24 HOUR, INTERVAL 1 HOUR)), NULL, false
+        FROM (SELECT city, max(hour_start) AS last FROM hourly WHERE aqi_avg IS NOT NULL GROUP BY city)
+    ), looked AS (
+        SELECT *,
+               max(aqi_avg) OVER (by_hour RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND INTERVAL 24 HOUR PRECEDING) AS yesterday,
+               avg(aqi_avg) OVER (by_hour RANGE BETWEEN INTERVAL 47 HOUR PRECEDING AND INTERVAL 24 HOUR PRECEDING) AS recent,
+               avg(aqi_avg) OVER (by_hour RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 24 HOUR PRECEDING) AS past,
+               avg(aqi_avg) OVER (PARTITION BY city) AS whole
+        FROM wanted WINDOW by_hour AS (PARTITION BY city ORDER BY hour_start)
+    ), meant AS (
+        SELECT *, coalesce(recent, past, CASE WHEN NOT known THEN whole END) AS mean_before FROM looked
+    )
+    SELECT city, hour_start, round(aqi_avg + 1e-10, 6) AS aqi_avg, known,
+           round(coalesce(yesterday, mean_before) + 1e-10, 6) AS same_hour_yesterday,
+           round(mean_before + 1e-10, 6) AS day_mean,
+           round(sin(hour(hour_start) * 2 * pi() / 24) + 1e-10, 6) AS hour_sin,
+           round(cos(hour(hour_start) * 2 * pi() / 24) + 1e-10, 6) AS hour_cos
+    FROM meant WHERE mean_before IS NOT NULL OR NOT known"""

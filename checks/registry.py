@@ -502,6 +502,12 @@ def _forecast_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@register
+def forecast_features(spark, sf_dir):
+    """What the model learns from, and the coming hours it is asked for."""
+    return forecast.features(rollup.hourly(fixture.measurements(spark, sf_dir)))
+
+
 @register
 def aqi_forecast(spark, sf_dir):
     """No SQL twin: the model is fitted by least squares over several features."""
