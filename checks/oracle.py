@@ -123,7 +123,8 @@ _ONCE = _over(_MEASUREMENTS) + """
 _ARCHIVE_COUNTS = _over(_MEASUREMENTS) + """
     SELECT city, CAST(year(kafka_time) AS INTEGER) AS year, CAST(month(kafka_time) AS INTEGER) AS month,
            CAST(day(kafka_time) AS INTEGER) AS day, count(*) AS records, min("offset") AS first_offset,
-           max(kafka_time) AS last_time
+           max(kafka_time) AS last_time, CAST(sum(station_id) AS BIGINT) AS stations,
+           CAST(sum(aqi) AS BIGINT) AS index_total, count(*) AS of_the_city
     FROM measurements GROUP BY ALL"""
 
 # Readings of the earlier run, and those that the later one computes again.
@@ -163,7 +164,7 @@ ORACLE: dict[str, str] = {
         FROM measurements""",
     "wrap_payload": """
         SELECT event_id, event_type AS city, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
-               CAST(length('{"city":"' || event_type || '","payload":' || props || '}') AS INTEGER) AS chars
+               md5('{"city":"' || event_type || '","payload":' || props || '}') AS digest
         FROM events""",
     "parse_envelope": _over(_MEASUREMENTS) + f"SELECT {_READING} FROM measurements",
     "quarantine": _over(_MEASUREMENTS) + """

@@ -110,7 +110,7 @@ def wrap_payload(spark, sf_dir):
         "event_id",
         F.get_json_object(wrapped, "$.city").alias("city"),
         F.get_json_object(wrapped, "$.payload.k").cast("int").alias("k"),
-        F.length(wrapped).alias("chars"),
+        F.md5(wrapped).alias("digest"),
     )
 
 
@@ -310,13 +310,23 @@ def archive_rows(spark, sf_dir):
     )
 
 
+def _archived():
+    """What a folder of the archive holds: messages, and what their texts say."""
+    said = {"stations": "$.payload.idx", "index_total": "$.payload.aqi"}
+    return [
+        F.count("*").alias("records"), F.min("kafka_offset").alias("first_offset"),
+        F.max("kafka_timestamp").alias("last_time"),
+        *[F.sum(F.get_json_object("json_data", path).cast("bigint")).alias(name) for name, path in said.items()],
+        F.count_if(F.get_json_object("json_data", "$.city") == F.col("city")).alias("of_the_city"),
+    ]
+
+
 @register
 def archive_parquet(spark, sf_dir):
     path = workspace.scratch(spark, "archive")
     archive.write_archive(fixture.messages(spark, sf_dir), path, fmt="parquet")
     return files.read_archive(spark, path, fmt="parquet").groupBy("city", "year", "month", "day").agg(
-        F.count("*").alias("records"), F.min("kafka_offset").alias("first_offset"),
-        F.max("kafka_timestamp").alias("last_time"),
+        *_archived()
     )
 
 
@@ -357,8 +367,7 @@ def stream_archive(spark, sf_dir):
         flows.archive_sink(path),
     )
     return files.read_archive(spark, path).groupBy("city", "year", "month", "day").agg(
-        F.count("*").alias("records"), F.min("kafka_offset").alias("first_offset"),
-        F.max("kafka_timestamp").alias("last_time"),
+        *_archived()
     )
 
 
