@@ -9,6 +9,7 @@
     spark-submit ... breathline/__main__.py alerts --servers host:9092 --table /data/alerts --checkpoint /data/c/a
     spark-submit ... breathline/__main__.py compact --kind measurements --table /data/m --before 2024-05-01
     spark-submit ... breathline/__main__.py replay --source /data/raw --dimension cities.json --table /data/m
+    spark-submit ... breathline/__main__.py replay-stream --source /data/raw --servers host:9092 --dimension cities.json --table /data/m --checkpoint /data/c/m
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     commands = parser.add_subparsers(dest="job", required=True)
     for name, trigger in (
         ("realtime", run.REALTIME_TRIGGER), ("archive", run.ARCHIVE_TRIGGER), ("hourly-stream", run.REALTIME_TRIGGER),
-        ("moments", run.REALTIME_TRIGGER), ("alerts", run.REALTIME_TRIGGER),
+        ("moments", run.REALTIME_TRIGGER), ("alerts", run.REALTIME_TRIGGER), ("replay-stream", run.REALTIME_TRIGGER),
     ):
         stream = commands.add_parser(name)
         stream.add_argument("--servers", required=True)
@@ -62,26 +63,33 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
         batch = commands.add_parser(name)
         batch.add_argument("--source", required=True)
         batch.add_argument("--table", required=True)
+    commands.choices["replay-stream"].add_argument("--source", required=True, help="the archive")
+    commands.choices["replay-stream"].add_argument(
+        "--partitions", type=int, help="of each city's topic: the live stream then begins where the archive ends"
+    )
+    commands.choices["realtime"].add_argument("--metrics", help="table of counts for each batch")
     for name in ("hourly", "daily"):
         commands.choices[name].add_argument(
             "--since", type=datetime.fromisoformat, help="local time; the whole history if left out"
         )
     commands.choices["hourly"].add_argument("--drop-copies", action="store_true", help="store each message once")
-    for name in ("realtime", "replay"):
+    for name in ("realtime", "replay", "replay-stream"):
         commands.choices[name].add_argument("--dimension", required=True)
     commands.choices["replay"].add_argument("--only-missing", action="store_true", help="leave out what the table has")
-    for name in ("archive", "replay", "compact"):
+    for name in ("archive", "replay", "replay-stream", "compact"):
         commands.choices[name].add_argument("--format", choices=["json", "parquet"], default="json")
-    for name in ("realtime", "replay", "hourly", "daily"):
+    for name in ("realtime", "replay", "replay-stream", "hourly", "daily"):
         commands.choices[name].add_argument("--name", help="the table's name in the catalog, made if missing")
-    for name in ("realtime", "replay", "hourly-stream", "moments", "alerts", "hourly"):
+    for name in ("realtime", "replay", "replay-stream", "hourly-stream", "moments", "alerts", "hourly"):
         commands.choices[name].add_argument("--offset-hours", type=int, default=LOCAL_OFFSET_HOURS)
-    for name in ("realtime", "replay", "hourly-stream", "moments", "alerts"):
+    for name in ("realtime", "replay", "replay-stream", "hourly-stream", "moments", "alerts"):
         commands.choices[name].add_argument("--event-time", choices=["broker", "payload"], default="broker")
     return parser.parse_args(given)
 
 
-def messages(spark: SparkSession, chosen: argparse.Namespace) -> DataFrame:
+def messages(
+    spark: SparkSession, chosen: argparse.Namespace, starting: dict[str, dict[str, int]] | None = None
+) -> DataFrame:
     password = ""
     if chosen.password_file:
         with open(chosen.password_file) as file:
@@ -89,7 +97,7 @@ def messages(spark: SparkSession, chosen: argparse.Namespace) -> DataFrame:
     return read_broker(spark, broker_options(
         chosen.servers, chosen.cities, chosen.prefix,
         Security(chosen.protocol, chosen.mechanism, chosen.username, password),
-        chosen.max_offsets_per_trigger, chosen.min_partitions,
+        chosen.max_offsets_per_trigger, chosen.min_partitions, starting,
     ))
 
 
@@ -99,7 +107,14 @@ def start(spark: SparkSession, chosen: argparse.Namespace) -> None:
         dimension = read_dimension(spark, chosen.dimension)
         run.await_stop(jobs.run_realtime(
             messages(spark, chosen), dimension, chosen.table, chosen.checkpoint, chosen.trigger, chosen.offset_hours,
-            chosen.event_time, chosen.name,
+            chosen.event_time, chosen.name, chosen.metrics,
+        ))
+    elif chosen.job == "replay-stream":
+        topics = [f"{chosen.prefix}.{city}" for city in chosen.cities or []]
+        run.await_stop(jobs.run_replay_stream(
+            spark, chosen.source, lambda starting: messages(spark, chosen, starting), read_dimension(spark, chosen.dimension),
+            chosen.table, chosen.checkpoint, chosen.format, chosen.trigger, chosen.offset_hours, chosen.event_time,
+            chosen.name, dict.fromkeys(topics, chosen.partitions) if chosen.partitions else None,
         ))
     elif chosen.job == "archive":
         run.await_stop(jobs.run_archive(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -20,25 +21,33 @@ from breathline.operators.moments import MOMENTS, STORED_MOMENTS, fold_moments,
 from breathline.operators.parse import parse
 from breathline.operators.replace import replace_by_key
 from breathline.operators.rollup import DAILY_KEYS, HOURLY_KEYS, daily, hourly
-from breathline.schema import ARCHIVE_STORED, HOURLY, RECORD_ID, STORED
+from breathline.schema import ARCHIVE_STORED, HOURLY, METRICS, RECORD_ID, STORED
 from breathline.session import prepare
 from breathline.sinks.compaction import TARGET_BYTES, compact
 from breathline.sinks.tables import ensure_table
-from breathline.sources.files import replay_archive
+from breathline.sources.files import replay_archive, stream_archive
 from breathline.streaming import run
 from breathline.streaming.flows import (
-    alert_sink, alert_stream, archive_sink, hourly_sink, hourly_stream, measurement_sink, moments_sink, realtime,
+    alert_sink, alert_stream, archive_sink, hourly_sink, hourly_stream, measurement_sink, metered, moments_sink, realtime,
 )
+from breathline.streaming.handover import ARCHIVE_PHASE, LIVE_PHASE, held_intervals, once_sink, starting_offsets
 
 
 def run_realtime(
     records: DataFrame, dimension: DataFrame, path: str, checkpoint: str, trigger: str | None = run.REALTIME_TRIGGER,
     offset_hours: int = LOCAL_OFFSET_HOURS, event_time: str = "broker", name: str | None = None,
+    metrics: str | None = None,
 ) -> StreamingQuery:
-    """``name``, here and below, is the table's name in the catalog, made if it is missing."""
+    """``name``, here and below, is the table's name in the catalog, made if it is missing. ``metrics`` is a table that gets
+    a row of counts for each batch."""
     prepare(records.sparkSession)
     rows = realtime(records, dimension, offset_hours, event_time=event_time)
-    return run.start(rows, measurement_sink(path, name=name), checkpoint, trigger)
+    sink = measurement_sink(path, name=name)
+    return run.start(rows, metered(sink, metrics) if metrics else sink, checkpoint, trigger)
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(METRICS).parquet(path)
 
 
 def run_archive(
@@ -145,6 +154,32 @@ def run_replay(
     measurement_sink(path, name=name, owner=f"replay-{uuid.uuid4().hex}")(rows, 0)
 
 
+def run_replay_stream(
+    spark: SparkSession, archive_path: str, live: Callable[[dict[str, dict[str, int]]], DataFrame], dimension: DataFrame,
+    path: str, checkpoint: str, fmt: str = "json", trigger: str | None = run.REALTIME_TRIGGER,
+    offset_hours: int = LOCAL_OFFSET_HOURS, event_time: str = "broker", name: str | None = None,
+    partitions: Mapping[str, int] | None = None, max_files: int | None = None,
+) -> StreamingQuery:
+    """The archive into the measurement table, to its end, and then the live stream; returns the latter's query.
+
+    ``live`` makes the live stream's messages from the offsets to begin with (none: the oldest). A run that stopped in
+    either phase goes on where it was. The archive job may run on meanwhile: what it files after the hand-over
+    comes from the live stream, so its retention must reach back to the hand-over.
+    """
+    prepare(spark)
+    sink, held, handed = measurement_sink(path, name=name), f"{checkpoint}/held", f"{checkpoint}/handover"
+    if not workspace.exists(spark, handed):
+        if workspace.exists(spark, archive_path):
+            archived = stream_archive(spark, archive_path, fmt, max_files=max_files)
+            rows = realtime(archived, dimension, offset_hours, event_time=event_time)
+            run.start(rows, once_sink(sink, held, ARCHIVE_PHASE), f"{checkpoint}/archive").awaitTermination()
+        begin = starting_offsets(held_intervals(spark, held), partitions)
+        workspace.write_text(spark, handed, json.dumps(begin))
+    records = live(json.loads(workspace.read_text(spark, handed)))
+    rows = realtime(records, dimension, offset_hours, event_time=event_time)
+    return run.start(rows, once_sink(sink, held, LIVE_PHASE), f"{checkpoint}/live", trigger)
+
+
 def read_measurements(spark: SparkSession, path: str, oldest: date | None = None) -> DataFrame:
     """The measurement table, or its partitions from a date on. Then only their folders are listed: after a
     year of micro-batches, listing all of them would take longer than reading one day."""

@@ -55,6 +55,11 @@ STORED = StructType([
     *_struct(processed_date=DATE, stream=TEXT, batch_id=LONG),
 ])
 
+# One row for each micro-batch of the realtime job.
+METRICS = _struct(
+    rows=LONG, without_city=LONG, without_index=LONG, unlisted=LONG, first_time=TIME, last_time=TIME, stream=TEXT, batch_id=LONG
+)
+
 HOURLY = _struct(
     city=TEXT, hour_start=TIME, aqi_avg=DOUBLE, aqi_max=INT, aqi_min=INT, aqi_stddev=DOUBLE,
     pm25_avg=DOUBLE, pm25_max=DOUBLE, pm25_min=DOUBLE, pm10_avg=DOUBLE, pm10_max=DOUBLE, pm10_min=DOUBLE,

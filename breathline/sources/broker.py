@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,10 +39,13 @@ def broker_options(
     security: Security = Security(),
     max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
+    starting: Mapping[str, Mapping[str, int]] | None = None,
 ) -> dict[str, str]:
     """Reader options. ``min_partitions`` makes Spark split a topic partition that holds most of the
-    backlog into several tasks; ``max_offsets_per_trigger`` bounds one micro-batch."""
-    options = {"kafka.bootstrap.servers": servers, "startingOffsets": "earliest", **security.options()}
+    backlog into several tasks; ``max_offsets_per_trigger`` bounds one micro-batch; ``starting`` names the first
+    offset of every partition, which is the oldest one if left out. A checkpoint goes before both."""
+    first = json.dumps(starting, sort_keys=True) if starting else "earliest"
+    options = {"kafka.bootstrap.servers": servers, "startingOffsets": first, **security.options()}
     if cities:
         options["subscribe"] = ",".join(f"{prefix}.{city}" for city in cities)
     else:

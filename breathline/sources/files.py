@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from breathline.schema import ARCHIVE, DIMENSION, RECORD
+from breathline.schema import ARCHIVE, ARCHIVE_STORED, DIMENSION, RECORD
 
 ARCHIVE_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -45,7 +45,25 @@ def read_archive(spark: SparkSession, path: str, fmt: str = "json", where: Colum
 
 def replay_archive(spark: SparkSession, path: str, fmt: str = "json", where: Column | None = None) -> DataFrame:
     """The archive as messages again, ready for the same parser as the live stream."""
-    return read_archive(spark, path, fmt, where).select(
+    return _as_messages(read_archive(spark, path, fmt, where))
+
+
+def stream_archive(
+    spark: SparkSession, path: str, fmt: str = "json", max_bytes: int | None = None, max_files: int | None = None
+) -> DataFrame:
+    """The same as a stream, in bounded batches: a restart goes on with the files its checkpoint has not seen."""
+    reader = spark.readStream.schema(ARCHIVE_STORED)
+    if fmt == "json":
+        reader = reader.option("timestampFormat", ARCHIVE_TIME_FORMAT)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    else:
+        reader = reader.option("maxBytesPerTrigger", max_bytes or bytes_per_trigger(spark))
+    return _as_messages(reader.format(fmt).load(path))
+
+
+def _as_messages(archived: DataFrame) -> DataFrame:
+    return archived.select(
         F.col("city").cast("binary").alias("key"),
         F.col("json_data").cast("binary").alias("value"),
         "topic",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from breathline.functions.clock import LOCAL_OFFSET_HOURS, hour_start
 from breathline.operators.archive import write_archive
@@ -13,8 +13,8 @@ from breathline.operators.moments import partial_moments
 from breathline.operators.parse import parse
 from breathline.operators.replace import replace_by_key
 from breathline.operators.rollup import HOURLY_KEYS, hourly_statistics
-from breathline.schema import HOURLY, RECORD_ID
-from breathline.sinks.tables import append_batch
+from breathline.schema import HOURLY, METRICS, RECORD_ID
+from breathline.sinks.tables import OWNER, append_batch, owned, stream_id, write_partitioned
 from breathline.streaming.run import Sink
 
 
@@ -38,6 +38,34 @@ def measurement_sink(
     return append_batch(path, ["processed_date"], ["city", "measurement_time"], on_count, name, owner)
 
 
+def metered(write: Sink, path: str) -> Sink:
+    """``write``, and a row of counts for the batch in the table at ``path``: its rows, those without a city (rejected),
+    without an index, of a city that the dimension does not list, and the span of its times. They are observed while
+    the batch is written, not counted again; a repeated batch replaces its row, and an empty one has its row too."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation(f"metrics_{batch_id}")
+        city, time = F.col("city"), F.col("measurement_time")
+        counts = {
+            "rows": F.count("*"), "without_city": F.count_if(city.isNull()), "without_index": F.count_if(F.col("aqi").isNull()),
+            "unlisted": F.count_if(city.isNotNull() & F.col("city_name").isNull()),
+            # As numbers, which reach the driver and return without a time zone in between.
+            "first_time": F.unix_micros(F.min(time)), "last_time": F.unix_micros(F.max(time)),
+        }
+        # Spark may leave an empty batch's observation out with its plan.
+        empty = batch.isEmpty()
+        write(batch.observe(seen, *[made.alias(name) for name, made in counts.items()]), batch_id)
+        said = {name: None if name.endswith("time") else 0 for name in counts} if empty else seen.get
+        found = {name: F.lit(said[name]).cast("bigint") for name in counts}
+        found.update({name: F.timestamp_micros(found[name]) for name in ("first_time", "last_time")})
+        row = batch.sparkSession.range(1).select(*[found[name].alias(name) for name in METRICS.names if name in found])
+        write_partitioned(
+            owned(row, batch_id, stream_id(batch)), path, OWNER, [], mode="overwrite", dynamic=True, cluster=False
+        )
+
+    return sink
+
+
 def archive_sink(path: str, fmt: str = "json") -> Sink:
     """A batch writes its own folders, so running it again after a failure leaves no second copy. Rows are
     gathered by city and date first: a backlog holds many dates, and every task would open a file for each."""

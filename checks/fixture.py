@@ -66,6 +66,30 @@ def messages_some_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish(readings(spark, sf_dir), value=sent).select(*RECORD.names)
 
 
+def messages_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with a fault of its own kind in five of every eight messages."""
+    text, number = envelope(), F.col("offset") % 8
+    payload = F.get_json_object(text, "$.payload")
+    sent = (
+        F.when(number == 0, F.substring(text, F.lit(1), F.length(text).cast("int") / 2))
+        .when(number == 1, F.concat(F.lit("["), text, F.lit("]")))
+        .when(number == 2, F.concat(F.lit('{"payload":'), payload, F.lit("}")))
+        .when(number == 3, F.concat(F.lit('{"city":"'), F.col("city"), F.lit('","payload":"Unknown station"}')))
+        .when(number == 4, F.replace(F.replace(text, F.lit('"idx":'), F.lit('"idx":"-","was":')), F.lit('"geo":['), F.lit('"geo":0,"at":[')))
+        .otherwise(text)
+    )
+    return publish(readings(spark, sf_dir), value=sent).select(*RECORD.names)
+
+
+def dimension_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension from the year's second day on, and with bounds of the cities' own from a later day, which differs by
+    city."""
+    bounded, days = dimension_own_bounds(spark, sf_dir), (F.col("population") / 1000).cast("int")
+    return dimension(spark, sf_dir).withColumn("valid_from", F.lit("2024-01-02").cast("timestamp")).unionByName(
+        bounded.withColumn("valid_from", F.date_add(F.lit("2024-01-02").cast("date"), days).cast("timestamp"))
+    )
+
+
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings as the measurement table holds them, without the JSON round trip."""
     return readings(spark, sf_dir).withColumn("measurement_time", local_time(F.col("timestamp")))

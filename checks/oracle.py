@@ -334,7 +334,7 @@ ORACLE: dict[str, str] = {
 ORACLE["stream_alerts"] = ORACLE["alerts"]
 
 # Hours that are known and the 24 after each city's last one, with means that lie a day back.
-ORACLE["forecast_features"] = _over(_MEASUREMENTS, _HOURLY) + """
+_FEATURES = """
     , wanted AS (
         SELECT city, hour_start, aqi_avg, true AS known FROM hourly
         UNION ALL
@@ -349,10 +349,158 @@ ORACLE["forecast_features"] = _over(_MEASUREMENTS, _HOURLY) + """
         FROM wanted WINDOW by_hour AS (PARTITION BY city ORDER BY hour_start)
     ), meant AS (
         SELECT *, coalesce(recent, past, CASE WHEN NOT known THEN whole END) AS mean_before FROM looked
+    ), features AS (
+        SELECT city, hour_start, aqi_avg, known, coalesce(yesterday, mean_before) AS same_hour_yesterday,
+               mean_before AS day_mean, sin(hour(hour_start) * 2 * pi() / 24) AS hour_sin,
+               cos(hour(hour_start) * 2 * pi() / 24) AS hour_cos
+        FROM meant WHERE mean_before IS NOT NULL OR NOT known
+    ), learnt AS (
+        SELECT *, CAST(hour_start AS DATE) AS origin FROM features WHERE known AND aqi_avg IS NOT NULL
+    )"""
+
+ORACLE["forecast_features"] = _over(_MEASUREMENTS, _HOURLY) + _FEATURES + f"""
+    SELECT city, hour_start, known, {_rounded("aqi_avg", "same_hour_yesterday", "day_mean", "hour_sin", "hour_cos")} FROM features"""
+
+# Least squares by the normal equations: the sums, then one column eliminated after the other.
+_TERMS = ["1.0::DOUBLE", "same_hour_yesterday", "day_mean", "hour_sin", "hour_cos", "aqi_avg"]
+_EXPECTED = " + ".join(f"w{i} * {term}" for i, term in enumerate(_TERMS[:-1]))
+
+
+def _least_squares(sums: str, key: str) -> str:
+    """``fitted``: key and weights w0 to w4, from a table of the sums s<row>_<column>."""
+    parts, size = [], len(_TERMS) - 1
+    cells = ", ".join(f"s{min(i, j)}_{max(i, j)} AS a{i}_{j}" for i in range(size) for j in range(size + 1))
+    parts.append(f", step0 AS (SELECT {key}, {cells} FROM {sums})")
+    for k in range(size):
+        cells = ", ".join(
+            (f"a{k}_{j} / a{k}_{k}" if i == k else f"a{i}_{j} - a{i}_{k} * (a{k}_{j} / a{k}_{k})") + f" AS a{i}_{j}"
+            for i in range(size) for j in range(k + 1, size + 1)
+        )
+        parts.append(f", step{k + 1} AS (SELECT {key}, {cells} FROM step{k})")
+    weights = ", ".join(f"a{i}_{size} AS w{i}" for i in range(size))
+    return "\n".join([*parts, f", fitted AS (SELECT {key}, {weights} FROM step{size})"])
+
+
+_SUMS = ", ".join(
+    f"sum({_TERMS[i]} * {_TERMS[j]}) AS s{i}_{j}" for i in range(len(_TERMS) - 1) for j in range(i, len(_TERMS))
+)
+_RUNNING = ", ".join(
+    f"sum(s{i}_{j}) OVER before AS s{i}_{j}" for i in range(len(_TERMS) - 1) for j in range(i, len(_TERMS))
+)
+
+_FITTED = _over(_MEASUREMENTS, _HOURLY) + _FEATURES + f", sums AS (SELECT 0 AS one, {_SUMS} FROM learnt)" + _least_squares("sums", "one")
+
+ORACLE["aqi_forecast"] = _FITTED + f"""
+    , rmse AS (SELECT sqrt(avg(pow(aqi_avg - ({_EXPECTED}), 2))) AS error FROM learnt, fitted)
+    SELECT city, hour_start, round({_EXPECTED}, 3) AS aqi_expected, round(({_EXPECTED}) - 1.96 * error, 3) AS aqi_low,
+           round(({_EXPECTED}) + 1.96 * error, 3) AS aqi_high
+    FROM features, fitted, rmse WHERE NOT known"""
+
+ORACLE["forecast_importance"] = _FITTED + """
+    SELECT unnest(['same_hour_yesterday', 'day_mean', 'hour_sin', 'hour_cos', 'intercept']) AS feature,
+           round(unnest([w1, w2, w3, w4, w0]) + 1e-10, 6) AS weight
+    FROM fitted"""
+
+# Every hour from the 8th on, forecast from what was known at its midnight.
+_ERRORS = (
+    _over(_MEASUREMENTS, _HOURLY) + _FEATURES + f"""
+    , daily_sums AS (SELECT origin, {_SUMS} FROM learnt GROUP BY origin)
+    , sums AS (
+        SELECT origin, {_RUNNING} FROM daily_sums
+        WINDOW before AS (ORDER BY origin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        QUALIFY origin >= DATE '2024-01-08'
+    )""" + _least_squares("sums", "origin") + f"""
+    , errors AS (
+        SELECT origin, CAST(hour(hour_start) + 1 AS INTEGER) AS horizon, abs(aqi_avg - ({_EXPECTED})) AS error
+        FROM learnt JOIN fitted USING (origin)
+    )"""
+)
+
+
+def _bands(errors: str) -> str:
+    return f"""
+    , ordered AS (
+        SELECT horizon, ceil(error * 1000) / 1000 AS width, row_number() OVER (PARTITION BY horizon ORDER BY error) AS place,
+               count(*) OVER (PARTITION BY horizon) AS calibrated
+        FROM {errors}
+    ), bands AS (
+        SELECT horizon, calibrated, min(width) FILTER (place >= ((calibrated + 1) * 95 + 99) // 100) AS band
+        FROM ordered GROUP BY ALL
+    )"""
+
+
+ORACLE["forecast_backtest"] = _ERRORS + _bands("(FROM errors WHERE origin < DATE '2024-01-20')") + """
+    SELECT horizon, calibrated, round(band, 3) AS band, count(*) AS tested,
+           count(*) FILTER (band IS NULL OR error <= band) AS covered, round(avg(error), 3) AS mean_error
+    FROM errors JOIN bands USING (horizon) WHERE origin >= DATE '2024-01-20' GROUP BY ALL"""
+
+ORACLE["forecast_banded"] = _ERRORS + _bands("errors") + f"""
+    , whole AS (SELECT 0 AS one, {_SUMS} FROM learnt)""" + _least_squares("whole", "one").replace("step", "round").replace("fitted", "final") + f"""
+    , coming AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY city ORDER BY hour_start) AS INTEGER) AS horizon
+        FROM features, final WHERE NOT known
+    )
+    SELECT city, hour_start, horizon, round({_EXPECTED}, 3) AS aqi_expected, round(({_EXPECTED}) - band, 3) AS aqi_low,
+           round(({_EXPECTED}) + band, 3) AS aqi_high
+    FROM coming LEFT JOIN bands USING (horizon)"""
+
+ORACLE["stream_replay"] = _ONCE
+
+ORACLE["stream_metrics"] = _over(_MEASUREMENTS, _DIMENSION) + """
+    SELECT "offset" % 3 AS batch_id, count(*) AS rows, count(*) FILTER (broken) AS without_city,
+           count(*) FILTER (broken OR aqi IS NULL) AS without_index,
+           count(*) FILTER (NOT broken AND city_name IS NULL) AS unlisted,
+           min(measurement_time) AS first_time, max(measurement_time) AS last_time
+    FROM (SELECT *, dominant_pollutant = 'error' AS broken FROM measurements LEFT JOIN dimension USING (city)) GROUP BY ALL"""
+
+ORACLE["quarantine_reasons"] = _over(_MEASUREMENTS) + """
+    SELECT "offset", CASE WHEN "offset" % 8 > 2 THEN city END AS city,
+           CASE "offset" % 8 WHEN 0 THEN 'not_json' WHEN 1 THEN 'not_object' WHEN 2 THEN 'no_city' WHEN 3 THEN 'no_payload'
+                WHEN 4 THEN 'bad_field' END AS reason,
+           CASE WHEN "offset" % 8 = 4 THEN 'idx,city.geo' END AS bad_fields
+    FROM measurements"""
+
+# Fields that a message has, and their kinds. A missing number leaves its object behind, without a field.
+ORACLE["payload_fields"] = _over(_MEASUREMENTS) + """
+    , sent AS (
+        SELECT *, "offset" % 8 = 4 AS faulty, CASE WHEN "offset" % 8 <> 2 THEN city END AS named FROM measurements
+        WHERE "offset" % 8 IN (2, 4, 5, 6, 7)
+    ), found AS (
+        SELECT named, unnest([
+            CASE WHEN aqi IS NOT NULL THEN {'field': 'aqi', 'kind': 'number'} END,
+            {'field': 'idx', 'kind': CASE WHEN faulty THEN 'text' ELSE 'number' END},
+            CASE WHEN faulty THEN {'field': 'was', 'kind': 'number'} END,
+            {'field': 'dominentpol', 'kind': 'text'},
+            {'field': 'iaqi', 'kind': 'object'}, {'field': 'iaqi.pm25', 'kind': 'object'},
+            {'field': 'iaqi.pm10', 'kind': 'object'}, {'field': 'iaqi.t', 'kind': 'object'}, {'field': 'iaqi.h', 'kind': 'object'},
+            CASE WHEN pm25 IS NOT NULL THEN {'field': 'iaqi.pm25.v', 'kind': 'number'} END,
+            CASE WHEN pm10 IS NOT NULL THEN {'field': 'iaqi.pm10.v', 'kind': 'number'} END,
+            {'field': 'iaqi.t.v', 'kind': 'number'}, {'field': 'iaqi.h.v', 'kind': 'number'},
+            {'field': 'city', 'kind': 'object'}, {'field': 'city.name', 'kind': 'text'},
+            {'field': 'city.geo', 'kind': CASE WHEN faulty THEN 'number' ELSE 'array' END},
+            CASE WHEN faulty THEN {'field': 'city.at', 'kind': 'array'} END
+        ]) AS one
+        FROM sent
+    )
+    SELECT named AS city, one.field AS field, one.kind AS kind, count(*) AS messages FROM found WHERE one IS NOT NULL GROUP BY ALL"""
+
+# Bounds as of the reading's time: none before the 2nd, the common ones until the city's own day.
+ORACLE["enrich_as_of"] = _over(_MEASUREMENTS, _DIMENSION) + """
+    , placed AS (
+        SELECT "offset", city, aqi, measurement_time, city_name, region, CAST(population / 1000 AS INTEGER) AS step
+        FROM measurements LEFT JOIN dimension USING (city)
+    ), dated AS (
+        SELECT *, measurement_time >= TIMESTAMP '2024-01-02' AS there,
+               coalesce(CASE WHEN measurement_time >= TIMESTAMP '2024-01-02' + to_days(step) THEN step END, 0) AS moved
+        FROM placed
     )
-    SELECT city, hour_start, round(aqi_avg + 1e-10, 6) AS aqi_avg, known,
-           round(coalesce(yesterday, mean_before) + 1e-10, 6) AS same_hour_yesterday,
-           round(mean_before + 1e-10, 6) AS day_mean,
-           round(sin(hour(hour_start) * 2 * pi() / 24) + 1e-10, 6) AS hour_sin,
-           round(cos(hour(hour_start) * 2 * pi() / 24) + 1e-10, 6) AS hour_cos
-    FROM meant WHERE mean_before IS NOT NULL OR NOT known"""
+    SELECT "offset", city, CASE WHEN there THEN city_name END AS city_name,
+           CAST(CASE WHEN there AND city_name IS NOT NULL THEN 50 + moved END AS INTEGER) AS aqi_threshold_good,
+           CASE WHEN aqi IS NULL THEN 'Unknown'
+                WHEN aqi <= 50 + moved THEN 'Good'
+                WHEN aqi <= 100 + CASE WHEN region = 'ASIA' THEN 0 ELSE moved END THEN 'Moderate'
+                WHEN aqi <= 150 + moved THEN 'Unhealthy for Sensitive'
+                WHEN aqi <= 200 + moved THEN 'Unhealthy'
+                WHEN aqi <= 300 + moved THEN 'Very Unhealthy'
+                ELSE 'Hazardous' END AS health_status
+    FROM dated"""

@@ -11,7 +11,7 @@ from pyspark.sql.types import DoubleType, TimestampType
 
 from breathline import workspace
 from breathline.functions import clock, ladders, names
-from breathline.operators import archive, dedup, enrich, intervals, moments, parse, publish, replace, rollup
+from breathline.operators import archive, dedup, enrich, intervals, moments, parse, payload, publish, replace, rollup
 from breathline.plans import forecast, insights, jobs, sql
 from breathline.schema import DIMENSION, HOURLY, MEASUREMENT, RECORD, RECORD_ID
 from breathline.session import prepare
@@ -125,6 +125,18 @@ def quarantine(spark, sf_dir):
     return checked.select("offset", "city", "aqi", "pm25", parse.is_rejected().alias("rejected"))
 
 
+@register
+def quarantine_reasons(spark, sf_dir):
+    faulty = fixture.messages_faulty(spark, sf_dir)
+    return payload.reasons(faulty).select("offset", "city", "reason", "bad_fields")
+
+
+@register
+def payload_fields(spark, sf_dir):
+    """Every field of every message, found without the parser's schema."""
+    return payload.payload_fields(fixture.messages_faulty(spark, sf_dir))
+
+
 @register
 def local_time(spark, sf_dir):
     return fixture.readings(spark, sf_dir).select(
@@ -177,6 +189,16 @@ def health_by_city(spark, sf_dir):
     return located.select("offset", "city", ladders.health_status_by_city(F.col("aqi")).alias("health_status"))
 
 
+@register
+def enrich_as_of(spark, sf_dir):
+    """Cities' bounds change in the middle of the data, each city's on a day of its own."""
+    rows = fixture.measurements(spark, sf_dir).select("offset", "city", "aqi", "measurement_time")
+    located = enrich.enrich_as_of(rows, fixture.dimension_history(spark, sf_dir))
+    return located.select(
+        "offset", "city", "city_name", "aqi_threshold_good", ladders.health_status_by_city(F.col("aqi")).alias("health_status")
+    )
+
+
 @register
 def dedup_replay(spark, sf_dir):
     """All messages read twice, as by a stream that lost its checkpoint."""
@@ -434,6 +456,42 @@ def stream_alerts(spark, sf_dir):
     return spark.read.parquet(path).select("city", "first_hour", "last_hour", "hours", "aqi_max")
 
 
+@register
+def stream_replay(spark, sf_dir):
+    """Archived messages, some of them twice, then a live stream that holds all messages; the job stops in between and is
+    started again."""
+    path, stored, checkpoint = (workspace.scratch(spark, label) for label in ("measurements", "archive", "checkpoint"))
+    sent, dimension = fixture.messages(spark, sf_dir), fixture.dimension(spark, sf_dir)
+    for owner, part in (("one", F.floor(F.col("offset") / 700) % 3 != 1), ("two", F.col("offset") % 4 == 0)):
+        archive.write_archive(sent.where(part), stored, fmt="parquet", owner=owner)
+    landing = workspace.scratch(spark, "landing")
+
+    def drain():
+        jobs.run_replay_stream(
+            spark, stored, lambda _: files.stream_messages(spark, landing, max_files=2), dimension, path, checkpoint,
+            fmt="parquet", trigger=None,
+        ).awaitTermination()
+
+    for part in (0, 1):
+        landed(spark, sent.where(F.col("offset") % 2 == part), mode="append", path=landing)
+        drain()
+    return jobs.read_measurements(spark, path).select(*RECORD_ID, "city", "aqi", "pm25", "measurement_time")
+
+
+@register
+def stream_metrics(spark, sf_dir):
+    """Counts of three micro-batches, as they were observed while the batches were written."""
+    path, table, checkpoint, landing = (
+        workspace.scratch(spark, label) for label in ("measurements", "metrics", "checkpoint", "landing")
+    )
+    sent, dimension = fixture.messages_some_broken(spark, sf_dir), fixture.dimension(spark, sf_dir)
+    for part in range(LANDED_FILES):
+        landed(spark, sent.where(F.col("offset") % LANDED_FILES == part), mode="append", path=landing)
+        stream = files.stream_messages(spark, landing)
+        jobs.run_realtime(stream, dimension, path, checkpoint, trigger=None, metrics=table).awaitTermination()
+    return jobs.read_metrics(spark, table).drop("stream")
+
+
 # --- dashboards ----------------------------------------------------------------------------------------------
 
 @register
@@ -517,14 +575,36 @@ def forecast_features(spark, sf_dir):
     return forecast.features(rollup.hourly(fixture.measurements(spark, sf_dir)))
 
 
+# Origins of the backtest begin here, and from the second date on they test what the earlier ones calibrated.
+BACKTEST, TESTED = date(2024, 1, 8), date(2024, 1, 20)
+
+
+def _to_places(rows: DataFrame, places: int = 3) -> DataFrame:
+    """Doubles that depend on a fit, to fewer places: two ways of solving it differ beyond."""
+    doubles = [field.name for field in rows.schema.fields if isinstance(field.dataType, DoubleType)]
+    return rows.withColumns({name: F.round(name, places) for name in doubles})
+
+
 @register
 def aqi_forecast(spark, sf_dir):
-    """No SQL twin: the model is fitted by least squares over several features."""
     rows = _forecast_features(spark, sf_dir)
-    return forecast.forecast(rows, forecast.fit(rows))
+    return _to_places(forecast.forecast(rows, forecast.fit(rows)))
+
+
+@register
+def forecast_backtest(spark, sf_dir):
+    """Bands by horizon and what they cover of later hours."""
+    return _to_places(forecast.backtest(_forecast_features(spark, sf_dir), BACKTEST, TESTED))
+
+
+@register
+def forecast_banded(spark, sf_dir):
+    """The forecast with bands from all origins."""
+    rows = _forecast_features(spark, sf_dir)
+    bands = forecast.conformal_bands(forecast.backtest_errors(rows, BACKTEST))
+    return _to_places(forecast.forecast_banded(rows, forecast.fit(rows), bands))
 
 
 @register
 def forecast_importance(spark, sf_dir):
-    """No SQL twin, as above."""
     return forecast.importance(spark, forecast.fit(_forecast_features(spark, sf_dir)))

@@ -189,3 +189,50 @@ def test_forecast_covers_every_hour_of_a_short_history(spark):
     assert rows_of(made) == [("a", 24), ("new", 24)]
     coming = rows.where("city = 'new' and not known").orderBy("hour_start").collect()
     assert coming[0].day_mean == pytest.approx(54.5) and all(row.day_mean is not None for row in coming)
+
+
+def test_backtest_against_least_squares(spark):
+    """Weights per origin, the calibrated bands and what they cover, each by numpy on the collected features."""
+    rng = random.Random(11)
+    hours = hours_of(spark, [
+        (city, hour, int(90 + 40 * math.sin(hour / 24 * 2 * math.pi) + rng.uniform(-25, 25)))
+        for city in "abc" for hour in range(24 * 20) if rng.random() < 0.9
+    ])
+    rows = forecast.features(hours)
+    first, split = (START + timedelta(days=6)).date(), (START + timedelta(days=13)).date()
+    known = [row for row in rows.where("known and aqi_avg is not null").collect()]
+    errors = {}
+    for day in sorted({row.hour_start.date() for row in known}):
+        if day < first:
+            continue
+        seen = [row for row in known if row.hour_start.date() < day]
+        given = lambda row: [1.0, *[row[name] for name in forecast.FEATURES]]
+        weights, *_ = np.linalg.lstsq(np.array([given(row) for row in seen]), np.array([row.aqi_avg for row in seen]), rcond=None)
+        for row in known:
+            if row.hour_start.date() == day:
+                errors[row.city, row.hour_start] = abs(row.aqi_avg - float(np.dot(given(row), weights)))
+    got = forecast.backtest_errors(rows, first).collect()
+    assert {(row.city, row.hour_start) for row in got} == set(errors)
+    for row in got:
+        assert row.error == pytest.approx(errors[row.city, row.hour_start], abs=1e-6)
+        assert row.horizon == row.hour_start.hour + 1
+    found = {row.horizon: row for row in forecast.backtest(rows, first, split, percent=90).collect()}
+    assert sorted(found) == list(range(1, 25))
+    for horizon, row in found.items():
+        early = sorted(e for (_, t), e in errors.items() if t.hour + 1 == horizon and t.date() < split)
+        late = [e for (_, t), e in errors.items() if t.hour + 1 == horizon and t.date() >= split]
+        place = math.ceil((len(early) + 1) * 90 / 100)
+        assert (row.calibrated, row.tested) == (len(early), len(late))
+        if place > len(early):
+            assert row.band is None and row.covered == len(late)
+        else:
+            assert early[place - 1] <= row.band + 1e-9 < early[place - 1] + 0.0011
+            assert row.covered == sum(e <= row.band for e in late)
+    tested, covered = sum(row.tested for row in found.values()), sum(row.covered for row in found.values())
+    assert 0.85 < covered / tested < 0.95
+
+
+def test_a_singular_history_gives_no_weights(spark):
+    """One city at one value: the regressors say the same, so there is no model and no error."""
+    rows = forecast.features(hours_of(spark, [("a", hour, 0) for hour in range(24 * 5)]))
+    assert forecast.backtest_errors(rows, START.date()).count() == 0

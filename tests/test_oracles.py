@@ -15,9 +15,6 @@ from checks.registry import REGISTRY
 
 SF_DIR = "/root/testdata/sf0.001"
 
-# Queries for which plain SQL has no counterpart; test_insights checks them against least squares.
-WITHOUT_SQL = {"aqi_forecast", "forecast_importance"}
-
 
 @pytest.fixture(scope="module")
 def db():
@@ -25,7 +22,7 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert set(REGISTRY) == set(ORACLE) | WITHOUT_SQL
+    assert set(REGISTRY) == set(ORACLE)
     given, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     assert all(given[name] is REGISTRY[name] for name in REGISTRY) and ORACLE.items() <= sql.items()
     assert sql.keys() <= given.keys()
@@ -36,11 +33,6 @@ def test_query_equals_sql(spark, db, name):
     assert differences(REGISTRY[name](spark, SF_DIR), db, ORACLE[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
-def test_query_without_sql_gives_rows(spark, name):
-    assert REGISTRY[name](spark, SF_DIR).count() > 0
-
-
 def test_entry(spark, db):
     assert differences(__spark_entry__.entry(spark), db, ORACLE["hourly_rollup"]) == []
 
