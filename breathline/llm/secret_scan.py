@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from breathline.llm.base import kept
 
-# Documents that labelled findings are derived from, at most: twenty findings each.
+# Documents that labelled findings are derived from, at most: some twenty findings each.
 SAMPLE = 1000
 CUT = 0.5
 NEAR = 40
@@ -40,7 +40,7 @@ TEST_PATH = r"(?i)(test|spec|example|sample|fixture|mock|docs?/|readme)"
 
 FEATURES = ["length", "digits", "uppers", "lowers", "others", "transitions", "longest_letters", "variety", "entropy",
             "hex_only", "covered", "assigned", "known_form", "quoted", "keyword_before", "harmless_before",
-            "keyword_after", "test_path"]
+            "keyword_after", "harmless_after", "test_path"]
 
 
 def _share(value: Column, pattern: str) -> Column:
@@ -68,7 +68,8 @@ def features(findings: DataFrame) -> DataFrame:
         "quoted": F.col("before").rlike("[\"']$") | F.col("found").rlike("[=:][ ]?[\"']"),
         "keyword_before": F.concat("before", F.col("found").substr(1, 12)).rlike(KEYWORDS),
         "harmless_before": F.col("before").rlike(HARMLESS + r"[\"']?[ ]?[=:]?[ ]?[\"']?$"),
-        "keyword_after": F.col("after").rlike(r"^\W{0,3}" + KEYWORDS), "test_path": F.col("path").rlike(TEST_PATH),
+        "keyword_after": F.col("after").rlike(r"^\W{0,3}" + KEYWORDS),
+        "harmless_after": F.col("after").rlike(r"^\W{0,3}" + HARMLESS), "test_path": F.col("path").rlike(TEST_PATH),
     }
     return findings.withColumns({name: F.coalesce(column.cast("double"), F.lit(0.0)) for name, column in made.items()})
 
@@ -85,7 +86,7 @@ def _owner() -> Column:
 
 def findings(docs: DataFrame, path: str | None = "source") -> DataFrame:
     """Every candidate: doc_id, number (from 0 in its row), start (characters before it), found, before, after,
-    path, owner. The texts between candidates give the offsets, so each text is matched as a whole."""
+    path, owner. Each text is matched as a whole; lengths of the texts between candidates add up to the offsets."""
     where = F.coalesce(F.col(path).cast("string"), F.lit("")) if path and path in docs.columns else F.lit("")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), where.alias("path"),
@@ -94,25 +95,43 @@ def findings(docs: DataFrame, path: str | None = "source") -> DataFrame:
     pattern = F.lit(CANDIDATE)
     cut = rows.select("doc_id", "path", "owner", F.regexp_extract_all("text", pattern, F.lit(0)).alias("found"),
                       F.split("text", CANDIDATE, -1).alias("between"))
-    numbers = F.sequence(F.lit(0), F.size("found") - 1)
-    listed = F.transform(numbers, lambda i: F.struct(
-        i.alias("number"), F.col("found")[i].alias("found"),
-        (F.aggregate(F.slice("between", F.lit(1), i + 1), F.lit(0), lambda n, s: n + F.length(s))
-         + F.aggregate(F.slice("found", F.lit(1), i), F.lit(0), lambda n, s: n + F.length(s))).cast("long").alias("start"),
-        F.right(F.col("between")[i], F.lit(NEAR)).alias("before"), F.left(F.col("between")[i + 1], F.lit(NEAR)).alias("after"),
-    ))
-    return cut.select("doc_id", "path", "owner", F.explode_outer(listed).alias("one")).where("one is not null").select(
-        "doc_id", "one.number", "one.start", "one.found", "one.before", "one.after", "path", "owner"
+    count = F.size("found")
+
+    def further(so_far, i):
+        start = so_far["at"] + F.length(F.get("between", i))
+        return F.struct(
+            (start + F.length(F.get("found", i))).alias("at"), F.array_append(so_far["starts"], start).alias("starts")
+        )
+
+    none = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("starts"))
+    starts = F.aggregate(F.sequence(F.lit(0), count - 1), none, further, lambda so_far: so_far["starts"])
+    listed = cut.where(count > 0).select(
+        "doc_id", "path", "owner", "found", starts.alias("start"),
+        F.transform(F.slice("between", F.lit(1), count), lambda s: F.right(s, F.lit(NEAR))).alias("before"),
+        F.transform(F.slice("between", F.lit(2), count), lambda s: F.left(s, F.lit(NEAR))).alias("after"),
+    )
+    one = F.posexplode(F.arrays_zip("found", "start", "before", "after")).alias("number", "one")
+    return listed.select("doc_id", "path", "owner", one).select(
+        "doc_id", "number", "one.start", "one.found", "one.before", "one.after", "path", "owner"
     )
 
 
-def labelled_findings(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def labelled_findings(docs: DataFrame, sample: int = SAMPLE, path: str | None = "source") -> DataFrame:
     """Labelled findings derived from at most ``sample`` documents (chosen by a hash of doc_id): digests of a
-    document in the places where secrets stand are true findings; digests named as such, words, placeholders
-    and numbers are false ones. Columns: found, before, after, path, is_secret."""
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where(
-        F.col("doc_id").isNotNull()
-    ).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    document in the places where secrets stand are true findings; digests named as such, before or after them, words,
+    placeholders and numbers are false ones. Columns: found, before, after, path, is_secret.
+
+    True findings have the document's own path, those of known forms in a quarter of the documents a path of tests; false ones
+    have either. A password or key without a known form is false in a path of tests. Ids are chosen first, so that
+    no more texts than the sample's are moved; of rows with one id the least text counts; null texts are empty.
+    """
+    where = F.coalesce(F.col(path).cast("string"), F.lit("")) if path and path in docs.columns else F.lit("")
+    rows_of = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.struct(F.coalesce("text", F.lit("")).alias("text"), where.alias("own")).alias("one"),
+    ).where(F.col("doc_id").isNotNull())
+    ids = rows_of.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    chosen = rows_of.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("one").alias("one")).select("doc_id", "one.*")
     text, key = F.col("text"), F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.length("text").cast("string"))
     hexed, wide = F.sha1(key), F.base64(F.unhex(F.sha2(key, 256)))
     digits = F.rpad(F.abs(F.xxhash64(key)).cast("string"), 24, "7")
@@ -122,32 +141,40 @@ def labelled_findings(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     plain = F.regexp_replace(near, r"[=:]\s*$", " ")
     said = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
     doc = F.col("doc_id").cast("string")
-    rows = [  # found, before, after, whether it is a secret
-        (said('token = "', hexed), near, said('"', after), 1),
-        (said('TOKEN = "', F.upper(hexed)), F.upper(near), said('"', after), 1),
-        (said("password: ", wide.substr(1, 14)), near, after, 1),
-        (said("api_key=", wide.substr(1, 32)), near, after, 1),
-        (said("secret: ", F.md5(key)), near, after, 1),
-        (said("access-key='", wide.substr(1, 40)), near, said("'", after), 1),
-        (said("AKIA", F.upper(hexed.substr(1, 16))), near, after, 1),
-        (said("ghp_", F.regexp_replace(wide.substr(1, 36), "[+/=]", "q")), near, after, 1),
-        (wide, said(near, "Authorization: Bearer "), after, 1),
-        (hexed, said(near, 'token "'), after, 1),
-        (hexed, said(near, "commit "), after, 0),
-        (F.sha2(key, 256), said(near, "sha256: "), after, 0),
-        (F.md5(key), said(near, "checksum "), after, 0),
-        (said("token = ", "your_token_here_", doc), near, after, 0),
-        (said('password = "', "changeme", doc, "example"), near, said('"', after), 0),
-        (said("token: ", "xxxxxxxxxxxxxxxxxxxx"), near, after, 0),
-        (digits, plain, after, 0),
-        (said(words.substr(1, 24), "1"), plain, after, 0),
-        (said("item/", words.substr(1, 18), "/", doc, "/page"), plain, after, 0),
-        (said("secret: ", words.substr(1, 16)), near, after, 0),
+    own, tests = F.col("own"), F.concat(F.lit("tests/fixtures/"), F.col("own"))
+    some = F.pmod(F.xxhash64(key), F.lit(4))
+    either, mostly_own = F.when(some < 2, own).otherwise(tests), F.when(some > 0, own).otherwise(tests)
+    rows = [  # found, before, after, path, whether it is a secret
+        (said('token = "', hexed), near, said('"', after), own, 1),
+        (said('TOKEN = "', F.upper(hexed)), F.upper(near), said('"', after), own, 1),
+        (said("password: ", wide.substr(1, 14)), near, after, own, 1),
+        (said("api_key=", wide.substr(1, 32)), near, after, own, 1),
+        (said("secret: ", F.md5(key)), near, after, own, 1),
+        (said("access-key='", wide.substr(1, 40)), near, said("'", after), own, 1),
+        (said("AKIA", F.upper(hexed.substr(1, 16))), near, after, mostly_own, 1),
+        (said("ghp_", F.regexp_replace(wide.substr(1, 36), "[+/=]", "q")), near, after, mostly_own, 1),
+        (wide, said(near, "Authorization: Bearer "), after, mostly_own, 1),
+        (hexed, said(near, 'token "'), after, own, 1),
+        (hexed, said(plain, '"'), said('" api key', after), own, 1),
+        (hexed, said(plain, '"'), said('" checksum', after), either, 0),
+        (hexed, said(plain, "("), said(", sha1 of it", after), either, 0),
+        (hexed, said(near, "commit "), after, either, 0),
+        (F.sha2(key, 256), said(near, "sha256: "), after, either, 0),
+        (F.md5(key), said(near, "checksum "), after, either, 0),
+        (said("token = ", "your_token_here_", doc), near, after, either, 0),
+        (said('password = "', "changeme", doc, "example"), near, said('"', after), either, 0),
+        (said("token: ", "xxxxxxxxxxxxxxxxxxxx"), near, after, either, 0),
+        (digits, plain, after, either, 0),
+        (said(words.substr(1, 24), "1"), plain, after, either, 0),
+        (said("item/", words.substr(1, 18), "/", doc, "/page"), plain, after, either, 0),
+        (said("secret: ", words.substr(1, 16)), near, after, either, 0),
+        (said("password: ", wide.substr(1, 14)), near, after, tests, 0),
+        (said("api_key=", wide.substr(1, 32)), near, after, tests, 0),
     ]
     listed = F.array(*[
-        F.struct(found.alias("found"), before.alias("before"), next_.alias("after"), F.lit("").alias("path"),
+        F.struct(found.alias("found"), before.alias("before"), next_.alias("after"), place.alias("path"),
                  F.lit(float(label)).alias("is_secret"))
-        for found, before, next_, label in rows
+        for found, before, next_, place, label in rows
     ])
     return chosen.select(F.explode(listed).alias("one")).select("one.*")
 

@@ -96,3 +96,49 @@ def test_odd_documents(docs, no_docs, corpus):
     assert secret_scan.redact(no_docs, labelled).count() == 0
     assert secret_scan.redact(docs, labelled).count() == len(corpus)
     assert secret_scan.labelled_findings(no_docs).count() == 0
+
+
+def test_path_and_following_words_decide(planted):
+    """A password of no known form counts in a document's own path and not in a path of tests; a digest counts by the
+    words that follow it; a key of known form counts anywhere."""
+    docs, _ = planted
+    password, digest = "password: Zk4tQ9vBx2Lw7R", hashlib.sha1(b"x").hexdigest()
+    known = "ghp_" + hashlib.sha256(b"y").hexdigest()[:36]
+    cases = [
+        (password, "src0", 1), (password, "tests/fixtures/src0", 0), (known, "src0", 1), (known, "tests/fixtures/src0", 1),
+        (f'"{digest}" api key', "src0", 1), (f'"{digest}" checksum', "src0", 0),
+    ]
+    rows = [(n, f"{prose(n, 9)} {text} {prose(n + 50, 9)}", path) for n, (text, path, _) in enumerate(cases)]
+    asked = docs.sparkSession.createDataFrame(rows, "doc_id long, text string, source string")
+    labelled = secret_scan.labelled_findings(docs)
+    forest = secret_scan.train(labelled)
+    weight = dict(zip(secret_scan.FEATURES, forest.featureImportances.toArray()))
+    assert all(weight[name] > 0 for name in ("test_path", "keyword_after", "harmless_after"))
+    found = {r["doc_id"]: r["is_secret"] for r in secret_scan.scan_secrets(asked, labelled).collect()}
+    assert found == {n: wanted for n, (_, _, wanted) in enumerate(cases)}
+
+
+def test_held_out_findings(planted):
+    """Learnt from half of the documents, asked about the findings of the others."""
+    docs, _ = planted
+    learnt = secret_scan.labelled_findings(docs.where("doc_id % 2 = 0"))
+    held = secret_scan.labelled_findings(docs.where("doc_id % 2 = 1"))
+    rows = secret_scan._scored(held, learnt).select("is_secret", "score").collect()
+    hits = sum(r["score"] >= secret_scan.CUT and r["is_secret"] == 1 for r in rows)
+    assert hits / sum(r["is_secret"] for r in rows) >= 0.95
+    assert hits / sum(r["score"] >= secret_scan.CUT for r in rows) >= 0.95
+
+
+def test_many_candidates_of_one_text(planted):
+    """Offsets are running sums: eight thousand candidates, each where it stands."""
+    docs, _ = planted
+    text = " ".join(f"ünï token=abc{n:08d}" for n in range(8000))
+    rows = secret_scan.findings(docs.sparkSession.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert len(rows) == 8000 and all(text[r["start"]:].startswith(r["found"]) for r in rows)
+    assert [r["number"] for r in sorted(rows, key=lambda r: r["start"])] == list(range(8000))
+
+
+def test_repeated_ids_are_one_sample(planted):
+    docs, _ = planted
+    twice = docs.unionByName(docs.withColumn("text", F.concat("text", F.lit(" later"))))
+    assert secret_scan.labelled_findings(twice, sample=7).count() == secret_scan.labelled_findings(docs, sample=7).count()
