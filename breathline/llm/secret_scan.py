@@ -153,6 +153,8 @@ def labelled_findings(docs: DataFrame, sample: int = SAMPLE, path: str | None =
         (said("access-key='", wide.substr(1, 40)), near, said("'", after), own, 1),
         (said("AKIA", F.upper(hexed.substr(1, 16))), near, after, mostly_own, 1),
         (said("ghp_", F.regexp_replace(wide.substr(1, 36), "[+/=]", "q")), near, after, mostly_own, 1),
+        (said("ghp_", hexed.substr(1, 36)), near, after, mostly_own, 1),
+        (said("sk_live_", hexed.substr(1, 24)), plain, after, mostly_own, 1),
         (wide, said(near, "Authorization: Bearer "), after, mostly_own, 1),
         (hexed, said(near, 'token "'), after, own, 1),
         (hexed, said(plain, '"'), said('" api key', after), own, 1),
