@@ -28,6 +28,7 @@ HEADLINE = [
     "archive_bundle", "stream_enrich", "stream_hourly", "latest_by_city", "trend_24h", "weekday_pattern",
     "level_share", "region_rollup", "city_rank", "alerts", "weather_corr", "aqi_trend_fit", "aqi_forecast",
     "dedup_intervals", "moments_hourly", "compact_measurements", "stream_alerts",
+    "clustered_scan",
 ]
 
 # Queries that write tables run once, without a warm-up: each run leaves its files behind.
@@ -35,6 +36,7 @@ WRITING = [
     "upsert_hourly", "upsert_daily", "measurements_sink", "batch_jobs", "archive_rows", "archive_parquet",
     "archive_replay", "stream_enrich", "stream_archive", "stream_dedup", "stream_hourly", "aqi_forecast",
     "forecast_importance", "dedup_intervals", "held_intervals", "moments_hourly", "compact_measurements", "stream_alerts",
+    "clustered_rows", "clustered_scan",
 ]
 
 

@@ -8,6 +8,7 @@
     spark-submit ... breathline/__main__.py moments --servers host:9092 --table /data/moments --checkpoint /data/c/mo
     spark-submit ... breathline/__main__.py alerts --servers host:9092 --table /data/alerts --checkpoint /data/c/a
     spark-submit ... breathline/__main__.py compact --kind measurements --table /data/m --before 2024-05-01
+    spark-submit ... breathline/__main__.py cluster --source /data/m --table /data/m-by-city/2024-05 --since 2024-05-01 --before 2024-06-01
     spark-submit ... breathline/__main__.py replay --source /data/raw --dimension cities.json --table /data/m
     spark-submit ... breathline/__main__.py replay-stream --source /data/raw --servers host:9092 --dimension cities.json --table /data/m --checkpoint /data/c/m
 """
@@ -59,6 +60,11 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     compact.add_argument("--kind", choices=["measurements", "moments", "archive"], required=True)
     compact.add_argument("--table", required=True)
     compact.add_argument("--before", type=date.fromisoformat, required=True, help="dates before this are compacted")
+    cluster = commands.add_parser("cluster")
+    cluster.add_argument("--source", required=True)
+    cluster.add_argument("--table", required=True)
+    cluster.add_argument("--since", type=date.fromisoformat, help="first processing date")
+    cluster.add_argument("--before", type=date.fromisoformat, help="dates before this are clustered")
     for name in ("hourly", "daily", "replay"):
         batch = commands.add_parser(name)
         batch.add_argument("--source", required=True)
@@ -145,6 +151,8 @@ def start(spark: SparkSession, chosen: argparse.Namespace) -> None:
         else:
             made = {"measurements": jobs.compact_measurements, "moments": jobs.compact_moments}
             made[chosen.kind](spark, chosen.table, chosen.before)
+    elif chosen.job == "cluster":
+        jobs.cluster_measurements(spark, chosen.source, chosen.table, chosen.since, chosen.before)
     elif chosen.job == "hourly":
         jobs.run_hourly(
             spark, chosen.source, chosen.table, chosen.since, chosen.drop_copies, chosen.offset_hours, chosen.name

@@ -23,7 +23,8 @@ from breathline.operators.replace import replace_by_key
 from breathline.operators.rollup import DAILY_KEYS, HOURLY_KEYS, daily, hourly
 from breathline.schema import ARCHIVE_STORED, HOURLY, METRICS, RECORD_ID, STORED
 from breathline.session import prepare
-from breathline.sinks.compaction import TARGET_BYTES, compact
+from breathline.sinks.clustering import files_for, read_clustered, write_clustered
+from breathline.sinks.compaction import TARGET_BYTES, compact, owner_folders
 from breathline.sinks.tables import ensure_table
 from breathline.sources.files import replay_archive, stream_archive
 from breathline.streaming import run
@@ -32,6 +33,9 @@ from breathline.streaming.flows import (
 )
 from breathline.streaming.handover import ARCHIVE_PHASE, LIVE_PHASE, held_intervals, once_sink, starting_offsets
 
+# Keys of the clustered measurement table.
+CLUSTERED_BY = ["city", "measurement_time"]
+
 
 def run_realtime(
     records: DataFrame, dimension: DataFrame, path: str, checkpoint: str, trigger: str | None = run.REALTIME_TRIGGER,
@@ -139,6 +143,36 @@ def compact_archive(
     )
 
 
+def cluster_measurements(
+    spark: SparkSession, source: str, path: str, since: date | None = None, before: date | None = None,
+    target_bytes: int = TARGET_BYTES,
+) -> int:
+    """Measurements of the processing dates from ``since`` to before ``before`` (a closed month, say) as a table laid out by
+    city and time, for scans of few cities over some time. Returns the number of files asked for."""
+    rows = read_measurements(prepare(spark), source)
+    chosen: Callable[[str], bool] = lambda folder: True
+    if since is not None:
+        rows = rows.where(F.col("processed_date") >= F.lit(since))
+    if before is not None:
+        rows = rows.where(F.col("processed_date") < F.lit(before))
+    if since is not None or before is not None:
+        first, end = (since or date.min).isoformat(), (before or date.max).isoformat()
+        chosen = lambda folder: first <= folder.rsplit("=", 1)[1] < end
+    listed = owner_folders(spark, source, ["processed_date"])
+    size = sum(size for name, owners in listed.items() if chosen(name) for sizes in owners.values() for size in sizes)
+    files = files_for(size, target_bytes)
+    write_clustered(rows, path, CLUSTERED_BY, files)
+    return files
+
+
+def scan_measurements(
+    spark: SparkSession, path: str, cities: tuple[str | None, str | None] = (None, None),
+    times: tuple[datetime | None, datetime | None] = (None, None),
+) -> DataFrame:
+    """Rows of a clustered table by a range of cities and of times, ends included."""
+    return read_clustered(spark, path, STORED, {"city": cities, "measurement_time": times})
+
+
 def run_replay(
     spark: SparkSession, archive_path: str, dimension: DataFrame, path: str, fmt: str = "json",
     where: Column | None = None, offset_hours: int = LOCAL_OFFSET_HOURS, event_time: str = "broker",

@@ -244,6 +244,10 @@ ORACLE: dict[str, str] = {
     ),
     "stream_enrich": _ENRICHED.format(extra=""),
     "compact_measurements": _ENRICHED.format(extra=""),
+    "clustered_rows": _ENRICHED.format(extra=""),
+    "clustered_scan": _over(_MEASUREMENTS) + f"""SELECT {_READING} FROM measurements
+        WHERE city BETWEEN 'nation_12' AND 'nation_14'
+          AND measurement_time BETWEEN TIMESTAMP '2024-01-09 12:00:00' AND TIMESTAMP '2024-01-14 06:30:00'""",
     "archive_rows": _over(_MEASUREMENTS) + """
         SELECT city, CAST(year(kafka_time) AS INTEGER) AS year, CAST(month(kafka_time) AS INTEGER) AS month,
                CAST(day(kafka_time) AS INTEGER) AS day, topic, "offset" AS kafka_offset,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -29,6 +29,11 @@ EARLIER_RUN = "2024-01-16 05:30:00"
 # Dates before this are closed when the moments are compacted.
 CLOSED = date(2024, 1, 20)
 
+# Size of a clustered table's files, small enough that the test tables have several; and what is scanned of it.
+CLUSTERED_BYTES = 1 << 17
+SCANNED_CITIES = ("nation_12", "nation_14")
+SCANNED_TIMES = (datetime(2024, 1, 9, 12), datetime(2024, 1, 14, 6, 30))
+
 
 def comparable(df: DataFrame) -> DataFrame:
     """Doubles to six places and times without a zone, as the SQL side gives them. A mean of short decimals
@@ -438,6 +443,29 @@ def compact_measurements(spark, sf_dir):
     return jobs.read_measurements(spark, path).select("offset", *shown, *DIMENSION.names[1:])
 
 
+def clustered(spark: SparkSession, sf_dir: str) -> str:
+    """The realtime job's table, laid out by city and time."""
+    source, path = workspace.scratch(spark, "measurements"), workspace.scratch(spark, "clustered")
+    rows = flows.realtime(fixture.messages(spark, sf_dir), fixture.dimension(spark, sf_dir))
+    flows.measurement_sink(source, owner="checks")(rows, 0)
+    jobs.cluster_measurements(spark, source, path, target_bytes=CLUSTERED_BYTES)
+    return path
+
+
+@register
+def clustered_rows(spark, sf_dir):
+    """Every row of the clustered table."""
+    shown = [name for name in MEASUREMENT.names if name != "processed_time"] + ["health_status", "pollution_level"]
+    return jobs.scan_measurements(spark, clustered(spark, sf_dir)).select("offset", *shown, *DIMENSION.names[1:])
+
+
+@register
+def clustered_scan(spark, sf_dir):
+    """Some cities over some days, from the files whose zones meet both."""
+    found = jobs.scan_measurements(spark, clustered(spark, sf_dir), SCANNED_CITIES, SCANNED_TIMES)
+    return found.select("offset", *[name for name in MEASUREMENT.names if name != "processed_time"])
+
+
 @register
 def stream_alerts(spark, sf_dir):
     """Runs of alert hours by micro-batches that hold readings of all times. A last reading, far later, ends them."""
