@@ -1,9 +1,11 @@
 """Exact n-gram Jaccard join by PartEnum signatures.
 
 Sets are put into bands of nearly equal size. Within a band, sets similar enough differ in at most ``h``
-elements; the domain of hashed shingles is divided into more than ``h`` parts, so two such sets agree on a part
-that is not empty, and a part's content (with band and part number) is a signature of the set. A set signs
-for its own band and for the next, as its partner may be a band larger.
+elements. The domain of hashed shingles is divided into parts, so many that two such sets differ in at most ``SPREAD``
+elements on one of them; each part is divided again into ``PIECES`` pieces, and every subset that leaves out
+``SPREAD`` of its pieces is enumerated. One of these holds no element in which the two sets differ, and is not empty.
+What a set holds of a subset (with band, part and subset) is a signature of the set. A set signs for its own band
+and for the next, as its partner may be a band larger.
 
 Sets that share a signature are candidates; equal sets are one representative. A signature of few sets gives all
 their pairs. A signature of many gives pairs with two of them, its leaders, as links are wanted as components; then
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,10 @@ BLOCK_ELEMENTS = 500_000
 # Sets of a signature whose pairs are all compared, and words of 64 parity bits.
 FEW = 8
 PARITY = 16
+# Differences that a part is let have, and pieces that it is divided into.
+SPREAD = 1
+PIECES = 3
+SUBSETS = [list(left_out) for left_out in combinations(range(PIECES), SPREAD)]
 # A pair of blocks of one family.
 KEYS = ["family", "i", "j", "inner"]
 
@@ -43,6 +50,7 @@ ORDERS = 8
 
 MIX = [np.uint64(n) for n in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 SHIFT = np.uint64(32)
+LOW = np.uint64((1 << 32) - 1)
 
 
 def mixed(values: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -95,35 +103,45 @@ class Bands:
         self._grow(size)
         return int(np.searchsorted(self.tops, size))
 
-    def parts(self, band: int) -> tuple[int, int]:
-        """The parts needed, one more than two linked sets of the band (or one of it, one of the band below) can
-        differ in; and the parts made, with some to spare, so that they agree on one that is not empty."""
+    def differing(self, band: int) -> int:
+        """Elements that two linked sets of the band (or one of it, one of the band below) can differ in."""
         while len(self.tops) <= band:
             self._grow(self.tops[-1] + 1)
+        return 2 * self.tops[band] * (self.of - self.shared) // (self.of + self.shared)
+
+    def parts(self, band: int) -> tuple[int, int]:
+        """The parts made, and how many of them at least have no more than ``SPREAD`` of two linked sets' differences.
+        Some are to spare, so that one of these has no empty subset."""
+        beyond = self.differing(band) // (SPREAD + 1)
         top = self.tops[band]
-        differing = 2 * top * (self.of - self.shared) // (self.of + self.shared)
-        if not differing:
-            return 1, 1
-        # A part holds at least this many elements on average, and so is empty in about exp(-load) of all cases.
-        load = (self.shared / self.of) ** 2 * (self.of + self.shared) / (2 * (self.of - self.shared))
-        return differing + 1, differing + 2 + math.ceil(2 * math.exp(-load) * differing)
+        # A subset holds at least this many elements on average, and so is empty in about exp(-load) of all cases.
+        load = (self.shared / self.of) ** 2 * top / (beyond + 1) * (PIECES - SPREAD) / PIECES
+        spare = math.ceil(2 * min(1, len(SUBSETS) * math.exp(-load)) * beyond)
+        return beyond + 1 + spare, 1 + spare
 
     def signatures(self, elements: np.ndarray) -> np.ndarray:
         if not len(elements):
             return np.empty(0, dtype=np.int64)
         own = self.of_size(len(elements))
+        place, value = mixed(elements, 5), mixed(elements, 6)
+        place, piece = (place >> SHIFT).astype(np.int64), (place & LOW).astype(np.int64) % PIECES
         made = []
         for band in (own, own + 1):
-            needed, parts = self.parts(band)
-            part = (mixed(elements, 5) >> SHIFT).astype(np.int64) % parts
-            content = np.zeros(parts, dtype=np.uint64)
-            np.add.at(content, part, mixed(elements, 6))
-            filled = np.bincount(part, minlength=parts) > 0
-            empty = parts - int(filled.sum())
-            # At least parts - (needed - 1) parts agree; with fewer empty ones, one that agrees is filled.
-            chosen = np.flatnonzero(filled) if empty < parts - (needed - 1) else np.arange(parts)
-            sign = mixed(content[chosen] ^ mixed(chosen.astype(np.uint64) + np.uint64(band << 32), 7), 8)
-            made.append(sign)
+            if not self.differing(band):  # equal sets only
+                made.append(mixed(np.array([value.sum()]) ^ mixed(np.array([band << 32], dtype=np.uint64), 7), 8))
+                continue
+            parts, good = self.parts(band)
+            at = place % parts * PIECES + piece
+            content = np.zeros(parts * PIECES, dtype=np.uint64)
+            np.add.at(content, at, value)
+            content = content.reshape(parts, PIECES)
+            filled = np.bincount(at, minlength=parts * PIECES).reshape(parts, PIECES)
+            held = np.stack([content.sum(axis=1) - content[:, out].sum(axis=1) for out in SUBSETS], axis=1)
+            empty = np.stack([filled.sum(axis=1) == filled[:, out].sum(axis=1) for out in SUBSETS], axis=1)
+            number = np.arange(held.size, dtype=np.uint64).reshape(held.shape)
+            sign = mixed(held ^ mixed(number + np.uint64(band << 32), 7), 8)
+            # Fewer parts with an empty subset than good ones: some good part has none, and its subset is shared.
+            made.append(sign[~empty] if empty.any(axis=1).sum() < good else sign.ravel())
         return np.unique(np.concatenate(made)).view(np.int64)
 
 

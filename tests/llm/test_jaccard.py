@@ -99,6 +99,53 @@ def test_linked_sets_share_a_signature():
                 assert np.intersect1d(bands.signatures(one), bands.signatures(two)).size
 
 
+def test_subsets_outlive_a_difference_in_every_piece_but_two():
+    """A set and its copy with one element changed share a signature of every part; every subset of pieces signs once."""
+    import numpy as np
+
+    chosen = np.random.default_rng(11)
+    bands = jaccard.Bands(90, 100)
+    for size in (40, 200, 900):
+        one = np.unique(chosen.integers(0, 2**63, size=size, dtype=np.uint64))
+        own = bands.of_size(size)
+        made = [bands.parts(band)[0] for band in (own, own + 1)]
+        assert len(bands.signatures(one)) <= len(jaccard.SUBSETS) * sum(made)
+        for at in range(0, size, 7):
+            two = one.copy()
+            two[at] = chosen.integers(0, 2**63, dtype=np.uint64)
+            shared = np.intersect1d(bands.signatures(one), bands.signatures(np.unique(two)))
+            # Of the parts with the old and with the new element, one subset of pieces at least outlives each.
+            assert len(shared) >= len(bands.signatures(one)) - 4 * (len(jaccard.SUBSETS) - 1)
+
+
+@pytest.mark.parametrize("shared, of", [(90, 100), (8, 10), (5, 10)])
+def test_parts_are_enough(shared, of):
+    """However the differences of two linked sets lie, the good parts have no more than they may."""
+    bands = jaccard.Bands(shared, of)
+    for band in range(1, 60):
+        parts, good = bands.parts(band)
+        differing = bands.differing(band)
+        # To leave fewer good parts, all others would need one difference more than a good part may have.
+        assert good >= 1 and (parts - good + 1) * (jaccard.SPREAD + 1) > differing
+
+
+def test_linked_sets_share_a_signature_though_pieces_are_empty():
+    """Small sets, where subsets are often empty."""
+    import numpy as np
+
+    chosen = np.random.default_rng(12)
+    for shared, of in ((90, 100), (8, 10), (5, 10), (3, 10)):
+        bands = jaccard.Bands(shared, of)
+        for _ in range(1500):
+            size = int(chosen.integers(1, 40))
+            one = np.unique(chosen.integers(0, 2**63, size=size, dtype=np.uint64))
+            keep = max(1, len(one) * shared // of + int(chosen.integers(0, 2)))
+            two = np.unique(np.append(one[:keep], chosen.integers(0, 2**63, size=int(chosen.integers(0, 3)), dtype=np.uint64)))
+            common = len(np.intersect1d(one, two))
+            if of * common >= shared * (len(one) + len(two) - common):
+                assert np.intersect1d(bands.signatures(one), bands.signatures(two)).size
+
+
 def test_empty_table(no_docs):
     assert jaccard.jaccard_components(no_docs).count() == 0 and jaccard.drop_near_copies(no_docs).count() == 0
 
