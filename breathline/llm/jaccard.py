@@ -8,8 +8,8 @@ What a set holds of a subset (with band, part and subset) is a signature of the
 and for the next, as its partner may be a band larger.
 
 Sets that share a signature are candidates; equal sets are one representative. A signature of few sets gives all
-their pairs. A signature of many gives pairs with two of them, its leaders, as links are wanted as components; then
-its sets that still lie in different components are compared with each other: inside the signature if they are no
+their pairs. A signature of many names two of them its leaders, as links are wanted as components: a set gives pairs with
+the ``LEADERS`` that most of its signatures name, however many they name in a large group; then a signature's sets that still lie in different components are compared with each other: inside the signature if they are no
 more than a block, else in blocks of the sets that such signatures connect.
 Before sets are fetched and intersected, pairs are held against a lower bound of their difference: a set's parity
 bits, one flipped per element, differ in no more places than two sets differ in elements.
@@ -36,6 +36,8 @@ BLOCK_ELEMENTS = 500_000
 # Sets of a signature whose pairs are all compared, and words of 64 parity bits.
 FEW = 8
 PARITY = 16
+# Leaders that a set is compared with at most; what they do not join is compared within its signatures.
+LEADERS = 4
 # Differences that a part is let have, and pieces that it is divided into.
 SPREAD = 1
 PIECES = 3
@@ -44,7 +46,7 @@ SUBSETS = [list(left_out) for left_out in combinations(range(PIECES), SPREAD)]
 KEYS = ["family", "i", "j", "inner"]
 
 SHAPED = "doc_id long, n_shingles long, set_hash binary, parity array<long>"
-SIGNED = "rep long, set_hash binary, signatures array<long>"
+SIGNED = "rep long, signatures array<long>"
 # Orders in which the second leader of a signature is the first.
 ORDERS = 8
 
@@ -147,9 +149,9 @@ class Bands:
 
 def _shaping(width: int):
     def shape(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _sliced(batches, width):
+        for part, sets in _sliced(batches, width):
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(one) for one in sets], pa.int64()), _digests(sets),
+                [part.column(0), pa.array([len(one) for one in sets], pa.int64()), _digests(sets),
                  pa.array([parity(one) for one in sets], pa.list_(pa.int64()))],
                 names=["doc_id", "n_shingles", "set_hash", "parity"],
             )
@@ -158,20 +160,25 @@ def _shaping(width: int):
 
 
 def _signing(width: int, shared: int, of: int):
+    """Signatures of texts whose set is the one named beside them; a doc_id's other texts sign nothing."""
+
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(shared, of)
-        for ids, sets in _sliced(batches, width):
-            signs = pa.array([bands.signatures(one) for one in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, _digests(sets), signs], names=["rep", "set_hash", "signatures"])
+        for part, sets in _sliced(batches, width):
+            wanted = zip(sets, _digests(sets).to_pylist(), part.column(2).to_pylist())
+            signs = [bands.signatures(one) if found == asked else [] for one, found, asked in wanted]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(signs, pa.list_(pa.int64()))], names=["rep", "signatures"]
+            )
 
     return sign
 
 
-def _sliced(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+def _sliced(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in batches:
         for at in range(0, batch.num_rows, SLICE):
             part, hashes = batch.slice(at, SLICE), Hashes()
-            yield part.column(0), [shingles(text, width, hashes) for text in part.column(1).to_pylist()]
+            yield part, [shingles(text, width, hashes) for text in part.column(1).to_pylist()]
 
 
 def _digests(sets: list[np.ndarray]) -> pa.Array:
@@ -180,9 +187,9 @@ def _digests(sets: list[np.ndarray]) -> pa.Array:
 
 def _listing(width: int):
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _sliced(batches, width):
+        for part, sets in _sliced(batches, width):
             elements = pa.array([one.view(np.int64) for one in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, elements], names=["rep", "elements"])
+            yield pa.RecordBatch.from_arrays([part.column(0), elements], names=["rep", "elements"])
 
     return each
 
@@ -203,10 +210,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, shared: int = 8, of: int
     of_class = filled.withColumnRenamed("doc_id", "rep").join(
         classes.hint("shuffle_hash"), ["set_hash", "rep"], "left_semi"
     )
-    # Signatures are made in a scan of their own: they are larger than all else that is kept.
+    # Signatures are made in a scan of their own: they are larger than all else that is kept, and than the texts, so that
+    # these meet the classes, and a signature is moved once.
+    of_rep = texts.join(classes.withColumnRenamed("rep", "doc_id").hint("shuffle_hash"), "doc_id")
     signed = (
-        texts.mapInArrow(_signing(width, shared, of), SIGNED)
-        .join(classes.hint("shuffle_hash"), ["set_hash", "rep"], "left_semi")
+        of_rep.select("doc_id", "text", "set_hash").mapInArrow(_signing(width, shared, of), SIGNED)
         .select(F.explode("signatures").alias("signature"), "rep").repartition("signature")
     )
     groups = (
@@ -266,8 +274,12 @@ def _few_pairs(sharing: DataFrame) -> DataFrame:
 
 
 def _leader_pairs(sharing: DataFrame) -> DataFrame:
-    leaders = sharing.select("rep", F.explode(F.array("first", "other")).alias("leader")).where("rep <> leader")
-    return leaders.select(*_pair(F.col("rep"), F.col("leader")))
+    """A set and the leaders that most of its signatures name, at most ``LEADERS`` of them: a bounded number per set."""
+    named = sharing.select("rep", F.explode(F.array("first", "other")).alias("leader")).where("rep <> leader")
+    votes = named.groupBy("rep", "leader").agg(F.count("*").alias("votes"))
+    ordered = F.sort_array(F.collect_list(F.struct("votes", "leader")), asc=False)
+    top = votes.groupBy("rep").agg(F.slice(ordered, 1, LEADERS).alias("top"))
+    return top.select("rep", F.explode("top.leader").alias("leader")).select(*_pair(F.col("rep"), F.col("leader")))
 
 
 def _bounded(pairs: DataFrame, of_class: DataFrame, shared: int, of: int) -> DataFrame:

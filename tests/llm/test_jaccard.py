@@ -161,3 +161,22 @@ def test_components_of_links(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 50), (100, 200), (7, 7), (300, 301), (301, 300)]
     found = {row["node"]: row["component"] for row in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {**{i: 0 for i in range(1, 41)}, 100: 50, 200: 50, 301: 300}
+
+
+def test_few_leaders_to_a_set(spark):
+    """A set whose signatures name many leaders is compared with those most of them name."""
+    rows = [(sign, 1000 + rep, sign % 40, 500 + sign % 50) for sign in range(200) for rep in range(6)]
+    rows += [(sign, 1000, 7, 507) for sign in range(200, 230)]
+    sharing = spark.createDataFrame(rows, "signature long, rep long, first long, other long")
+    pairs = [tuple(row) for row in jaccard._leader_pairs(sharing).collect()]
+    assert len(pairs) == len(set(pairs)) == 6 * jaccard.LEADERS
+    assert {(7, 1000), (507, 1000)} <= set(pairs)
+
+
+def test_texts_that_share_a_doc_id_sign_for_their_own_class(spark):
+    """A doc_id with two texts stands for the class of each; neither signs for the other."""
+    one, two = prose(1, 60), prose(2, 60)
+    rows = [(5, one), (5, two), (6, one + " more"), (7, two + " more"), (8, one), (9, prose(3, 60))]
+    made = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {(row.doc_id, row.component_id) for row in jaccard.jaccard_components(made, 3, 8, 10).collect()}
+    assert found == {(5, 5), (6, 5), (7, 5), (8, 5), (9, 9)}
