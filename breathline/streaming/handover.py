@@ -57,17 +57,21 @@ def once_sink(write: Sink, held: str, phase: str) -> Sink:
         spark, own = batch.sparkSession, f"{phase}-{batch_id:012d}"
         earlier = [name for name in _states(spark, held) if name < own]
         before = spark.read.parquet(f"{held}/{earlier[-1]}") if earlier else None
-        fresh = batch if before is None else not_within(batch, before)
-        if fresh.isEmpty():
-            return
-        seen = Observation(own)
-        identified = reduce(and_, [F.col(name).isNotNull() for name in RECORD_ID])
-        brought = offset_intervals(fresh.observe(seen, F.count_if(identified).alias("rows")))
-        after = brought if before is None else merge_intervals(before, brought)
-        after.coalesce(1).write.mode("overwrite").parquet(f"{held}/{own}")
-        # As many ids as rows that have one: no copies.
-        added = _messages(spark.read.parquet(f"{held}/{own}")) - _messages(before)
-        write(fresh if added == seen.get["rows"] else drop_replays(fresh), batch_id)
+        # Parsed and compared once, for the state and for the table.
+        fresh = (batch if before is None else not_within(batch, before)).persist()
+        try:
+            if fresh.isEmpty():
+                return
+            seen = Observation(own)
+            identified = reduce(and_, [F.col(name).isNotNull() for name in RECORD_ID])
+            brought = offset_intervals(fresh.observe(seen, F.count_if(identified).alias("rows")))
+            after = brought if before is None else merge_intervals(before, brought)
+            after.write.mode("overwrite").parquet(f"{held}/{own}")
+            # As many ids as rows that have one: no copies.
+            added = _messages(spark.read.parquet(f"{held}/{own}")) - _messages(before)
+            write(fresh if added == seen.get["rows"] else drop_replays(fresh), batch_id)
+        finally:
+            fresh.unpersist()
         for name in earlier[:-1]:
             workspace.remove(spark, f"{held}/{name}")
 

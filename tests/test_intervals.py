@@ -79,3 +79,32 @@ def test_replay_of_what_is_missing(spark, tmp_path, record):
     for _ in range(2):
         jobs.run_replay(spark, archive, dimension, table, only_missing=True)
         assert rows_of(jobs.read_measurements(spark, table), "offset", "aqi") == sorted(((n, n) for n in range(50)), key=str)
+
+
+def test_sparse_offsets_meet_few_to_a_block(spark):
+    """Every second offset of one topic partition, and longer stretches beyond: no block has many of them."""
+    far = 1 << 22
+    held = spark.range(0, 100_000).selectExpr("2 * id AS first", "2 * id AS last").unionAll(
+        spark.range(0, 500).selectExpr(f"{far} + 300 * id AS first", f"{far} + 300 * id + 200 AS last")
+    ).selectExpr("'t' AS topic", "0 AS partition", "first", "last")
+    filed = intervals._filed(held, intervals.BLOCK)
+    for _, pieces in filed:
+        most = pieces.groupBy("held_topic", "held_partition", "held_block").count().agg(F.max("count")).first()[0]
+        assert (most or 0) <= 130
+    assert sum(pieces.select("held_first").distinct().count() for _, pieces in filed) == 100_500
+    rows = spark.range(0, 200_010).unionAll(spark.range(far, far + 150_000)).selectExpr("'t' AS topic", "0 AS partition", "id AS offset")
+    for max_rows in (10, 1_000_000):
+        left = intervals.not_within(rows, held, max_rows=max_rows)
+        assert left.where(f"offset < {far}").count() == 100_010
+        assert left.where(f"offset >= {far}").agg(F.count("*"), F.min(F.col("offset") % 300)).first()[0] == 150_000 - 500 * 201
+
+
+def test_runs_apart_from_bounds_of_blocks_are_not_gathered(spark):
+    """Only stretches at a block's bound meet by topic partition; the others are groups of their own."""
+    rows = spark.range(0, 64).selectExpr("'t' AS topic", "0 AS partition", "2 * id AS offset").unionAll(
+        spark.sql("SELECT 't' AS topic, 0 AS partition, explode(sequence(125L, 131L)) AS offset"))
+    found = intervals.offset_intervals(rows, 16)
+    assert rows_of(found.select("first", "last")) == sorted([(n, n) for n in range(0, 124, 2)] + [(124, 131)], key=str)
+    assert "alone" in found._jdf.queryExecution().executedPlan().toString()
+    again = intervals.merge_intervals(found, found.where("first < 50"), block=16)
+    assert rows_of(again.select("first", "last")) == rows_of(found.select("first", "last"))
