@@ -66,11 +66,15 @@ def hours_with_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Files of published messages; a stream that takes one at a time runs as many micro-batches.
 LANDED_FILES = 3
 
+# Row groups of these files. A row group is read by one task, so a file of one would be one, however large.
+LANDED_GROUP_BYTES = 8 << 20
+
 
 def landed(spark: SparkSession, records: DataFrame, mode: str = "overwrite", path: str | None = None) -> str:
     """Messages published to a folder that a stream can read: the broker's place in these checks."""
     path = path or workspace.scratch(spark, "landing")
-    records.select(*RECORD.names).repartition(LANDED_FILES).write.mode(mode).parquet(path)
+    dealt = records.select(*RECORD.names).repartition(LANDED_FILES)
+    dealt.write.mode(mode).option("parquet.block.size", LANDED_GROUP_BYTES).parquet(path)
     return path
 
 

@@ -1,6 +1,8 @@
+import glob
 import threading
 from datetime import timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from rows import at, rows_of
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from breathline.schema import DIMENSION, HOURLY, MEASUREMENT
 from breathline.sinks.tables import append_batch
 from breathline.sources import files
 from breathline.streaming import flows, run
+from checks import registry
 
 START = at("2024-01-01 10:00:00")
 
@@ -278,3 +281,14 @@ def test_stopping_leaves_the_session(spark, tmp_path, sent):
 
 def test_one_trigger_fills_the_cluster(spark):
     assert files.bytes_per_trigger(spark) == 4 * 8 * 128 * 1024 * 1024
+
+
+def test_published_files_have_many_row_groups(spark, tmp_path, sent, monkeypatch):
+    """A row group is read by one task: a file that a micro-batch takes must have more than one of them."""
+    monkeypatch.setattr(registry, "LANDED_GROUP_BYTES", 1 << 12)
+    many = everything(sent).crossJoin(spark.range(40)).withColumn("value", F.expr("encode(concat(uuid(), uuid()), 'utf-8')"))
+    landing = registry.landed(spark, many.drop("id"), path=str(tmp_path / "landing"))
+    files_made = glob.glob(f"{landing}/*.parquet")
+    assert len(files_made) == registry.LANDED_FILES
+    assert all(pq.ParquetFile(name).num_row_groups > 1 for name in files_made)
+    assert spark.read.parquet(landing).count() == many.count()
