@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 from breathline.llm import jaccard
@@ -173,10 +174,11 @@ def test_few_leaders_to_a_set(spark):
     assert {(7, 1000), (507, 1000)} <= set(pairs)
 
 
-def test_texts_that_share_a_doc_id_sign_for_their_own_class(spark):
-    """A doc_id with two texts stands for the class of each; neither signs for the other."""
-    one, two = prose(1, 60), prose(2, 60)
-    rows = [(5, one), (5, two), (6, one + " more"), (7, two + " more"), (8, one), (9, prose(3, 60))]
-    made = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    found = {(row.doc_id, row.component_id) for row in jaccard.jaccard_components(made, 3, 8, 10).collect()}
-    assert found == {(5, 5), (6, 5), (7, 5), (8, 5), (9, 9)}
+def test_texts_sign_for_their_own_class_only():
+    """Of a doc_id's texts only those whose set is the class's have signatures."""
+    texts = [prose(1, 60), prose(2, 60)]
+    asked = jaccard._digests([jaccard.shingles(texts[0], 3, jaccard.Hashes())] * 2)
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 5]), pa.array(texts), asked], names=["doc_id", "text", "set_hash"])
+    (made,) = jaccard._signing(3, 8, 10)([batch])
+    signed, none = made.column(1).to_pylist()
+    assert made.schema.names == ["rep", "signatures"] and len(signed) > 5 and none == []
